@@ -2,16 +2,28 @@
 
 Nested tables are out of scope: a table ends at the first closing tag. A table,
 section, row or cell that is never closed runs to the end of its parent.
+
+The patterns take inner HTML in possessive runs up to a "<" that may close the
+element. They never backtrack and do not recurse, so a page of any length costs
+time in proportion to it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>)"
 _TAG = r"<[^>]+>"
-_EDGE_SPACE = r"(?U)\A\s+|\s+\z"
+
+# Fixed value: white space by the Unicode standard.
+_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Character references that occur in Spanish pages. The ampersand
 # comes last so that "&amp;lt;" stays "&lt;".
@@ -39,14 +51,27 @@ _REFERENCES = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    The optimizer may copy a column into each place that names it, inside a
+    lambda even once per element; a lambda's own variable it leaves alone.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _inner(tag: str) -> str:
+    return rf"(?i)<{tag}\b[^>]*>((?:[^<]++|<(?!/{tag}\b))*+)"
+
+
 def elements(html: Column, tag: str) -> Column:
     """Inner HTML of every ``tag`` element, in document order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|\z)"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(_inner(tag)), F.lit(1))
 
 
 def _element(html: Column, tag: str) -> Column:
     """Inner HTML of the first ``tag`` element, empty when there is none."""
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|\z)", 1)
+    return F.regexp_extract(html, _inner(tag), 1)
 
 
 def visible(html: Column) -> Column:
@@ -61,9 +86,7 @@ def first_table(html: Column) -> Column:
 
 def table_with_class(html: Column, css: str) -> Column:
     """Inner HTML of the first table whose class list is ``css``."""
-    whole = F.regexp_extract_all(
-        visible(html), F.lit(r"(?is)(<table\b[^>]*>.*?(?:</table\s*>|\z))"), F.lit(1)
-    )
+    whole = F.regexp_extract_all(visible(html), F.lit(f"({_inner('table')})"), F.lit(1))
     attribute = r"""(?is)^<table\b[^>]*?\bclass\s*=\s*["']([^"']*)["']"""
 
     def has_class(table: Column) -> Column:
@@ -85,9 +108,7 @@ def table_rows(body: Column) -> Column:
 
 def row_cells(row: Column, tag: str = "t[dh]") -> Column:
     """Inner HTML of each cell of a row."""
-    return F.regexp_extract_all(
-        row, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|\z)"), F.lit(1)
-    )
+    return elements(row, tag)
 
 
 def strip_tags(html: Column) -> Column:
@@ -96,7 +117,7 @@ def strip_tags(html: Column) -> Column:
 
 def trim_text(text: Column) -> Column:
     """Trim whitespace of any kind, non-breaking space included."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.trim(text, F.lit(_SPACE))
 
 
 def unescape(text: Column) -> Column:
@@ -123,18 +144,22 @@ def unescape(text: Column) -> Column:
     return out
 
 
+def _shown(html: Column) -> Column:
+    return F.when(html.contains("<"), strip_tags(html)).otherwise(html)
+
+
 def _reveal(text: Column) -> Column:
     return trim_text(F.when(text.contains("&"), unescape(text)).otherwise(text))
 
 
 def clean_text(html: Column) -> Column:
     """Tag-free, unescaped and trimmed text of one cell."""
-    return _reveal(strip_tags(html))
+    return let(_shown(html), _reveal)
 
 
 def clean_texts(cells: Column) -> Column:
     """``clean_text`` of every cell; each tag is stripped once."""
-    return F.transform(F.transform(cells, strip_tags), _reveal)
+    return F.transform(F.transform(cells, _shown), _reveal)
 
 
 def row_texts(body: Column, tag: str = "td") -> Column:

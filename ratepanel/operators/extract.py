@@ -90,20 +90,22 @@ def parse_fx_page(pages: DataFrame, html: str = "html") -> DataFrame:
     The first cell that contains the page's date must be that date alone.
     """
     keys = _keys(pages, html)
-    table = H.first_table(F.col(html))
-    has_head = table.rlike(r"(?i)<thead\b")
-    read = pages.select(
-        *keys,
-        format_date(DATE).alias("_day"),
-        F.when(has_head, H.row_texts(H.section(table, "tbody"))).alias("_rows"),
+
+    def dated_row(table: Column, day: Column) -> Column:
+        dated = lambda cell: cell.contains(day)
+        rows = H.row_texts(H.section(table, "tbody"))
+        first = _at(F.filter(rows, lambda cells: F.exists(cells, dated)), 1)
+        alone = H.let(first, lambda cells: F.when(_at(F.filter(cells, dated), 1) == day, cells))
+        return F.when(table.rlike(r"(?i)<thead\b"), alone)
+
+    row = H.let(
+        H.first_table(F.col(html)), lambda table: H.let(format_date(DATE), lambda day: dated_row(table, day))
     )
-    dated = lambda cell: cell.contains(F.col("_day"))
-    hit = read.select(*keys, "_day", _at(F.filter("_rows", lambda cells: F.exists(cells, dated)), 1).alias("_hit"))
-    exact = _at(F.filter("_hit", dated), 1) == F.col("_day")
     # The second cell is the dollar rate, the third the local one.
-    raws = dict(zip(FX_TYPES, (_at("_hit", 3), _at("_hit", 2)), strict=True))
-    measures = [F.struct(F.lit(t).alias("type"), F.when(exact, raw).alias("raw")) for t, raw in raws.items()]
-    return hit.select(*keys, F.inline(F.array(*measures)))
+    position = dict(zip(FX_TYPES, (3, 2), strict=True))
+    measures = _structs({"type": t, "_cell": i} for t, i in position.items())
+    read = pages.select(*keys, row.alias("_row")).select("*", F.inline(measures))
+    return read.select(*keys, "type", F.try_element_at("_row", F.col("_cell")).alias("raw"))
 
 
 def parse_sml_page(
@@ -115,67 +117,48 @@ def parse_sml_page(
     take the labels of header cells 1 to 4; a later header row wins.
     """
     keys = _keys(pages, html)
-    table = H.first_table(F.col(html))
-    read = pages.select(
-        *keys,
-        format_date(DATE).alias("_day"),
-        H.row_texts(H.section(table, "thead"), "th").alias("_labels"),
-        H.row_texts(H.section(table, "tbody")).alias("_rows"),
-    )
-    is_day = lambda cell: cell == F.col("_day")
-    hit = read.select(
-        *keys, "_labels", _at(F.filter("_rows", lambda cells: F.exists(cells, is_day)), 1).alias("_hit")
-    )
     four = lambda cells: F.slice(cells, 2, 4)
-    pairs = F.flatten(
-        F.transform(
-            "_labels",
-            lambda labels: F.arrays_zip(four(labels).alias("label"), four(F.col("_hit")).alias("raw")),
-        )
+
+    def labelled(table: Column, day: Column) -> Column:
+        rows = H.row_texts(H.section(table, "tbody"))
+        first = _at(F.filter(rows, lambda cells: F.exists(cells, lambda cell: cell == day)), 1)
+        heads = H.row_texts(H.section(table, "thead"), "th")
+        pair = lambda labels, values: F.arrays_zip(four(labels).alias("label"), values.alias("raw"))
+        return H.let(four(first), lambda values: F.flatten(F.transform(heads, lambda labels: pair(labels, values))))
+
+    pairs = H.let(
+        H.first_table(F.col(html)), lambda table: H.let(format_date(DATE), lambda day: labelled(table, day))
     )
     wanted = _structs({"coin": c, "label": label, "type": t} for c, label, t in types)
-    listed = hit.select(*keys, pairs.alias("_pairs")).select(
+    listed = pages.select(*keys, pairs.alias("_pairs")).select(
         "*", F.explode(F.filter(wanted, lambda t: t["coin"] == F.col("coin"))).alias("_want")
     )
     last = _at(F.filter("_pairs", lambda pair: pair["label"] == F.col("_want")["label"]), -1)
     return listed.select(*keys, F.col("_want")["type"].alias("type"), last["raw"].alias("raw"))
 
 
-def entity_rows(rows: Column, entities: Iterable[Mapping[str, object]]) -> Column:
-    """For each entity, the first row with its legal name inside a cell.
+def entity_rows(rows: Column, entities: Iterable[tuple[str, str]]) -> Column:
+    """For each (key, legal name), the first row with the name inside a cell.
 
-    Array of (``key``, ``quotes``, ``cells``); ``cells`` is null for an entity
-    without a row.
+    Array of (``key``, ``cells``); ``cells`` is null for an entity without a row.
     """
-    listed = F.array(
-        *[
-            F.struct(
-                F.lit(e["key"]).alias("key"),
-                F.lit(e["name"]).alias("name"),
-                F.array(*[F.lit(q) for q in e["quotes"]]).cast("array<string>").alias("quotes"),
-            )
-            for e in entities
-        ]
-    )
+    listed = _structs({"key": key, "name": name} for key, name in entities)
 
     def found(entity: Column) -> Column:
         named = lambda cells: F.exists(cells, lambda cell: cell.contains(entity["name"]))
-        return F.struct(
-            entity["key"].alias("key"),
-            entity["quotes"].alias("quotes"),
-            _at(F.filter(rows, named), 1).alias("cells"),
-        )
+        return F.struct(entity["key"].alias("key"), _at(F.filter(rows, named), 1).alias("cells"))
+
+    return F.transform(listed, found)
 
-    def absent(entity: Column) -> Column:
-        return F.struct(
-            entity["key"].alias("key"),
-            entity["quotes"].alias("quotes"),
-            F.lit(None).cast("array<string>").alias("cells"),
-        )
 
-    # Naming `rows` in the test as well keeps Catalyst from inlining the page
-    # parse into the per-entity lambda, where it would run once per entity.
-    return F.when(F.size(rows) > 0, F.transform(listed, found)).otherwise(F.transform(listed, absent))
+def _configured_slots(quotes: Iterable[tuple[str, str, int, str]]) -> Column:
+    """Map of ``coin|entity`` to the cell positions that the configuration lists."""
+    slots: dict[str, list[Column]] = {}
+    for coin, entity, hour, channel in quotes:
+        at = [quote_position(F.lit(hour), F.lit(channel), F.lit(flow)) for flow in FLOWS]
+        slots.setdefault(f"{coin}|{entity}", []).extend(at)
+    entries = [x for key, at in slots.items() for x in (F.lit(key), F.array(*at))]
+    return F.create_map(*entries) if entries else F.lit(None).cast("map<string,array<int>>")
 
 
 def parse_quote_page(
@@ -193,30 +176,33 @@ def parse_quote_page(
     only a table with exactly that class list counts.
     """
     keys = _keys(pages, html)
-    configured: dict[str, list[str]] = {}
-    for coin, entity, hour, channel in quotes:
-        configured.setdefault(entity, []).append(f"{coin}|{hour}|{channel}")
-    listed = [{"key": k, "name": n, "quotes": configured.get(k, [])} for k, n in entities]
     table = H.table_with_class(F.col(html), css) if css else H.first_table(F.col(html))
-    body = H.section(table, "tbody")
-    read = pages.select(*keys, H.row_texts(body).alias("_rows"))
-    banks = read.select(*keys, F.explode(entity_rows(F.col("_rows"), listed)).alias("_bank")).select(
-        *keys,
-        F.col("_bank.key").alias("entidad_bancaria"),
-        F.col("_bank.quotes").alias("_quotes"),
-        F.col("_bank.cells").alias("_cells"),
+    found = H.let(H.row_texts(H.section(table, "tbody")), lambda rows: entity_rows(rows, entities))
+    configured = F.try_element_at(_configured_slots(quotes), F.concat_ws("|", "coin", "_bank.key"))
+    banks = pages.select(*keys, F.explode(found).alias("_bank")).select(
+        *keys, F.col("_bank.key").alias("entidad_bancaria"), "_bank", configured.alias("_slots")
     )
-    slots = _structs(
-        {"canal": channel, "flujo": flow, "hora": f"{hour}hs", "_hour": str(hour)}
-        for hour in HOURS
-        for channel in CHANNELS
-        for flow in FLOWS
+    axes = F.array(
+        *[
+            F.struct(
+                F.lit(channel).alias("canal"),
+                F.lit(flow).alias("flujo"),
+                F.lit(f"{hour}hs").alias("hora"),
+                quote_position(F.lit(hour), F.lit(channel), F.lit(flow)).alias("at"),
+            )
+            for hour in HOURS
+            for channel in CHANNELS
+            for flow in FLOWS
+        ]
     )
-    opened = banks.select(*keys, "entidad_bancaria", "_quotes", "_cells", F.inline(slots))
-    known = F.array_contains("_quotes", F.concat_ws("|", "coin", "_hour", "canal"))
-    position = quote_position(F.col("_hour"), F.col("canal"), F.col("flujo"))
-    raw = F.when(known, F.try_element_at("_cells", position + 1))
-    return opened.select(*keys, "entidad_bancaria", "canal", "flujo", "hora", raw.alias("raw"))
+
+    def quoted(axis: Column) -> Column:
+        cell = F.try_element_at(F.col("_bank")["cells"], axis["at"] + 1)
+        raw = F.when(F.array_contains(F.col("_slots"), axis["at"]), cell)
+        return F.struct(axis["canal"], axis["flujo"], axis["hora"], raw)
+
+    names = ["canal", "flujo", "hora", "raw"]
+    return banks.select(*keys, "entidad_bancaria", F.inline(F.transform(axes, quoted)).alias(*names))
 
 
 def offered_coins(pages: DataFrame, coins: Mapping[str, str], html: str = "html") -> DataFrame:

@@ -59,8 +59,9 @@ def pages_to_panel(pages: DataFrame, dims: Dims) -> DataFrame:
     # A table with pages of several families carries their name.
     cells = parse_pages(pages, dims)
     extra = [c for c in cells.columns if c not in {*family.columns, "raw", "coin", "source"}]
-    value = nonpositive_to_null(normal_value(F.col("raw"), family))
-    return cells.select(DATE, *family.dims, value.alias(family.value), *extra)
+    value = normal_value(F.col("raw"), family)
+    valued = cells.select(DATE, *family.dims, value.alias(family.value), *extra)
+    return valued.withColumn(family.value, nonpositive_to_null(family.value))
 
 
 def family_pages(pages: DataFrame, dims: Dims) -> DataFrame:

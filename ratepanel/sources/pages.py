@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratepanel.schemas import PAGES
+from ratepanel.sources.shared import spread
 
 # .../{source}/{coin}/{yyyy-MM-dd}.html
 FILE_NAME = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})\.html$"
@@ -13,7 +14,7 @@ FILE_NAME = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})\.html$"
 
 def load_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages stored as a Parquet table."""
-    return spark.read.schema(PAGES).parquet(path)
+    return spread(spark.read.schema(PAGES).parquet(path))
 
 
 def load_page_files(

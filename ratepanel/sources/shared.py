@@ -30,3 +30,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` out once and go on from there, so that lost executors repeat nothing."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give every core work when a scan has fewer splits than there are cores.
+
+    For scans ahead of costly per-row work. A table large enough to fill the
+    cluster is left where it lies.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
