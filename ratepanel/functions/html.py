@@ -1,5 +1,8 @@
 """HTML tables as arrays of text, in built-in expressions only.
 
+All functions take and give SQL text; ``pyspark.sql.functions.expr`` makes a
+column of it.
+
 Nested tables are out of scope: a table ends at the first closing tag. A table,
 section, row or cell that is never closed runs to the end of its parent.
 
@@ -10,10 +13,7 @@ time in proportion to it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from ratepanel.functions.sql import rows, text
 
 _HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>)"
 _TAG = r"<[^>]+>"
@@ -51,118 +51,92 @@ _REFERENCES = {
 }
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once.
+def let(value: str, variable: str, body: str) -> str:
+    """``body`` with ``variable`` for a value that is computed once.
 
-    The optimizer may copy a column into each place that names it, inside a
-    lambda even once per element; a lambda's own variable it leaves alone.
+    The optimizer may copy an expression into each place that names it, inside
+    a lambda even once per element; a lambda's own variable it leaves alone.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return f"element_at(transform(array({value}), {variable} -> {body}), 1)"
 
 
 def _inner(tag: str) -> str:
     return rf"(?i)<{tag}\b[^>]*>((?:[^<]++|<(?!/{tag}\b))*+)"
 
 
-def elements(html: Column, tag: str) -> Column:
+def elements(html: str, tag: str) -> str:
     """Inner HTML of every ``tag`` element, in document order."""
-    return F.regexp_extract_all(html, F.lit(_inner(tag)), F.lit(1))
+    return f"regexp_extract_all({html}, {text(_inner(tag))}, 1)"
 
 
-def _element(html: Column, tag: str) -> Column:
+def element(html: str, tag: str) -> str:
     """Inner HTML of the first ``tag`` element, empty when there is none."""
-    return F.regexp_extract(html, _inner(tag), 1)
+    return f"regexp_extract({html}, {text(_inner(tag))}, 1)"
 
 
-def visible(html: Column) -> Column:
+def visible(html: str) -> str:
     """The page without comments and scripts."""
-    return F.regexp_replace(html, _HIDDEN, "")
+    return f"regexp_replace({html}, {text(_HIDDEN)}, '')"
 
 
-def first_table(html: Column) -> Column:
+def first_table(html: str) -> str:
     """Inner HTML of the first table."""
-    return _element(visible(html), "table")
+    return element(visible(html), "table")
 
 
-def table_with_class(html: Column, css: str) -> Column:
+def table_with_class(html: str, css: str) -> str:
     """Inner HTML of the first table whose class list is ``css``."""
-    whole = F.regexp_extract_all(visible(html), F.lit(f"({_inner('table')})"), F.lit(1))
-    attribute = r"""(?is)^<table\b[^>]*?\bclass\s*=\s*["']([^"']*)["']"""
-
-    def has_class(table: Column) -> Column:
-        spaced = F.regexp_replace(F.regexp_extract(table, attribute, 1), r"\s+", " ")
-        return F.trim(spaced) == css
-
-    return _element(F.try_element_at(F.filter(whole, has_class), F.lit(1)), "table")
-
-
-def section(table: Column, name: str) -> Column:
-    """Inner HTML of the table's first ``thead`` or ``tbody``."""
-    return _element(table, name)
+    whole = f"regexp_extract_all({visible(html)}, {text('(' + _inner('table') + ')')}, 1)"
+    attribute = text(r"""(?is)^<table\b[^>]*?\bclass\s*=\s*["']([^"']*)["']""")
+    classes = f"trim(regexp_replace(regexp_extract(tbl, {attribute}, 1), {text(chr(92) + 's+')}, ' '))"
+    return element(f"try_element_at(filter({whole}, tbl -> {classes} = {text(css)}), 1)", "table")
 
 
-def table_rows(body: Column) -> Column:
-    """Inner HTML of each row."""
-    return elements(body, "tr")
+def strip_tags(html: str) -> str:
+    return f"regexp_replace({html}, {text(_TAG)}, '')"
 
 
-def row_cells(row: Column, tag: str = "t[dh]") -> Column:
-    """Inner HTML of each cell of a row."""
-    return elements(row, tag)
-
-
-def strip_tags(html: Column) -> Column:
-    return F.regexp_replace(html, _TAG, "")
-
-
-def trim_text(text: Column) -> Column:
+def trim_text(plain: str) -> str:
     """Trim whitespace of any kind, non-breaking space included."""
-    return F.trim(text, F.lit(_SPACE))
+    return f"trim(BOTH {text(_SPACE)} FROM {plain})"
 
 
-def unescape(text: Column) -> Column:
+def unescape(plain: str) -> str:
     """Undo numeric and named character references."""
 
-    def put(acc: Column, mark: Column, point: Column) -> Column:
-        return F.replace(acc, mark, F.decode(F.unhex(F.lpad(point, 8, "0")), "UTF-32"))
-
-    def decimal(acc: Column, code: Column) -> Column:
-        return put(acc, F.concat(F.lit("&#"), code, F.lit(";")), F.hex(code.cast("int")))
-
-    def hexadecimal(acc: Column, code: Column) -> Column:
-        return put(acc, F.concat(F.lit("&#"), code, F.lit(";")), F.substring(code, 2, 5))
+    def numeric(start: str, pattern: str, code_point: str) -> str:
+        codes = f"array_distinct(regexp_extract_all({plain}, {text(pattern)}, 1))"
+        character = f"decode(unhex(lpad({code_point}, 8, '0')), 'UTF-32')"
+        return f"aggregate({codes}, {start}, (acc, code) -> replace(acc, concat('&#', code, ';'), {character}))"
 
     # Up to U+D7FF: what follows directly are surrogates, which are no characters.
     low = r"&#([1-9]\d{0,3}|[1-4]\d{4}|5[0-4]\d{3}|55[01]\d\d|552[0-8]\d|5529[0-5]);"
     low_hex = r"&#([xX](?:[0-9a-cA-C]?[0-9a-fA-F]{1,3}|[dD][0-7][0-9a-fA-F]{2}));"
-    out = F.aggregate(F.array_distinct(F.regexp_extract_all(text, F.lit(low), F.lit(1))), text, decimal)
-    out = F.aggregate(
-        F.array_distinct(F.regexp_extract_all(text, F.lit(low_hex), F.lit(1))), out, hexadecimal
-    )
-    for reference, character in _REFERENCES.items():
-        out = F.replace(out, F.lit(reference), F.lit(character))
-    return out
+    decoded = numeric(plain, low, "hex(CAST(code AS INT))")
+    decoded = numeric(decoded, low_hex, "substring(code, 2, 5)")
+    named = rows({"mark": mark, "letter": letter} for mark, letter in _REFERENCES.items())
+    return f"aggregate({named}, {decoded}, (acc, ref) -> replace(acc, ref.mark, ref.letter))"
 
 
-def _shown(html: Column) -> Column:
-    return F.when(html.contains("<"), strip_tags(html)).otherwise(html)
+def _shown(html: str) -> str:
+    return f"CASE WHEN contains({html}, '<') THEN {strip_tags(html)} ELSE {html} END"
 
 
-def _reveal(text: Column) -> Column:
-    return trim_text(F.when(text.contains("&"), unescape(text)).otherwise(text))
+def _reveal(plain: str) -> str:
+    return trim_text(f"CASE WHEN contains({plain}, '&') THEN {unescape(plain)} ELSE {plain} END")
 
 
-def clean_text(html: Column) -> Column:
+def clean_text(html: str) -> str:
     """Tag-free, unescaped and trimmed text of one cell."""
-    return let(_shown(html), _reveal)
+    return let(_shown(html), "shown", _reveal("shown"))
 
 
-def clean_texts(cells: Column) -> Column:
-    """``clean_text`` of every cell; each tag is stripped once."""
-    return F.transform(F.transform(cells, _shown), _reveal)
+def clean_texts(cells: str) -> str:
+    """``clean_text`` of every cell."""
+    return f"transform(transform({cells}, cell -> {_shown('cell')}), shown -> {_reveal('shown')})"
 
 
-def row_texts(body: Column, tag: str = "td") -> Column:
+def row_texts(part: str, tag: str = "td") -> str:
     """Rows of a table section as arrays of clean cell texts."""
-    cells = F.transform(table_rows(body), lambda row: row_cells(row, tag))
-    return F.transform(cells, clean_texts)
+    cells = f"transform({elements(part, 'tr')}, line -> {elements('line', tag)})"
+    return f"transform({cells}, cells -> {clean_texts('cells')})"

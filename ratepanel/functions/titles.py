@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ratepanel.schemas import FLOWS, Family
+from ratepanel.schemas import Family
 
 # Currency codes in series identifiers.
 ISO_CODES = {"dolar": "usd", "euro": "eur"}
@@ -82,11 +82,3 @@ def series_description(
         hour,
         F.lit("."),
     )
-
-
-def quote_position(hour: Column, channel: Column, flow: Column) -> Column:
-    """Cell index of a quote: four cells per hour, two per channel, one per flow."""
-    by_hour = (hour.cast("int") - 11) * 2
-    by_channel = F.when(channel == "electronico", 2).otherwise(0)
-    by_flow = F.when(flow == FLOWS[1], 1).otherwise(0)
-    return (by_hour + by_channel + by_flow + 1).cast("int")

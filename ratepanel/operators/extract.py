@@ -4,63 +4,57 @@ Each page is read where it lies: rows, cells and lookups are array expressions
 on the page's own row, so extraction needs neither a shuffle nor a Python
 worker. Every parser returns the full template of its page: a page that is
 empty or malformed gives null cells, never fewer rows. Dimension lists come
-from the configuration and travel in the plan as array literals.
+from the configuration and travel in the plan as constant arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratepanel.functions import html as H
-from ratepanel.functions.normalize import format_date
-from ratepanel.functions.titles import quote_position
+from ratepanel.functions.normalize import DAY_FORMAT
+from ratepanel.functions.sql import name, rows, struct, text
 from ratepanel.schemas import CHANNELS, DATE, FLOWS, FX_TYPES, HOURS
 
 
-def _structs(rows: Iterable[Mapping[str, object]]) -> Column:
-    return F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in row.items()]) for row in rows])
-
-
 def _keys(pages: DataFrame, html: str) -> list[str]:
     return [c for c in pages.columns if c != html]
 
 
-def _at(array: Column | str, index: int) -> Column:
-    return F.try_element_at(F.col(array) if isinstance(array, str) else array, F.lit(index))
+def _day() -> str:
+    return f"date_format({DATE}, {text(DAY_FORMAT)})"
 
 
 def html_table_rows(
     pages: DataFrame, html: str = "html", part: str = "tbody", tag: str = "t[dh]"
 ) -> DataFrame:
     """Rows of the first table: page columns, ``row_idx``, ``cells``."""
-    body = H.section(H.first_table(F.col(html)), part)
-    rows = pages.select(*_keys(pages, html), F.posexplode(H.table_rows(body)).alias("row_idx", "_row"))
-    cells = H.clean_texts(H.row_cells(F.col("_row"), tag))
-    return rows.select(*_keys(pages, html), "row_idx", cells.alias("cells"))
+    keys = [name(k) for k in _keys(pages, html)]
+    lines = H.elements(H.element(H.first_table(name(html)), part), "tr")
+    opened = pages.selectExpr(*keys, f"posexplode({lines}) AS (row_idx, _line)")
+    return opened.selectExpr(*keys, "row_idx", f"{H.clean_texts(H.elements('_line', tag))} AS cells")
 
 
 def html_table_cells(
     pages: DataFrame, html: str = "html", part: str = "tbody", tag: str = "t[dh]"
 ) -> DataFrame:
     """Cells of the first table: page columns, ``row_idx``, ``col_idx``, ``text``."""
-    rows = html_table_rows(pages, html, part, tag)
-    keys = [c for c in rows.columns if c != "cells"]
-    return rows.select(*keys, F.posexplode("cells").alias("col_idx", "text"))
+    lines = html_table_rows(pages, html, part, tag)
+    keys = [name(c) for c in lines.columns if c != "cells"]
+    return lines.selectExpr(*keys, "posexplode(cells) AS (col_idx, text)")
 
 
 def html_elements(pages: DataFrame, tags: Sequence[str], html: str = "html") -> DataFrame:
     """Texts of the named elements: page columns, ``tag``, ``idx``, ``text``."""
-    found = F.array(
-        *[F.struct(F.lit(t).alias("tag"), H.elements(F.col(html), t).alias("items")) for t in tags]
-    )
-    keys = _keys(pages, html)
+    keys = [name(k) for k in _keys(pages, html)]
+    found = ", ".join(struct({"tag": text(t), "items": H.elements(name(html), t)}) for t in tags)
     return (
-        pages.select(*keys, F.inline(found))
-        .select(*keys, "tag", F.posexplode("items").alias("idx", "_item"))
-        .select(*keys, "tag", "idx", H.clean_text(F.col("_item")).alias("text"))
+        pages.selectExpr(*keys, f"inline(array({found}))")
+        .selectExpr(*keys, "tag", "posexplode(items) AS (idx, _item)")
+        .selectExpr(*keys, "tag", "idx", f"{H.clean_text('_item')} AS text")
     )
 
 
@@ -69,14 +63,12 @@ def parse_rate_page(pages: DataFrame, terms: Sequence[str], html: str = "html")
 
     Only configured terms are kept; the last row of a term wins.
     """
-    keys = _keys(pages, html)
-    rows = H.row_texts(H.section(H.first_table(F.col(html)), "tbody"))
-    pairs = F.transform(rows, lambda cells: F.struct(_at(cells, 1).alias("term"), _at(cells, 2).alias("raw")))
-    listed = pages.select(*keys, pairs.alias("_pairs")).select(
-        "*", F.explode(F.array(*[F.lit(t) for t in terms])).alias("type")
-    )
-    last = _at(F.filter("_pairs", lambda pair: pair["term"] == F.col("type")), -1)
-    return listed.select(*keys, "type", last["raw"].alias("raw"))
+    keys = [name(k) for k in _keys(pages, html)]
+    lines = H.row_texts(H.element(H.first_table(name(html)), "tbody"))
+    wanted = rows({"type": t} for t in terms)
+    opened = pages.selectExpr(*keys, f"{lines} AS _lines").selectExpr("*", f"inline({wanted})")
+    last = "try_element_at(filter(_lines, cells -> try_element_at(cells, 1) = type), -1)"
+    return opened.selectExpr(*keys, "type", f"try_element_at({last}, 2) AS raw")
 
 
 def unknown_rates(cells: DataFrame, dim_rate: DataFrame) -> DataFrame:
@@ -89,23 +81,16 @@ def parse_fx_page(pages: DataFrame, html: str = "html") -> DataFrame:
 
     The first cell that contains the page's date must be that date alone.
     """
-    keys = _keys(pages, html)
-
-    def dated_row(table: Column, day: Column) -> Column:
-        dated = lambda cell: cell.contains(day)
-        rows = H.row_texts(H.section(table, "tbody"))
-        first = _at(F.filter(rows, lambda cells: F.exists(cells, dated)), 1)
-        alone = H.let(first, lambda cells: F.when(_at(F.filter(cells, dated), 1) == day, cells))
-        return F.when(table.rlike(r"(?i)<thead\b"), alone)
-
-    row = H.let(
-        H.first_table(F.col(html)), lambda table: H.let(format_date(DATE), lambda day: dated_row(table, day))
-    )
+    keys = [name(k) for k in _keys(pages, html)]
+    lines = H.row_texts(H.element("tbl", "tbody"))
+    first = f"try_element_at(filter({lines}, line -> exists(line, c -> contains(c, day))), 1)"
+    alone = "CASE WHEN try_element_at(filter(hit, c -> contains(c, day)), 1) = day THEN hit END"
+    headed = f"CASE WHEN tbl RLIKE '(?i)<thead' THEN {H.let(first, 'hit', alone)} END"
+    row = H.let(H.first_table(name(html)), "tbl", H.let(_day(), "day", headed))
     # The second cell is the dollar rate, the third the local one.
-    position = dict(zip(FX_TYPES, (3, 2), strict=True))
-    measures = _structs({"type": t, "_cell": i} for t, i in position.items())
-    read = pages.select(*keys, row.alias("_row")).select("*", F.inline(measures))
-    return read.select(*keys, "type", F.try_element_at("_row", F.col("_cell")).alias("raw"))
+    measures = rows({"type": t, "_at": i} for t, i in zip(FX_TYPES, (3, 2), strict=True))
+    opened = pages.selectExpr(*keys, f"{row} AS _row").selectExpr("*", f"inline({measures})")
+    return opened.selectExpr(*keys, "type", "try_element_at(_row, _at) AS raw")
 
 
 def parse_sml_page(
@@ -116,49 +101,49 @@ def parse_sml_page(
     ``types`` lists (coin, header label, column name). Cells 1 to 4 of the row
     take the labels of header cells 1 to 4; a later header row wins.
     """
-    keys = _keys(pages, html)
-    four = lambda cells: F.slice(cells, 2, 4)
-
-    def labelled(table: Column, day: Column) -> Column:
-        rows = H.row_texts(H.section(table, "tbody"))
-        first = _at(F.filter(rows, lambda cells: F.exists(cells, lambda cell: cell == day)), 1)
-        heads = H.row_texts(H.section(table, "thead"), "th")
-        pair = lambda labels, values: F.arrays_zip(four(labels).alias("label"), values.alias("raw"))
-        return H.let(four(first), lambda values: F.flatten(F.transform(heads, lambda labels: pair(labels, values))))
-
-    pairs = H.let(
-        H.first_table(F.col(html)), lambda table: H.let(format_date(DATE), lambda day: labelled(table, day))
+    keys = [name(k) for k in _keys(pages, html)]
+    lines = H.row_texts(H.element("tbl", "tbody"))
+    first = f"try_element_at(filter({lines}, line -> exists(line, c -> c = day)), 1)"
+    heads = H.row_texts(H.element("tbl", "thead"), "th")
+    zipped = f"flatten(transform({heads}, head -> arrays_zip(slice(head, 2, 4), hit)))"
+    labelled = H.let(f"slice({first}, 2, 4)", "hit", zipped)
+    pairs = H.let(H.first_table(name(html)), "tbl", H.let(_day(), "day", labelled))
+    typed = f"CAST({pairs} AS ARRAY<STRUCT<label: STRING, raw: STRING>>)"
+    wanted = rows({"coin": c, "label": label, "type": t} for c, label, t in types)
+    opened = pages.selectExpr(*keys, f"{typed} AS _pairs").selectExpr(
+        "*", f"explode(filter({wanted}, want -> want.coin = coin)) AS _want"
     )
-    wanted = _structs({"coin": c, "label": label, "type": t} for c, label, t in types)
-    listed = pages.select(*keys, pairs.alias("_pairs")).select(
-        "*", F.explode(F.filter(wanted, lambda t: t["coin"] == F.col("coin"))).alias("_want")
-    )
-    last = _at(F.filter("_pairs", lambda pair: pair["label"] == F.col("_want")["label"]), -1)
-    return listed.select(*keys, F.col("_want")["type"].alias("type"), last["raw"].alias("raw"))
+    last = "try_element_at(filter(_pairs, pair -> pair.label = _want.label), -1)"
+    return opened.selectExpr(*keys, "_want.type AS type", f"{last}.raw AS raw")
 
 
-def entity_rows(rows: Column, entities: Iterable[tuple[str, str]]) -> Column:
+def entity_rows(lines: str, entities: Iterable[tuple[str, str]]) -> str:
     """For each (key, legal name), the first row with the name inside a cell.
 
-    Array of (``key``, ``cells``); ``cells`` is null for an entity without a row.
+    SQL text of an array of (``key``, ``cells``); ``cells`` is null for an
+    entity without a row.
     """
-    listed = _structs({"key": key, "name": name} for key, name in entities)
+    listed = rows({"key": key, "name": legal} for key, legal in entities)
+    named = f"filter({lines}, line -> exists(line, c -> contains(c, bank.name)))"
+    found = struct({"key": "bank.key", "cells": f"try_element_at({named}, 1)"})
+    return f"transform({listed}, bank -> {found})"
 
-    def found(entity: Column) -> Column:
-        named = lambda cells: F.exists(cells, lambda cell: cell.contains(entity["name"]))
-        return F.struct(entity["key"].alias("key"), _at(F.filter(rows, named), 1).alias("cells"))
 
-    return F.transform(listed, found)
+def quote_position(hour: str, channel: str, flow: str) -> str:
+    """SQL text of a quote's cell index: four cells per hour, two per channel, one per flow."""
+    return (
+        f"(1 + 2 * (CAST({hour} AS INT) - 11) + CASE WHEN {channel} = 'electronico' THEN 2 ELSE 0 END"
+        f" + CASE WHEN {flow} = 'venta' THEN 1 ELSE 0 END)"
+    )
 
 
-def _configured_slots(quotes: Iterable[tuple[str, str, int, str]]) -> Column:
-    """Map of ``coin|entity`` to the cell positions that the configuration lists."""
-    slots: dict[str, list[Column]] = {}
+def _configured(quotes: Iterable[tuple[str, str, int, str]]) -> str:
+    """Map from ``coin|entity`` to its configured hours and channels."""
+    listed: dict[str, list[str]] = {}
     for coin, entity, hour, channel in quotes:
-        at = [quote_position(F.lit(hour), F.lit(channel), F.lit(flow)) for flow in FLOWS]
-        slots.setdefault(f"{coin}|{entity}", []).extend(at)
-    entries = [x for key, at in slots.items() for x in (F.lit(key), F.array(*at))]
-    return F.create_map(*entries) if entries else F.lit(None).cast("map<string,array<int>>")
+        listed.setdefault(f"{coin}|{entity}", []).append(f"{hour}|{channel}")
+    entries = [f"{text(key)}, array({', '.join(map(text, at))})" for key, at in listed.items()]
+    return f"map({', '.join(entries)})" if entries else "CAST(NULL AS MAP<STRING, ARRAY<STRING>>)"
 
 
 def parse_quote_page(
@@ -175,41 +160,36 @@ def parse_quote_page(
     those that are not configured for the page's coin are null. With ``css``
     only a table with exactly that class list counts.
     """
-    keys = _keys(pages, html)
-    table = H.table_with_class(F.col(html), css) if css else H.first_table(F.col(html))
-    found = H.let(H.row_texts(H.section(table, "tbody")), lambda rows: entity_rows(rows, entities))
-    configured = F.try_element_at(_configured_slots(quotes), F.concat_ws("|", "coin", "_bank.key"))
-    banks = pages.select(*keys, F.explode(found).alias("_bank")).select(
-        *keys, F.col("_bank.key").alias("entidad_bancaria"), "_bank", configured.alias("_slots")
+    keys = [name(k) for k in _keys(pages, html)]
+    table = H.table_with_class(name(html), css) if css else H.first_table(name(html))
+    found = H.let(H.row_texts(H.element(table, "tbody")), "lines", entity_rows("lines", entities))
+    known = f"try_element_at({_configured(quotes)}, concat_ws('|', coin, _bank.key))"
+    banks = pages.selectExpr(*keys, f"explode({found}) AS _bank").selectExpr(
+        *keys, "_bank.key AS entidad_bancaria", "_bank.cells AS _cells", f"{known} AS _known"
     )
-    axes = F.array(
-        *[
-            F.struct(
-                F.lit(channel).alias("canal"),
-                F.lit(flow).alias("flujo"),
-                F.lit(f"{hour}hs").alias("hora"),
-                quote_position(F.lit(hour), F.lit(channel), F.lit(flow)).alias("at"),
-            )
-            for hour in HOURS
-            for channel in CHANNELS
-            for flow in FLOWS
-        ]
+    axes = rows(
+        {"canal": channel, "flujo": flow, "hour": hour}
+        for hour in HOURS
+        for channel in CHANNELS
+        for flow in FLOWS
     )
-
-    def quoted(axis: Column) -> Column:
-        cell = F.try_element_at(F.col("_bank")["cells"], axis["at"] + 1)
-        raw = F.when(F.array_contains(F.col("_slots"), axis["at"]), cell)
-        return F.struct(axis["canal"], axis["flujo"], axis["hora"], raw)
-
-    names = ["canal", "flujo", "hora", "raw"]
-    return banks.select(*keys, "entidad_bancaria", F.inline(F.transform(axes, quoted)).alias(*names))
+    position = quote_position("axis.hour", "axis.canal", "axis.flujo")
+    asked = "array_contains(_known, concat_ws('|', axis.hour, axis.canal))"
+    quote = struct(
+        {
+            "canal": "axis.canal",
+            "flujo": "axis.flujo",
+            "hora": "concat(axis.hour, 'hs')",
+            "raw": f"CASE WHEN {asked} THEN try_element_at(_cells, {position} + 1) END",
+        }
+    )
+    return banks.selectExpr(*keys, "entidad_bancaria", f"inline(transform({axes}, axis -> {quote}))")
 
 
 def offered_coins(pages: DataFrame, coins: Mapping[str, str], html: str = "html") -> DataFrame:
     """Configured coins whose label is an option of the page: page columns, ``key``, ``label``."""
-    keys = _keys(pages, html)
-    read = pages.select(*keys, H.clean_texts(H.elements(F.col(html), "option")).alias("_options"))
-    listed = _structs({"key": k, "label": label} for k, label in coins.items())
-    return read.select(*keys, "_options", F.inline(listed)).where(
-        F.array_contains("_options", F.col("label"))
-    ).drop("_options")
+    keys = [name(k) for k in _keys(pages, html)]
+    options = H.clean_texts(H.elements(name(html), "option"))
+    listed = rows({"key": k, "label": label} for k, label in coins.items())
+    opened = pages.selectExpr(*keys, f"{options} AS _options").selectExpr("*", f"inline({listed})")
+    return opened.where("array_contains(_options, label)").drop("_options")

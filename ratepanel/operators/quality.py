@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratepanel.functions.sql import name, struct, text
 from ratepanel.operators.reshape import columns_except
 from ratepanel.schemas import DATE
 
@@ -19,11 +20,10 @@ def null_series(panel: DataFrame, title: Column, value: str) -> DataFrame:
 
 def null_columns(series: DataFrame) -> DataFrame:
     """Columns of a wide table in which every value is null, found in one pass."""
-    names = columns_except(series)
-    counts = series.agg(*[F.count(F.col(c)).alias(c) for c in names])
-    long = counts.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).alias("_n")) for c in names]))
+    counts = ", ".join(
+        struct({"series": text(c), "_n": f"count({name(c)})"}) for c in columns_except(series)
     )
+    long = series.agg(F.expr(f"array({counts})").alias("_counts")).selectExpr("inline(_counts)")
     return long.where("_n = 0").select("series")
 
 

@@ -9,7 +9,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratepanel.functions.normalize import nonpositive_to_null, zero_to_null
+from ratepanel.functions.normalize import zero_to_null
+from ratepanel.functions.sql import name, struct, text
 from ratepanel.functions.titles import compose_title, parts_of, title_of
 from ratepanel.schemas import DATE, FX, FX_TYPES, LIBOR, SML, TCE, Family
 
@@ -62,14 +63,12 @@ def wide_to_long(
     ``columns`` gives the dimension values of each column. They are plan
     constants, so no title is taken apart per row, and nothing is shuffled.
     """
-    cells = [
-        F.struct(
-            *[F.lit(dims[d]).alias(d) for d in family.dims],
-            nonpositive_to_null(F.col(name)).alias(family.value),
-        )
-        for name, dims in columns.items()
-    ]
-    return series.select(DATE, F.inline(F.array(*cells)))
+    def cell(column: str, dims: Mapping[str, str]) -> str:
+        value = f"CASE WHEN {name(column)} > 0 THEN {name(column)} END"
+        return struct({**{d: text(dims[d]) for d in family.dims}, family.value: value})
+
+    cells = ", ".join(cell(column, dims) for column, dims in columns.items())
+    return series.selectExpr(DATE, f"inline(array({cells}))")
 
 
 def rates_to_panel(series: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -85,8 +84,8 @@ def fx_to_panel(tc_local: DataFrame, tp_usd: DataFrame) -> DataFrame:
     """
     both = tc_local.exists() & tp_usd.exists()
     panels = [
-        wide_to_long(df, {c: {"coin": c, "type": name} for c in columns_except(df)}, FX)
-        for name, df in zip(FX_TYPES, (tc_local, tp_usd), strict=True)
+        wide_to_long(df, {c: {"coin": c, "type": measure} for c in columns_except(df)}, FX)
+        for measure, df in zip(FX_TYPES, (tc_local, tp_usd), strict=True)
     ]
     return concat_panels(panels).where(both)
 
@@ -120,14 +119,17 @@ def pivot_sum(
     kind = cells.schema[value].dataType
     if len(members) <= CONDITIONAL_COLUMNS:
         keyed = cells.select(index, key.alias("_key"), value)
-        sums = [
-            zero_to_null(F.sum(F.when(F.col("_key") == m, F.col(value)))).cast(kind).alias(name)
-            for m, name in members.items()
-        ]
+
+        def total(member: str) -> str:
+            summed = f"sum({name(value)}) FILTER (WHERE _key = {text(member)})"
+            return f"CAST(nullif({summed}, 0) AS {kind.simpleString()})"
+
+        sums = [F.expr(total(m)).alias(column) for m, column in members.items()]
         return keyed.groupBy(index).agg(*sums)
-    wanted = F.when(key.isin(list(members)), key)
+    listed = f"CASE WHEN _key IN ({', '.join(map(text, members))}) THEN _key END AS _key"
     summed = (
-        cells.select(index, wanted.alias("_key"), value)
+        cells.select(index, key.alias("_key"), value)
+        .selectExpr(name(index), listed, name(value))
         .groupBy(index, "_key")
         .agg(zero_to_null(F.sum(value)).cast(kind).alias("_cell"))
     )
@@ -145,7 +147,7 @@ def _lay_out(cells: DataFrame, members: Mapping[str, str], index: str) -> DataFr
         .groupBy(index)
         .pivot("_key", list(members))
         .agg(F.max("_cell"))
-        .withColumnsRenamed({m: name for m, name in members.items() if m != name})
+        .withColumnsRenamed({m: column for m, column in members.items() if m != column})
     )
 
 

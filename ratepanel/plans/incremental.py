@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratepanel.functions.sql import rows, text
 from ratepanel.operators.calendar import calendar, in_range
 from ratepanel.operators.merge import (
     append_new,
@@ -18,7 +19,7 @@ from ratepanel.operators.merge import (
     upsert_by_date,
 )
 from ratepanel.plans.pages import pages_to_panel
-from ratepanel.schemas import DATE
+from ratepanel.schemas import DATE, VALUE
 from ratepanel.sources.config import Dims
 from ratepanel.sources.panel import empty_panel, read_snapshot, write_snapshot
 
@@ -46,19 +47,16 @@ def _refetch_dates(
 def _blank_cells(days: DataFrame, pages: DataFrame, dims: Dims) -> DataFrame:
     """Null cells for the days (of a coin) without any page."""
     family = dims.family
-    coins = F.array(*[F.lit(c).cast("string") for c in dims.page_coins])
-    expected = days.select(DATE, F.explode(coins).alias("coin"))
+    coins = ", ".join(text(c) for c in dims.page_coins)
+    expected = days.selectExpr(DATE, f"explode(array({coins})) AS coin")
     present = pages.select(*(c for c in expected.columns if family.page_dim or c == DATE)).distinct()
     absent = expected.join(present, present.columns, "left_anti")
-    fields = [f"{d}" for d in family.dims]
-    members = F.array(
-        *[F.struct(*[F.lit(v).alias(d) for d, v in zip(fields, m, strict=True)]) for m in dims.members()]
-    )
-    rows = absent.select(DATE, "coin", F.inline(members).alias(*[f"_{d}" for d in fields]))
+    members = rows({f"_{d}": v for d, v in zip(family.dims, m, strict=True)} for m in dims.members())
+    cells = absent.selectExpr(DATE, "coin", f"inline({members})")
     if family.page_dim:
-        rows = rows.where(F.col("coin") == F.col(f"_{family.page_dim}"))
-    null_value = F.lit(None).cast(family.panel_schema[family.value].dataType)
-    return rows.select(DATE, *[F.col(f"_{d}").alias(d) for d in fields], null_value.alias(family.value))
+        cells = cells.where(f"coin = _{family.page_dim}")
+    renamed = [f"_{d} AS {d}" for d in family.dims]
+    return cells.selectExpr(DATE, *renamed, f"CAST(NULL AS {VALUE.simpleString()}) AS {family.value}")
 
 
 def incremental_run(
