@@ -120,10 +120,8 @@ def pages_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as HTML text below source, coin and date folders, read back and parsed."""
     root = fresh_path(spark, "pages")
     pages = _pages(spark, sf_dir).withColumnsRenamed({"html": "value"})
-    one_line = F.regexp_replace("value", "\\n", " ").alias("value")
-    pages.select("source", "coin", F.col(DATE).cast("string").alias("day"), one_line).write.partitionBy(
-        "source", "coin", "day"
-    ).text(root)
+    named = pages.select("source", "coin", F.col(DATE).cast("string").alias("day"), "value")
+    named.write.partitionBy("source", "coin", "day").text(root)
     name = r"source=([^/]+)/coin=([^/]+)/day=(\d{4}-\d{2}-\d{2})/"
     read = PG.load_page_files(spark, root, name, "*.txt")
     panel = pages_to_panel(family_pages(read, FX_DIMS), FX_DIMS)

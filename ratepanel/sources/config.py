@@ -166,7 +166,7 @@ def check_rates(rates: dict[str, str]) -> None:
 
 def load_dims(spark: SparkSession, path: str, section: str) -> Dims:
     """Read and check one section of a configuration file."""
-    text = spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "json")
+    text = spark.read.text(path, wholetext=True).withColumnRenamed("value", "json")
     return dims_of(text, section)
 
 
@@ -175,24 +175,32 @@ def dims_of(configs: DataFrame, section: str) -> Dims:
     if section not in FAMILIES:
         raise ValueError(f"unknown section: {section}")
     config = parse_config(configs, section)
-    row = config.first()
-    if row is None or all(row[c] is None for c in config.columns):
+    # Maps lose their order on the way to the driver, arrays of entries do not.
+    row = config.selectExpr(
+        "map_entries(rates) AS rates",
+        "map_entries(coins) AS coins",
+        "flatten(transform(map_entries(types), t -> transform(map_entries(t.value),"
+        " c -> struct(t.key AS coin, c.key AS label, c.value AS column)))) AS types",
+        "transform(map_entries(entities), e -> struct(e.key, e.value.name, e.value.title)) AS entities",
+        "table_class",
+    ).first()
+    if row is None or all(part is None for part in row):
         raise ValueError(f"the configuration is malformed or has no section {section}")
     for part in REQUIRED[section]:
         if row[part] is None:
             raise ValueError(f"the section {section} has no {part}")
         if not row[part]:
             raise ValueError(f"the section {section} has empty {part}")
-    rates = row.rates or {}
+    rates = dict(row.rates or ())
     if section == "libor":
         check_rates(rates)
-    quotes = [] if row.entities is None else dim_quote(config).where(F.col("flow") == FLOWS[0]).orderBy("ord").collect()
+    quotes = dim_quote(config).where(F.col("flow") == FLOWS[0]).orderBy("ord").collect() if row.entities else []
     return Dims(
         family=FAMILIES[section],
         rates=rates,
-        coins=row.coins or {},
-        types=tuple((c, label, col) for c, labels in (row.types or {}).items() for label, col in labels.items()),
-        entities=tuple((k, e.name, e.title) for k, e in (row.entities or {}).items()),
+        coins=dict(row.coins or ()),
+        types=tuple(tuple(t) for t in row.types or ()),
+        entities=tuple(tuple(e) for e in row.entities or ()),
         quotes=tuple((q.coin, q.entity, int(q.hour), q.channel, q.active) for q in quotes),
         table_class=row.table_class,
     )

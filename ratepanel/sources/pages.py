@@ -21,11 +21,8 @@ def load_page_files(
     spark: SparkSession, path: str, name: str = FILE_NAME, files: str = "*.html"
 ) -> DataFrame:
     """One page per file; source, coin and date come from the file's path."""
-    texts = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", files)
-        .text(path)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", files).text(
+        path, wholetext=True
     )
     where = F.col("_metadata.file_path")
     part = lambda i: F.regexp_extract(where, name, i)
