@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratepanel.functions.sql import rows, text
-from ratepanel.operators.calendar import calendar, in_range
+from ratepanel.operators.calendar import calendar, in_range, small_dates
 from ratepanel.operators.merge import (
     append_new,
     dates_to_load,
@@ -78,7 +78,13 @@ def incremental_run(
     """
     family = dims.family
     spark = pages.sparkSession
-    stored = empty_panel(spark, family) if skip_panel or panel is None else panel
+    first = min(start, refetch[0]) if refetch else start
+    last = max(end, refetch[1]) if refetch else end
+
+    # Dates outside the range pass by untouched: only those inside it are joined.
+    held = empty_panel(spark, family) if skip_panel or panel is None else panel
+    stored = in_range(held, first, last)
+    outside = held.where(~F.coalesce(F.col(DATE).between(F.lit(first), F.lit(last)), F.lit(False)))
     base = stored if skip_trim else trim_trailing_empty(stored, start, end, family.value)
 
     misses = dates_to_load(base, start, end)
@@ -88,14 +94,13 @@ def incremental_run(
         wanted = misses.unionByName(again).distinct()
 
     # Both passes read their pages in one scan: a page of either is parsed once.
-    first = min(start, refetch[0]) if refetch else start
-    last = max(end, refetch[1]) if refetch else end
     offered = in_range(pages, first, last)
+    wanted = small_dates(wanted, first, last)
     parsed = pages_to_panel(offered.join(wanted, DATE, "left_semi"), dims)
     new = append_new(parsed.select(*family.columns), _blank_cells(misses, offered, dims))
 
     merged = upsert_by_date(base.select(*family.columns), new, family.page_key)
-    return Run(merged, in_range(merged, start, end))
+    return Run(append_new(outside.select(*family.columns), merged), in_range(merged, start, end))
 
 
 def update_store(
@@ -107,9 +112,14 @@ def update_store(
     refetch: tuple[dt.date, dt.date] | None = None,
     skip_trim: bool = False,
 ) -> DataFrame:
-    """``incremental_run`` on a stored panel; returns the asked dates of its new version."""
-    spark = pages.sparkSession
-    stored = read_snapshot(spark, root, dims.family)
+    """``incremental_run`` on a stored panel; returns its asked dates after the run.
+
+    Only the years of the range are read and written again.
+    """
+    spark, family = pages.sparkSession, dims.family
+    first = min(start, refetch[0]) if refetch else start
+    last = max(end, refetch[1]) if refetch else end
+    stored = read_snapshot(spark, root, family, dt.date(first.year, 1, 1), dt.date(last.year, 12, 31))
     run = incremental_run(pages, stored, dims, start, end, refetch, skip_trim=skip_trim)
-    write_snapshot(run.panel, root, dims.family)
-    return read_snapshot(spark, root, dims.family, start, end)
+    write_snapshot(run.panel, root, family, range(first.year, last.year + 1))
+    return read_snapshot(spark, root, family, start, end)

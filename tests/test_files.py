@@ -1,4 +1,5 @@
 import json
+import re
 from decimal import Decimal
 
 import pytest
@@ -51,10 +52,23 @@ def test_snapshots(spark, rows, tmp_path):
     assert rows(stored) == rows(first)
     assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day("2019-12-31"), "30", Decimal(1))]
     # A version that is not listed was never finished.
-    first.write.parquet(f"{root}/version=3/year=2019")
-    assert PN.latest_version(spark, root) == 2
+    first.write.parquet(f"{root}/data/version=3/year=2019")
+    assert PN.current_versions(spark, root) == {None: 2}
     pruned = PN.read_snapshot(spark, root, LIBOR, day("2020-01-01"), day("2020-02-01"))
-    assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().toString()
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\n]*year#\d+ >= 2020", plan)
+
+
+def test_snapshots_of_single_years(spark, rows, tmp_path):
+    root = str(tmp_path / "store")
+    days = ["2018-05-05", "2019-05-05", "2020-05-05"]
+    PN.write_snapshot(rates(spark, *[(d, "30", "1") for d in days]), root, LIBOR)
+    # 2019 gets another value, 2020 loses its only date.
+    PN.write_snapshot(rates(spark, (days[1], "30", "2")), root, LIBOR, [2019, 2020])
+    assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day(days[0]), "30", Decimal(1)), (day(days[1]), "30", Decimal(2))]
+    assert PN.current_versions(spark, root) == {None: 1, 2019: 2, 2020: 2}
+    PN.write_snapshot(rates(spark, (days[2], "30", "5")), root, LIBOR)
+    assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day(days[2]), "30", Decimal(5))]
 
 
 def test_series_csv(spark, rows, tmp_path):

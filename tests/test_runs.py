@@ -81,7 +81,16 @@ def test_stored_runs_build_on_each_other(spark, rows, tmp_path):
     assert thirty(later) == {1: "0.01", 2: "0.02", 3: "0.03", 4: None, 5: "0.05", 6: None}
     repeated = update_store(pages(spark, *PAGES_IN), root, RATES, START, END)
     assert rows(repeated) == rows(later)
-    assert PN.latest_version(spark, root) == 3
+    assert PN.current_versions(spark, root) == {2024: 3}
+
+
+def test_other_years_are_not_rewritten(spark, tmp_path):
+    root = str(tmp_path / "store")
+    PN.write_snapshot(stored(spark, *STORED), root, LIBOR)
+    update_store(pages(spark, *PAGES_IN), root, RATES, START, END)
+    written = {p.name for p in (tmp_path / "store" / "data" / "version=2").glob("year=*")}
+    assert written == {"year=2024"}
+    assert thirty(PN.read_snapshot(spark, root, LIBOR)) == {31: "7", 1: "7", 2: "0.02", 3: "0.03", 4: None, 5: "0.05", 6: None}
 
 
 def test_coins_of_a_hit_date_stay_null(spark):
