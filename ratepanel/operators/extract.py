@@ -167,23 +167,23 @@ def parse_quote_page(
     banks = pages.selectExpr(*keys, f"explode({found}) AS _bank").selectExpr(
         *keys, "_bank.key AS entidad_bancaria", "_bank.cells AS _cells", f"{known} AS _known"
     )
-    axes = rows(
-        {"canal": channel, "flujo": flow, "hour": hour}
+    slots = ", ".join(
+        struct(
+            {
+                "canal": text(channel),
+                "flujo": text(flow),
+                "hora": text(f"{hour}hs"),
+                "_slot": text(f"{hour}|{channel}"),
+                "_at": quote_position(text(hour), text(channel), text(flow)) + " + 1",
+            }
+        )
         for hour in HOURS
         for channel in CHANNELS
         for flow in FLOWS
     )
-    position = quote_position("axis.hour", "axis.canal", "axis.flujo")
-    asked = "array_contains(_known, concat_ws('|', axis.hour, axis.canal))"
-    quote = struct(
-        {
-            "canal": "axis.canal",
-            "flujo": "axis.flujo",
-            "hora": "concat(axis.hour, 'hs')",
-            "raw": f"CASE WHEN {asked} THEN try_element_at(_cells, {position} + 1) END",
-        }
-    )
-    return banks.selectExpr(*keys, "entidad_bancaria", f"inline(transform({axes}, axis -> {quote}))")
+    raw = "CASE WHEN array_contains(_known, _slot) THEN try_element_at(_cells, _at) END AS raw"
+    opened = banks.selectExpr("*", f"inline(array({slots}))")
+    return opened.selectExpr(*keys, "entidad_bancaria", "canal", "flujo", "hora", raw)
 
 
 def offered_coins(pages: DataFrame, coins: Mapping[str, str], html: str = "html") -> DataFrame:
