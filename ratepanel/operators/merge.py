@@ -86,14 +86,17 @@ def append_new(base: DataFrame, new: DataFrame) -> DataFrame:
     return base.unionByName(new)
 
 
-def upsert_by_date(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_by_date(
+    base: DataFrame, new: DataFrame, keys: Sequence[str], replaced: DataFrame | None = None
+) -> DataFrame:
     """Whole dates (of a coin) in ``new`` replace those in ``base``.
 
-    Only the distinct keys of ``new`` meet the base, so a date with very many
-    rows is reduced before the join and its base side may be split by AQE.
+    Only distinct keys meet the base, so a date with very many rows is reduced
+    before the join and its base side may be split by AQE. ``replaced`` gives
+    the keys where they are cheaper to have than out of ``new``.
     """
-    replaced = new.select(*keys).distinct()
-    return append_new(base.join(replaced, list(keys), "left_anti"), new)
+    gone = (new if replaced is None else replaced).select(*keys).distinct()
+    return append_new(base.join(gone, list(keys), "left_anti"), new)
 
 
 def latest_cells(cells: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:

@@ -95,11 +95,15 @@ def incremental_run(
 
     # Both passes read their pages in one scan: a page of either is parsed once.
     offered = in_range(pages, first, last)
-    wanted = small_dates(wanted, first, last)
-    parsed = pages_to_panel(offered.join(wanted, DATE, "left_semi"), dims)
+    if family.page_dim:
+        offered = offered.where(F.col("coin").isin(list(dims.coins)))
+    chosen = offered.join(small_dates(wanted, first, last), DATE, "left_semi")
+    parsed = pages_to_panel(chosen, dims)
     new = append_new(parsed.select(*family.columns), _blank_cells(misses, offered, dims))
 
-    merged = upsert_by_date(base.select(*family.columns), new, family.page_key)
+    # The keys come from the page table, whose HTML need not be read for them.
+    replaced = chosen.withColumnRenamed("coin", family.page_dim or "coin")
+    merged = upsert_by_date(base.select(*family.columns), new, family.page_key, replaced)
     return Run(append_new(outside.select(*family.columns), merged), in_range(merged, start, end))
 
 
