@@ -43,8 +43,8 @@ def _summary(panel: DataFrame, keys: list[str], value: str = "value") -> DataFra
 
 @query(f"""
     SELECT indice_tiempo, coin AS event_type, kind AS type, count(*) AS n_cells,
-           count(*) FILTER (WHERE type = kind) AS n_values,
-           CAST(sum(value) FILTER (WHERE type = kind) * 0.01 AS DECIMAL(24,6)) AS total
+           count(*) FILTER (WHERE type = kind AND value > 0) AS n_values,
+           CAST(sum(value) FILTER (WHERE type = kind AND value > 0) * 0.01 AS DECIMAL(24,6)) AS total
     FROM ({PANEL}) CROSS JOIN ({KINDS}) GROUP BY 1, 2, 3
 """)
 def extract_rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,8 @@ def unknown_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH v AS (SELECT indice_tiempo, coin, value * 1000 AS tp_usd, CASE WHEN value >= 5 THEN value END AS tc_local FROM ({PANEL})),
     l AS (SELECT indice_tiempo, coin, 'tp_usd' AS type, tp_usd AS value FROM v
           UNION ALL SELECT indice_tiempo, coin, 'tc_local', tc_local FROM v)
-    SELECT indice_tiempo, coin, type, count(*) AS n_cells, count(value) AS n_values, CAST(sum(value) AS DECIMAL(24,6)) AS total
+    SELECT indice_tiempo, coin, type, count(*) AS n_cells,
+           count(value) FILTER (WHERE value > 0) AS n_values, CAST(sum(value) FILTER (WHERE value > 0) AS DECIMAL(24,6)) AS total
     FROM l GROUP BY 1, 2, 3
 """)
 def extract_date_row(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,9 +90,9 @@ LABELS = ["Tipo de cambio de Referencia", "Tipo de cambio PTAX", "Tipo de cambio
 
 @query(f"""
     SELECT indice_tiempo, coin, kind AS type, count(*) AS n_cells,
-           count(*) FILTER (WHERE NOT (coin = 'error' AND kind = 't2')) AS n_values,
-           CAST(sum(value + CAST(kind[2:] AS INTEGER)) FILTER (WHERE NOT (coin = 'error' AND kind = 't2')) AS DECIMAL(24,6)) AS total
-    FROM ({PANEL}) CROSS JOIN ({KINDS}) WHERE NOT (coin = 'click' AND kind = 't3') GROUP BY 1, 2, 3
+           count(*) FILTER (WHERE v > 0 AND NOT (coin = 'error' AND kind = 't2')) AS n_values,
+           CAST(sum(v) FILTER (WHERE v > 0 AND NOT (coin = 'error' AND kind = 't2')) AS DECIMAL(24,6)) AS total
+    FROM (SELECT *, value + CAST(kind[2:] AS INTEGER) AS v FROM ({PANEL}) CROSS JOIN ({KINDS})) WHERE NOT (coin = 'click' AND kind = 't3') GROUP BY 1, 2, 3
 """)
 def extract_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pages: one coin has a column less, another waits for a label its pages lack."""
@@ -157,8 +158,8 @@ def _damaged(html: Column) -> Column:
 
 @query(f"""
     SELECT indice_tiempo, coin AS event_type, kind AS type, count(*) AS n_cells,
-           count(*) FILTER (WHERE type = kind AND coin = 'view') AS n_values,
-           CAST(sum(value) FILTER (WHERE type = kind AND coin = 'view') * 0.01 AS DECIMAL(24,6)) AS total
+           count(*) FILTER (WHERE type = kind AND coin = 'view' AND value > 0) AS n_values,
+           CAST(sum(value) FILTER (WHERE type = kind AND coin = 'view' AND value > 0) * 0.01 AS DECIMAL(24,6)) AS total
     FROM ({PANEL}) CROSS JOIN ({KINDS}) GROUP BY 1, 2, 3
 """)
 def empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

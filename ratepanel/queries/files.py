@@ -66,7 +66,7 @@ def missing_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT indice_tiempo, {', '.join(f"CAST(sum(value) FILTER (WHERE type = '{t}') AS DECIMAL(18,2)) AS libor_{t}_dias" for t in TYPES)},
+    SELECT indice_tiempo, {', '.join(f"CAST(nullif(sum(value) FILTER (WHERE type = '{t}'), 0) AS DECIMAL(18,2)) AS libor_{t}_dias" for t in TYPES)},
            CAST(NULL AS DECIMAL(18,2)) AS libor_t9_dias
     FROM ({PANEL}) GROUP BY 1
 """)
@@ -80,7 +80,7 @@ def series_file_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(DATE, *[money(c).alias(c) for c in header[1:]])
 
 
-@query(f"SELECT indice_tiempo, type, CAST(sum(value) AS DECIMAL(18,2)) AS value FROM ({PANEL}) GROUP BY 1, 2")
+@query(f"SELECT indice_tiempo, type, CAST(sum(value) AS DECIMAL(18,2)) AS value FROM ({PANEL}) GROUP BY 1, 2 HAVING sum(value) > 0")
 def parsed_json_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dumps of parsed rows, one per day, back to the panel."""
     path = fresh_path(spark, "parsed")
@@ -109,7 +109,7 @@ SUMS = f"""
     WITH s AS (SELECT indice_tiempo, coin, CASE WHEN type IN ('t0', 't2') THEN 'tp_usd' ELSE 'tc_local' END AS type,
                       sum(value) AS value FROM ({PANEL}) GROUP BY 1, 2, 3),
     d AS (SELECT DISTINCT indice_tiempo, coin FROM s)
-    SELECT d.indice_tiempo, d.coin, t.type, CAST(s.value AS DECIMAL(18,2)) AS value
+    SELECT d.indice_tiempo, d.coin, t.type, CAST(nullif(s.value, 0) AS DECIMAL(18,2)) AS value
     FROM d CROSS JOIN (SELECT unnest(['tp_usd', 'tc_local']) AS type) t LEFT JOIN s USING (indice_tiempo, coin, type)
 """
 FX_DIMS = Dims(FX, coins={c: c.title() for c in COINS})

@@ -114,7 +114,7 @@ def panel_to_series_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
     WITH s AS (SELECT indice_tiempo, type, sum(value) AS value FROM ({PANEL}) GROUP BY 1, 2),
     d AS (SELECT DISTINCT indice_tiempo FROM s), k AS (SELECT unnest(['t0', 't1', 't2', 't3']) AS type)
-    SELECT d.indice_tiempo, k.type, CAST(s.value AS DECIMAL(18,2)) AS value
+    SELECT d.indice_tiempo, k.type, CAST(nullif(s.value, 0) AS DECIMAL(18,2)) AS value
     FROM d CROSS JOIN k LEFT JOIN s USING (indice_tiempo, type)
 """)
 def series_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +127,7 @@ def series_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH d AS (SELECT DISTINCT indice_tiempo, type FROM ({PANEL}) WHERE type IN ('t0', 't1')),
     c AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS coin)
     SELECT d.indice_tiempo, c.coin, CASE d.type WHEN 't0' THEN 'tc_local' ELSE 'tp_usd' END AS type,
-           CAST((SELECT sum(value) FROM ({PANEL}) p
+           CAST((SELECT nullif(sum(value), 0) FROM ({PANEL}) p
                  WHERE p.indice_tiempo = d.indice_tiempo AND p.coin = c.coin AND p.type = d.type) AS DECIMAL(18,2)) AS value
     FROM d CROSS JOIN c
 """)
@@ -149,7 +149,7 @@ def fx_to_panel_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH d AS (SELECT DISTINCT indice_tiempo, coin FROM ({PANEL}) WHERE coin IN ('click', 'view')),
     k AS (SELECT unnest(['t0', 't1', 't2', 't3']) AS type)
     SELECT d.indice_tiempo, d.coin, k.type,
-           CAST((SELECT sum(value) FROM ({PANEL}) p
+           CAST((SELECT nullif(sum(value), 0) FROM ({PANEL}) p
                  WHERE p.indice_tiempo = d.indice_tiempo AND p.coin = d.coin AND p.type = k.type) AS DECIMAL(18,2)) AS value
     FROM d CROSS JOIN k
 """)
@@ -164,7 +164,7 @@ def sml_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH s AS (SELECT indice_tiempo, moneda, entidad_bancaria, canal, flujo, hora, sum(valor) AS valor
                FROM ({QUOTES}) WHERE moneda = 'signup' GROUP BY ALL),
     d AS (SELECT DISTINCT indice_tiempo, moneda FROM s)
-    SELECT d.indice_tiempo, d.moneda, e.entidad_bancaria, c.canal, f.flujo, h.hora, CAST(s.valor AS DECIMAL(18,2)) AS valor
+    SELECT d.indice_tiempo, d.moneda, e.entidad_bancaria, c.canal, f.flujo, h.hora, CAST(nullif(s.valor, 0) AS DECIMAL(18,2)) AS valor
     FROM d CROSS JOIN (SELECT DISTINCT entidad_bancaria FROM s) e CROSS JOIN (SELECT DISTINCT canal FROM s) c
     CROSS JOIN (SELECT DISTINCT flujo FROM s) f CROSS JOIN (SELECT DISTINCT hora FROM s) h
     LEFT JOIN s ON s.indice_tiempo = d.indice_tiempo AND s.entidad_bancaria = e.entidad_bancaria
@@ -178,7 +178,7 @@ def quotes_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     SELECT indice_tiempo, moneda, entidad_bancaria, canal, flujo, hora, CAST(sum(valor) AS DECIMAL(18,2)) AS valor
-    FROM ({QUOTES}) WHERE moneda IN ('purchase', 'view') GROUP BY ALL
+    FROM ({QUOTES}) WHERE moneda IN ('purchase', 'view') GROUP BY ALL HAVING sum(valor) > 0
 """)
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long to wide and back gives the same cells."""

@@ -170,7 +170,7 @@ SUMS = f"""
 PAGE_CELLS = f"""
     SELECT indice_tiempo, coin, type,
            CASE WHEN coin = 'error' AND indice_tiempo = DATE '2024-01-26' THEN NULL
-                WHEN type = 'tp_usd' THEN tp_usd ELSE tc_local END AS value
+                WHEN type = 'tp_usd' THEN nullif(tp_usd, 0) ELSE nullif(tc_local, 0) END AS value
     FROM ({SUMS}) CROSS JOIN (SELECT unnest(['tp_usd', 'tc_local']) AS type)
     WHERE NOT (coin = 'error' AND indice_tiempo = DATE '2024-01-25')
 """
