@@ -16,7 +16,6 @@ from ratepanel.queries.inputs import (
     events_panel,
     fx_html,
     grouped_text,
-    money,
     quote_html,
     quotes_panel,
     rate_html,

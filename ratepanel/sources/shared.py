@@ -1,4 +1,4 @@
-"""The shared folder for data that has to outlive a task or a plan."""
+"""The shared folder, and the spread of small scans."""
 
 from __future__ import annotations
 
@@ -26,12 +26,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` out once and go on from there, so that lost executors repeat nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def spread(scan: DataFrame) -> DataFrame:
     """Give every core work when a scan has fewer splits than there are cores.
 

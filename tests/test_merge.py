@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratepanel.operators import calendar as C
 from ratepanel.operators import merge as M
-from ratepanel.schemas import DATE, FX, LIBOR
+from ratepanel.schemas import DATE, FX
 
 START = dt.date(2024, 1, 1)
 
