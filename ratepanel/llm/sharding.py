@@ -20,16 +20,16 @@ native functions.
 
 from __future__ import annotations
 
+import struct
 from math import isqrt
 
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratepanel.llm.frames import cut
 
-#: A prime below 2^31, so that squares of remainders stay in a long.
-PRIME = 2147483647
-ROUNDS = 6
+ROUNDS = 4
 #: A walk ends within a steps: there are fewer than a cells outside. With more
 #: than 64 columns it is past 64 steps with a chance below 64^-64 (then an error).
 WALK = 64
@@ -44,14 +44,9 @@ def rectangle(count: int) -> tuple[int, int]:
     return a, max(1, -(-count // a))
 
 
-def constants(seed: int) -> list[tuple[int, int]]:
-    """An addend and a factor for each round."""
-    out, state = [], (seed * 2654435761 + 40503) % PRIME
-    for _ in range(ROUNDS):
-        addend = state = (state * 48271 + 11) % PRIME
-        state = (state * 48271 + 11) % PRIME
-        out.append((addend, state % 65521 + 1))
-    return out
+def constants(seed: int) -> list[int]:
+    """A number for each round."""
+    return [seed * 1_000_003 + i for i in range(ROUNDS)]
 
 
 def permute(number: int, count: int, seed: int) -> int:
@@ -59,11 +54,11 @@ def permute(number: int, count: int, seed: int) -> int:
     a, b = rectangle(count)
     while True:
         left, right = number % a, number // a
-        for i, (addend, factor) in enumerate(constants(seed)):
+        for i, salt in enumerate(constants(seed)):
             if i % 2:
-                right = (right + _stir(left, addend, factor)) % b
+                right = (right + _stir(left, salt) % b) % b
             else:
-                left = (left + _stir(right, addend, factor)) % a
+                left = (left + _stir(right, salt) % a) % a
         number = right * a + left
         if number < count:
             return number
@@ -74,20 +69,21 @@ def row_at(position: int, count: int, seed: int) -> int:
     a, b = rectangle(count)
     while True:
         left, right = position % a, position // a
-        for i, (addend, factor) in reversed(list(enumerate(constants(seed)))):
+        for i, salt in reversed(list(enumerate(constants(seed)))):
             if i % 2:
-                right = (right - _stir(left, addend, factor)) % b
+                right = (right - _stir(left, salt) % b) % b
             else:
-                left = (left - _stir(right, addend, factor)) % a
+                left = (left - _stir(right, salt) % a) % a
         position = right * a + left
         if position < count:
             return position
 
 
-def _stir(value: int, addend: int, factor: int) -> int:
-    x = (value + addend) % PRIME
-    x = x * x % PRIME * factor % PRIME
-    return x * x % PRIME // 7
+def _stir(value: int, salt: int) -> int:
+    """Spark's xxhash64 of two longs."""
+    first = xxhash.xxh64_intdigest(struct.pack("<q", value), 42)
+    both = xxhash.xxh64_intdigest(struct.pack("<q", salt), first)
+    return both - (1 << 64) if both >> 63 else both
 
 
 def _div(value: Column, by: int) -> Column:
@@ -96,21 +92,13 @@ def _div(value: Column, by: int) -> Column:
 
 
 def _network(number: Column, a: int, b: int, seed: int) -> Column:
-    def stir(value: Column, addend: int, factor: int) -> Column:
-        x = (value + F.lit(addend)) % PRIME
-        # The struct binds a value that is used twice.
-        square = F.transform(F.array(x), lambda v: v * v % PRIME * factor % PRIME)[0]
-        return _div(F.transform(F.array(square), lambda v: v * v % PRIME)[0], 7)
-
-    def turn(i: int, addend: int, factor: int):
+    left, right = number % a, _div(number, a)
+    for i, salt in enumerate(constants(seed)):
         if i % 2:
-            return lambda h: F.struct(h["l"].alias("l"), ((h["r"] + stir(h["l"], addend, factor)) % b).alias("r"))
-        return lambda h: F.struct(((h["l"] + stir(h["r"], addend, factor)) % a).alias("l"), h["r"].alias("r"))
-
-    halves = F.array(F.struct((number % a).alias("l"), _div(number, a).alias("r")))
-    for i, (addend, factor) in enumerate(constants(seed)):
-        halves = F.transform(halves, turn(i, addend, factor))
-    return F.transform(halves, lambda h: h["r"] * a + h["l"])[0]
+            right = (right + F.pmod(F.xxhash64(left, F.lit(salt).cast("long")), F.lit(b))) % b
+        else:
+            left = (left + F.pmod(F.xxhash64(right, F.lit(salt).cast("long")), F.lit(a))) % a
+    return right * a + left
 
 
 def position(number: Column, count: int, seed: int) -> Column:
