@@ -2,28 +2,33 @@
 
 A document's set holds its distinct five-word shingles, its signature the
 smallest of them under each of many hash orders. Every (coordinate, value) pair
-is a posting list. Two sets that are similar enough agree in at least MATCHES of
-the COORDINATES, so they still meet when each document skips its MATCHES - 1 most
-frequent pairs (prefix): common passages, whose lists are long, are skipped, and a
-document whose other pairs are all its own posts nothing at all. Collisions are
-then counted on the signatures; pairs above the match threshold are confirmed on
-the full sets.
-
-Lists are never expanded into pairs of members. First equal sets become one
-entry. Then every member of a list is held against one member of the list, a few
-times over with other members, and what is linked gets a common label. Lists of
-one label are done. In the others, members outside the list's main label are
-held against members of other labels. So every two entries that share a list end
-up under one label or have been compared, and no link between components is lost.
-
-With 48 coordinates and 20 matches, a pair of similarity 0.75 is missed by the
-count with a chance of 3e-7, more similar pairs with less.
+of the first POSTED coordinates is a posting list. Two sets that are similar
+enough agree in at least POSTED_MATCHES of these, so they still meet when each
+document skips its POSTED_MATCHES - 1 most frequent pairs (prefix): common
+passages, whose lists are long, are skipped, and a document whose other pairs are
+all its own posts nothing at all. Collisions are counted on whole signatures;
+pairs above the match threshold are confirmed on the full sets.
+
+Long lists are never expanded into pairs of members. First equal sets become one
+entry. Then every member of a list is held against the list's centre, the member
+whose values are the most frequent; what is linked gets a common label, and lists
+of one label are done. In a list of up to SHORT members those of different labels
+are compared. The members of the longer lists with the same centre form a family.
+If two of them are similar enough, either they agree in a coordinate in which one
+that failed the count with the centre differs from it, or both have passed that
+count. For those that passed, the shingles that half of them have are the family's
+core: two of them are compared if they have a shingle beyond the core in common,
+or if what each shares with the core is enough by itself. A family of a thousand
+unlike relatives so costs as many comparisons, not their square.
+
+A pair of similarity 0.75 is skipped by the prefix with a chance of 2e-7 and by
+the count with 4e-7, more similar pairs with less.
 
 Defined cases: a text of fewer than five words is one shingle; a null or blank
 text has an empty set and is linked with nothing; rows without an id are linked
 with nothing and kept; each distinct pair of id and set is one document, so
-repeated rows appear once. An empty table gives an empty result. Extra columns
-are ignored.
+repeated rows appear once, and an id with several texts links what any of them
+links. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,12 +44,12 @@ from ratepanel.llm.graph import components
 from ratepanel.llm.words import texts, window_hashes, word_hashes
 
 WIDTH = 5
-COORDINATES = 48
-MATCHES = 20
+COORDINATES, MATCHES = 96, 50
+POSTED, POSTED_MATCHES = 48, 20
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Members that whole lists are held against, one after the other.
-CENTRES = 2
+#: Longest list whose members are compared with each other.
+SHORT = 32
 #: Words hashed at a time; a memory bound, without effect on results.
 AT_ONCE = 400_000
 
@@ -73,7 +78,7 @@ def shingle_sets(documents: list[bytes], width: int = WIDTH) -> list[np.ndarray]
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
-    """A row of COORDINATES 32-bit values for each set that isn't empty."""
+    """A row of COORDINATES 32-bit values for each set; no set may be empty."""
     sizes = [len(s) for s in sets]
     every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     starts = np.zeros(len(sets), np.int64)
@@ -98,21 +103,24 @@ def _portions(documents: list[bytes]):
         yield run
 
 
-_SKETCH = "n long, digest binary, signature array<int>"
+_SKETCH = "n long, digest binary, posted array<int>, signature array<short>"
 
 
 def _sketch(column: pa.Array) -> pa.Array:
-    sizes, digests, values = [], [], []
+    sizes, digests, posted, signed = [], [], [], []
     for run in _portions(texts(column)):
         sets = shingle_sets(run)
-        signed = iter(signatures([s for s in sets if len(s)]))
+        values = signatures([s for s in sets if len(s)])
+        # Lists are keyed by 32 bits of a value, collisions are counted on 16.
+        pairs = zip(values[:, :POSTED], values.astype(np.int16), strict=True)
         for s in sets:
             sizes.append(len(s))
             digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-            values.append(next(signed) if len(s) else None)
-    return pa.StructArray.from_arrays(
-        [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int32()))], ["n", "digest", "signature"]
-    )
+            post, sign = next(pairs) if len(s) else (None, None)
+            posted.append(post)
+            signed.append(sign)
+    columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(posted, pa.list_(pa.int32())), pa.array(signed, pa.list_(pa.int16()))]
+    return pa.StructArray.from_arrays(columns, ["n", "digest", "posted", "signature"])
 
 
 def _full_set(column: pa.Array) -> pa.Array:
@@ -124,104 +132,159 @@ def _matches(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda n, m: n + m)
 
 
-def _comparable(x: str, y: str) -> Column:
-    """Sizes allow the similarity, and signatures agree often enough."""
-    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (
-        (F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m))
-        & (F.col(f"{x}.id") != F.col(f"{y}.id"))
-        & (_matches(F.col(f"{x}.signature"), F.col(f"{y}.signature")) >= MATCHES)
-    )
+def _sizes_allow(n: Column, m: Column) -> Column:
+    return F.lit(100) * F.least(n, m) >= F.lit(PERCENT) * F.greatest(n, m)
 
 
 def _entries(sets: DataFrame) -> DataFrame:
-    """`key, e struct<id, n, signature>`: the posting lists that hold two sets or more, prefixes only."""
-    values = sets.select("id", F.posexplode("signature").alias("coordinate", "value"))
+    """`key, id, rank`: the prefixes' posting lists; a high rank stands for frequent values."""
+    values = sets.select("id", F.posexplode("posted").alias("coordinate", "value"))
     key = F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     posts = values.select("id", key.alias("key"))
     often = posts.groupBy("key").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     shared = posts.join(often, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"))
     # Pairs that only this set has come first in the prefix.
-    take = F.lit(COORDINATES - MATCHES + 1) - (F.lit(COORDINATES) - F.size("shared"))
-    kept = shared.where(take > 0).select("id", F.slice("shared", F.lit(1), take)["key"].alias("keys"))
-    members = kept.join(sets, "id").select(F.struct("id", "n", "signature").alias("e"), F.explode("keys").alias("key"))
-    return members.select("key", "e")
+    take = F.lit(POSTED - POSTED_MATCHES + 1) - (F.lit(POSTED) - F.size("shared"))
+    rank = F.aggregate("shared", F.lit(0.0), lambda total, s: total + F.log2(s["often"]))
+    kept = shared.where(take > 0).select("id", rank.alias("rank"), F.slice("shared", F.lit(1), take)["key"].alias("keys"))
+    return kept.select(F.explode("keys").alias("key"), "id", "rank")
+
 
+def _counted(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs `a, b` whose sizes and signatures allow the similarity."""
+    left = sets.select(F.col("id").alias("a"), F.col("n").alias("an"), F.col("signature").alias("s"))
+    right = sets.select(F.col("id").alias("b"), F.col("n").alias("bn"), F.col("signature").alias("t"))
+    sized = pairs.join(left, "a").join(right, "b").where(_sizes_allow(F.col("an"), F.col("bn")))
+    return sized.where(_matches(F.col("s"), F.col("t")) >= MATCHES).select("a", "b")
 
-def _confirm(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """The pairs `a, b` whose full sets are similar enough."""
+
+def _common(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """`a, b, common, total`: the size of the intersection, and of both sets together."""
     left = full.select(F.col("id").alias("a"), F.col("members").alias("as"))
     right = full.select(F.col("id").alias("b"), F.col("members").alias("bs"))
-    # 100 * both >= PERCENT * (total - both), with the intersection written once so that it is counted once.
     both, total = F.size(F.array_intersect("as", "bs")).cast("long"), (F.size("as") + F.size("bs")).cast("long")
-    return pairs.join(left, "a").join(right, "b").where(both * (100 + PERCENT) >= total * PERCENT).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("common"), total.alias("total"))
+
+
+def _similar(common: Column, total: Column) -> Column:
+    """100 * common >= PERCENT * union."""
+    return common * (100 + PERCENT) >= total * PERCENT
 
 
 def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Entries with their label: their own id as long as they have no link."""
     if labels is None:
-        return entries.withColumn("label", F.col("e.id"))
+        return entries.withColumn("label", F.col("id"))
     known = labels.select(F.col("node"), F.col("label").alias("known"))
-    joined = entries.join(known, F.col("e.id") == F.col("node"), "left")
-    return joined.select("key", "e", F.coalesce("known", "e.id").alias("label"))
+    joined = entries.join(known, F.col("id") == F.col("node"), "left")
+    return joined.select(*entries.columns, F.coalesce("known", "id").alias("label"))
 
 
 def _open(entries: DataFrame) -> DataFrame:
-    """The lists that hold more than one label."""
-    several = entries.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key")
-    return entries.join(several, "key", "left_semi")
-
-
-def _against_centre(entries: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a list's centre and its members of other labels."""
-    order = F.xxhash64(F.col("e.id"), F.lit(turn))
-    centre = entries.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("e").alias("c"), F.col("label").alias("l"))).alias("x"))
-    centre = centre.select(F.col("key").alias("k"), F.col("x.c").alias("c"), F.col("x.l").alias("l"))
-    met = entries.join(centre, (F.col("key") == F.col("k")) & (F.col("label") != F.col("l")) & _comparable("e", "c"))
-    return met.select(F.least("e.id", "c.id").alias("a"), F.greatest("e.id", "c.id").alias("b")).distinct()
-
-
-def _outsiders(entries: DataFrame) -> DataFrame:
-    """Pairs of members of different labels of which one is outside the list's main label."""
-    sizes = entries.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy(F.col("key").alias("k")).agg(F.max(F.struct("n", "label"))["label"].alias("main"))
-    told = cut(entries.join(main, F.col("key") == F.col("k")).select("key", "e", "label", (F.col("label") != F.col("main")).alias("out")))
-    some = told.where("out").select(F.col("key").alias("xk"), F.col("e").alias("x"), F.col("label").alias("xl"))
-    once = ~F.col("out") | (F.col("x.id") < F.col("e.id"))
-    met = some.join(told, (F.col("key") == F.col("xk")) & (F.col("label") != F.col("xl")) & once & _comparable("x", "e"))
-    return met.select(F.least("e.id", "x.id").alias("a"), F.greatest("e.id", "x.id").alias("b")).distinct()
+    """`key, centre, middle, size` of the lists that hold more than one label; `middle` is the centre's."""
+    best = F.max(F.struct("rank", (-F.col("id")).alias("minus"), "label")).alias("best")
+    lists = entries.groupBy("key").agg(best, F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"))
+    return lists.where("low < high").select("key", (-F.col("best.minus")).alias("centre"), F.col("best.label").alias("middle"), "size")
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _in_short_lists(entries: DataFrame) -> DataFrame:
+    """Pairs of different labels in lists of bounded length; the centre has met all others."""
+    x = entries.where((F.col("size") <= SHORT) & (F.col("id") != F.col("centre"))).select("key", F.col("id").alias("x"), F.col("label").alias("xl"))
+    y = x.select(F.col("key").alias("k"), F.col("x").alias("y"), F.col("xl").alias("yl"))
+    met = x.join(y, (F.col("key") == F.col("k")) & (F.col("x") < F.col("y")) & (F.col("xl") != F.col("yl")))
+    return met.select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def _several(posts: DataFrame, at: str) -> DataFrame:
+    """Posts of values that members of different labels have."""
+    lists = posts.groupBy("centre", at).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return posts.join(lists.select("centre", at), ["centre", at], "left_semi")
+
+
+def _met_at(posts: DataFrame, at: str, needed: Column) -> DataFrame:
+    """Pairs of different labels that have a value in common within a family and agree often enough."""
+    x, y = posts.alias("x"), posts.alias("y")
+    same = (F.col("x.centre") == F.col("y.centre")) & (F.col(f"x.{at}") == F.col(f"y.{at}"))
+    both = same & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & needed
+    agree = _matches(F.col("x.signature"), F.col("y.signature")) >= MATCHES
+    return x.join(y, both & agree).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _failed(family: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that agree where they differ from their centre, one of them unlike the centre."""
+    signatures = sets.select("id", "signature")
+    middle = sets.select(F.col("id").alias("centre"), F.col("signature").alias("c"))
+    told = F.transform("signature", lambda v, i: F.when(v != F.get(F.col("c"), i), i * 65536 + v + 32768))
+    signed = family.join(signatures, "id").join(middle, "centre")
+    posts = signed.select("centre", "id", "label", "passed", F.explode(F.array_compact(told)).alias("value"))
+    some = posts.where(~F.col("passed")).select("centre", "value").distinct()
+    met = _several(cut(posts.join(some, ["centre", "value"], "left_semi")), "value")
+    return _met_at(cut(met.join(signatures, "id")), "value", ~F.col("x.passed") | ~F.col("y.passed"))
+
+
+def _passed(family: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs of members like their centre that the family's core doesn't rule out."""
+    members = full.select("id", F.size("members").cast("long").alias("n"), F.explode("members").alias("shingle"))
+    posts = cut(family.where("passed").join(members, "id"))
+    heads = family.where("passed").groupBy("centre").agg(F.count(F.lit(1)).alias("heads"))
+    often = posts.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")).join(heads, "centre")
+    core = cut(often.where("2 * often >= heads").select("centre", "shingle", F.lit(1).alias("core")))
+    marked = cut(posts.join(core, ["centre", "shingle"], "left"))
+    held = cut(marked.groupBy("centre", "middle", "id", "label", "n").agg(F.count("core").alias("held")))
+    # Beyond the core a pair shares at most what the one with less has there.
+    total, within = F.col("x.n") + F.col("y.n"), F.least("x.held", "y.held")
+    beyond = F.least(F.col("x.n") - F.col("x.held"), F.col("y.n") - F.col("y.held"))
+    outside = _several(marked.where("core is null").select("centre", "id", "label", "shingle"), "shingle")
+    told = cut(outside.join(held.select("centre", "id", "n", "held"), ["centre", "id"]).join(sets.select("id", "signature"), "id"))
+    met = _met_at(told, "shingle", _similar(within + beyond, total))
+    # Without that, the core alone must do; the partner has at least PERCENT of the member's size.
+    near = cut(held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")))
+    x, y = near.where(F.col("label") != F.col("middle")).alias("x"), near.alias("y")
+    once = (F.col("y.label") == F.col("y.middle")) | (F.col("x.id") < F.col("y.id"))
+    alone = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.label") != F.col("y.label")) & once & _similar(within, total)
+    return met.union(x.join(y, alone).select(*_ordered("x.id", "y.id")))
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """`node, label` of all sets that have a link.
 
-    `sets` has `id, n, signature`, a row for each distinct set; `docs` has `id, text`.
+    `sets` has `id, n, posted, signature`, a row for each distinct set; `docs` has `id, text`.
     """
     entries = cut(_entries(sets))
-    posted = entries.groupBy(F.col("e.id").alias("id")).agg(F.count(F.lit(1)).alias("lists")).select("id")
-    full = cut(docs.join(posted, "id", "left_semi").select("id", F.arrow_udf(_full_set, "array<long>")("text").alias("members")))
-    labels, found = None, None
-    for turn in range(CENTRES + 1):
-        left = cut(_open(_labelled(entries, labels)))
-        pairs = _against_centre(left, turn) if turn < CENTRES else _outsiders(left)
-        linked = cut(_confirm(pairs, full))
-        if linked.limit(1).count():
-            found = linked if found is None else found.union(linked)
-            labels = components(found, labels)
-    return labels if labels is not None else entries.select(F.col("e.id").alias("node"), F.col("e.id").alias("label")).limit(0)
+    lists = _open(_labelled(entries, None))
+    with_centre = entries.join(lists, "key").where("id <> centre").select(*_ordered("centre", "id")).distinct()
+    pairs = cut(_counted(with_centre, sets))
+    full = cut(docs.join(entries.select("id").distinct(), "id", "left_semi").select("id", F.arrow_udf(_full_set, "array<long>")("text").alias("members")))
+    passed = cut(_common(pairs, full))
+    linked = passed.where(_similar(F.col("common"), F.col("total"))).select("a", "b")
+    labels = components(linked)
+    told = _labelled(entries, labels)
+    left = cut(told.join(_open(told), "key"))
+    long = left.where((F.col("size") > SHORT) & (F.col("id") != F.col("centre"))).select("centre", "middle", "id", "label").distinct()
+    met_centre = pairs.select(F.col("a").alias("centre"), F.col("b").alias("id")).union(pairs.select(F.col("b").alias("centre"), F.col("a").alias("id")))
+    family = cut(long.join(met_centre.withColumn("yes", F.lit(True)), ["centre", "id"], "left").withColumn("passed", F.coalesce("yes", F.lit(False))))
+    met = _in_short_lists(left).union(_failed(family, sets)).union(_passed(family, sets, full)).distinct()
+    again = _common(_counted(met, sets), full)
+    more = cut(again.where(_similar(F.col("common"), F.col("total"))).select("a", "b"))
+    if more.limit(1).count():
+        labels = components(linked.union(more), labels)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Id, `n_shingles`, `component_id` and `kept` of each document."""
     plain = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    sketched = plain.select("id", F.arrow_udf(_sketch, _SKETCH)("text").alias("s")).select("id", "s.*")
-    sketches = cut(sketched)
+    sketches = cut(plain.select("id", F.arrow_udf(_sketch, _SKETCH)("text").alias("s")).select("id", "s.*"))
     some = F.col("id").isNotNull() & (F.col("n") > 0)
     # Equal sets are one entry, named by the smallest id, so groups of copies shrink before they are shuffled.
-    sets = cut(sketches.where(some).groupBy("n", "digest").agg(F.min(F.struct("id", "signature")).alias("s")).select("n", "digest", "s.*"))
+    sets = cut(sketches.where(some).groupBy("n", "digest").agg(F.min(F.struct("id", "posted", "signature")).alias("s")).select("n", "digest", "s.*"))
     # A repeated id with several texts names several sets; they are one document's.
     first = plain.where(F.col("id").isNotNull())
-    labels = links(sets.select("id", "n", "signature"), first)
+    labels = links(sets.select("id", "n", "posted", "signature"), first)
     named = sets.join(labels, sets.id == labels.node, "left").select("n", "digest", F.coalesce("label", "id").alias("component"))
     rows = sketches.select("id", "n", F.when(some, F.col("digest")).alias("digest")).distinct()
     told = rows.join(named, ["n", "digest"], "left")
