@@ -14,12 +14,12 @@ entry. Then every member of a list is held against the list's centre, the member
 whose values are the most frequent; what is linked gets a common label, and lists
 of one label are done. In a list of up to SHORT members those of different labels
 are compared. The members of the longer lists with the same centre form a family.
-If two of them are similar enough, either they agree in a coordinate in which one
-that failed the count with the centre differs from it, or both have passed that
-count. For those that passed, the shingles that half of them have are the family's
-core: two of them are compared if they have a shingle beyond the core in common,
-or if what each shares with the core is enough by itself. A family of a thousand
-unlike relatives so costs as many comparisons, not their square.
+If two of them are similar enough, either both have values in common with it as
+often as similar sets do, or they agree in a posted value that it lacks. For those
+like the centre, the shingles that half of them have are the family's core: two of
+them are compared if they have a shingle beyond the core in common, or if what each
+shares with the core is enough by itself. A family of a thousand unlike relatives
+so costs as many comparisons, not their square.
 
 A pair of similarity 0.75 is skipped by the prefix with a chance of 2e-7 and by
 the count with 4e-7, more similar pairs with less.
@@ -199,12 +199,6 @@ def _in_short_lists(entries: DataFrame) -> DataFrame:
     return met.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def _several(posts: DataFrame, at: str) -> DataFrame:
-    """Posts of values that members of different labels have."""
-    lists = posts.groupBy("centre", at).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return posts.join(lists.select("centre", at), ["centre", at], "left_semi")
-
-
 def _met_at(posts: DataFrame, at: str, needed: Column) -> DataFrame:
     """Pairs of different labels that have a value in common within a family and agree often enough."""
     x, y = posts.alias("x"), posts.alias("y")
@@ -216,33 +210,40 @@ def _met_at(posts: DataFrame, at: str, needed: Column) -> DataFrame:
 
 def _failed(family: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that agree where they differ from their centre, one of them unlike the centre."""
-    signatures = sets.select("id", "signature")
-    middle = sets.select(F.col("id").alias("centre"), F.col("signature").alias("c"))
-    told = F.transform("signature", lambda v, i: F.when(v != F.get(F.col("c"), i), i * 65536 + v + 32768))
-    signed = family.join(signatures, "id").join(middle, "centre")
-    posts = signed.select("centre", "id", "label", "passed", F.explode(F.array_compact(told)).alias("value"))
-    some = posts.where(~F.col("passed")).select("centre", "value").distinct()
-    met = _several(cut(posts.join(some, ["centre", "value"], "left_semi")), "value")
-    return _met_at(cut(met.join(signatures, "id")), "value", ~F.col("x.passed") | ~F.col("y.passed"))
+    told = F.array_compact(F.transform("posted", lambda v, i: F.when(v != F.get(F.col("c"), i), F.struct(i.alias("i"), v.alias("v")))))
+    posts = family.select("centre", "id", "label", "passed", F.explode(told).alias("value"))
+    # Values that only one label has, or only members like the centre, are left out at once.
+    open_ = F.min("label").alias("low"), F.max("label").alias("high"), F.min("passed").alias("all")
+    lists = posts.groupBy("centre", "value").agg(*open_).where("low < high and not all").select("centre", "value")
+    met = posts.join(lists, ["centre", "value"], "left_semi").join(sets.select("id", "signature"), "id")
+    return _met_at(cut(met), "value", ~F.col("x.passed") | ~F.col("y.passed"))
 
 
 def _passed(family: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     """Pairs of members like their centre that the family's core doesn't rule out."""
-    members = full.select("id", F.size("members").cast("long").alias("n"), F.explode("members").alias("shingle"))
-    posts = cut(family.where("passed").join(members, "id"))
-    heads = family.where("passed").groupBy("centre").agg(F.count(F.lit(1)).alias("heads"))
-    often = posts.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often")).join(heads, "centre")
-    core = cut(often.where("2 * often >= heads").select("centre", "shingle", F.lit(1).alias("core")))
-    marked = cut(posts.join(core, ["centre", "shingle"], "left"))
-    held = cut(marked.groupBy("centre", "middle", "id", "label", "n").agg(F.count("core").alias("held")))
+    alike = cut(family.where("passed").select("centre", "middle", "id", "label").join(full, "id"))
+    heads = alike.groupBy("centre").agg(F.count(F.lit(1)).alias("heads"))
+    often = alike.select("centre", F.explode("members").alias("shingle")).groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often"))
+    # Half of the members have each of them, so there are at most twice as many as a member has on average.
+    core = often.join(heads, "centre").where("2 * often >= heads").groupBy("centre").agg(F.collect_list("shingle").alias("core"))
+    n = F.size("members").cast("long")
+    held = alike.join(core, "centre", "left").select(
+        "centre", "middle", "id", "label", n.alias("n"), F.array_except("members", F.coalesce("core", F.array().cast("array<long>"))).alias("beyond")
+    )
+    held = cut(held.withColumn("held", F.col("n") - F.size("beyond")))
     # Beyond the core a pair shares at most what the one with less has there.
     total, within = F.col("x.n") + F.col("y.n"), F.least("x.held", "y.held")
-    beyond = F.least(F.col("x.n") - F.col("x.held"), F.col("y.n") - F.col("y.held"))
-    outside = _several(marked.where("core is null").select("centre", "id", "label", "shingle"), "shingle")
-    told = cut(outside.join(held.select("centre", "id", "n", "held"), ["centre", "id"]).join(sets.select("id", "signature"), "id"))
-    met = _met_at(told, "shingle", _similar(within + beyond, total))
+    outside = F.least(F.col("x.n") - F.col("x.held"), F.col("y.n") - F.col("y.held"))
+    # A partner has PERCENT of the member's shingles, so what the core lacks of them must be common beyond it:
+    # in any order, two members then meet in the first of what they have there.
+    lacking = F.greatest(F.lit(1), F.ceil(F.col("n") * PERCENT / 100) - F.col("held"))
+    first = F.slice(F.array_sort("beyond"), F.lit(1), F.greatest(F.lit(0), F.size("beyond") - lacking + 1).cast("int"))
+    posts = held.select("centre", "id", "label", "n", "held", F.explode(first).alias("shingle"))
+    lists = posts.groupBy("centre", "shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    told = posts.join(lists.select("centre", "shingle"), ["centre", "shingle"], "left_semi").join(sets.select("id", "signature"), "id")
+    met = _met_at(cut(told), "shingle", _similar(within + outside, total))
     # Without that, the core alone must do; the partner has at least PERCENT of the member's size.
-    near = cut(held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")))
+    near = cut(held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")).select("centre", "middle", "id", "label", "n", "held"))
     x, y = near.where(F.col("label") != F.col("middle")).alias("x"), near.alias("y")
     once = (F.col("y.label") == F.col("y.middle")) | (F.col("x.id") < F.col("y.id"))
     alone = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.label") != F.col("y.label")) & once & _similar(within, total)
@@ -265,8 +266,9 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     told = _labelled(entries, labels)
     left = cut(told.join(_open(told), "key"))
     long = left.where((F.col("size") > SHORT) & (F.col("id") != F.col("centre"))).select("centre", "middle", "id", "label").distinct()
-    met_centre = pairs.select(F.col("a").alias("centre"), F.col("b").alias("id")).union(pairs.select(F.col("b").alias("centre"), F.col("a").alias("id")))
-    family = cut(long.join(met_centre.withColumn("yes", F.lit(True)), ["centre", "id"], "left").withColumn("passed", F.coalesce("yes", F.lit(False))))
+    middles = sets.select(F.col("id").alias("centre"), F.col("posted").alias("c"))
+    signed = long.join(sets.select("id", "posted"), "id").join(middles, "centre")
+    family = cut(signed.withColumn("passed", _matches(F.col("posted"), F.col("c")) >= POSTED_MATCHES))
     met = _in_short_lists(left).union(_failed(family, sets)).union(_passed(family, sets, full)).distinct()
     again = _common(_counted(met, sets), full)
     more = cut(again.where(_similar(F.col("common"), F.col("total"))).select("a", "b"))
