@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from ratepanel.llm.words import Remember
 
 #: Distinct pieces whose ids a Python worker remembers; a memory bound, without effect on results.
-PIECES = 1 << 20
+PIECES = 1 << 18
 #: The same for words with what stands around them, and for pairs of tokens.
-WORDS = PAIRS = 1 << 19
+WORDS, PAIRS = 1 << 18, 1 << 17
 #: Lengths of beginnings whose tables are shared among pieces.
-STEMS = (4, 6, 8)
+STEMS, TABLES = (4, 6, 8), 1 << 15
 #: The pattern of the given vocabularies, a fixed value; for it the codec's short way is known to hold.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
@@ -136,7 +136,7 @@ class PrefixEncoder:
             found = stems.get(stem)
             if found is None:
                 found = self.extend(last[:], stem)
-                if len(stems) >= PAIRS:
+                if len(stems) >= TABLES:
                     stems.clear()
                 stems[stem] = found
             last = found

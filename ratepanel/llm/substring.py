@@ -85,7 +85,7 @@ def _by_key(keys: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndar
     order = np.lexsort((starts, keys))
     keys, starts = keys[order], starts[order]
     cuts = _groups(keys)
-    for begin, end in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+    for begin, end in zip(cuts, [*cuts[1:], len(keys)], strict=False):
         yield int(keys[begin]), starts[begin:end]
 
 
@@ -95,7 +95,7 @@ def _sent(parts: int, hashes, more, ids, keys, starts) -> Iterator[pa.RecordBatc
     order = np.argsort(part, kind="stable")
     cuts = _groups(part[order])
     rows = []
-    for begin, end in zip(cuts, [*cuts[1:], len(part)], strict=True):
+    for begin, end in zip(cuts, [*cuts[1:], len(part)], strict=False):
         own = order[begin:end]
         rows.append((int(part[own[0]]), *[c[own].tobytes() for c in (hashes, more, ids, keys, starts)]))
     if rows:

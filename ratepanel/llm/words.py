@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 
 #: Distinct words whose hash a Python worker remembers; a memory bound, without effect on results.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
