@@ -11,7 +11,8 @@ length and hashed; the earliest place of each keeps its words.
 
 Both rounds work alike. A task sorts the hashes of its batch, settles what repeats
 inside the batch, and sends one place of each hash to the part that owns the hash;
-there the places of all batches meet, and what was found goes back by document. A
+there the places of all batches meet, and what was found goes back, packed, to the
+part that gathers it by document. A
 passage that a third of all documents share so costs one place per batch, not one
 per document. The number of parts follows the size of the input.
 
@@ -49,9 +50,10 @@ _ODD_2 = np.uint64(0xD6E8FEB86659FD93)
 _LAST = np.iinfo(np.int64).max
 
 _PLACES = "part int, hashes binary, more binary, ids binary, keys binary, starts binary"
-_BACK = "key long, starts binary"
+_BACK = "home int, keys binary, counts binary, starts binary"
+_FOUND = "key long, starts binary"
 _SEND = pa.schema([("part", pa.int32()), *[(n, pa.binary()) for n in ("hashes", "more", "ids", "keys", "starts")]])
-_RETURN = pa.schema([("key", pa.int64()), ("starts", pa.binary())])
+_RETURN = pa.schema([("home", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("starts", pa.binary())])
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], slice]]:
@@ -109,9 +111,26 @@ def _settled(parts: int, keys: np.ndarray, starts: np.ndarray) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SEND, strict=True)], schema=_SEND)
 
 
-def _returned(keys: np.ndarray, starts: np.ndarray) -> pa.Table:
-    found = list(_by_key(keys, starts))
-    return pa.Table.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([s.tobytes() for _, s in found], pa.binary())], schema=_RETURN)
+def _returned(parts: int, keys: np.ndarray, starts: np.ndarray) -> pa.Table:
+    """Places on their way to the documents: packed in one row for each part that owns some of the keys."""
+    homes = keys % parts
+    order = np.lexsort((starts, keys, homes))
+    homes, keys, starts = homes[order], keys[order], starts[order]
+    rows = []
+    cuts = _groups(homes)
+    for begin, end in zip(cuts, [*cuts[1:], len(homes)], strict=False):
+        heads = _groups(keys[begin:end])
+        counts = np.diff(np.append(heads, end - begin)).astype(np.int32)
+        rows.append((int(homes[begin]), keys[begin:end][heads].tobytes(), counts.tobytes(), starts[begin:end].tobytes()))
+    columns = zip(*rows, strict=True) if rows else [[]] * len(_RETURN)
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _RETURN, strict=True)], schema=_RETURN)
+
+
+def _arrived(table: pa.Table) -> pa.Table:
+    """One row for each document with its starts."""
+    keys = np.repeat(_joined(table["keys"], np.int64), _joined(table["counts"], np.int32))
+    found = list(_by_key(keys, _joined(table["starts"], np.int32)))
+    return pa.table({"key": pa.array([k for k, _ in found], pa.int64()), "starts": pa.array([s.tobytes() for _, s in found], pa.binary())})
 
 
 def _joined(column: pa.ChunkedArray, kind) -> np.ndarray:
@@ -194,21 +213,27 @@ def _meet(table: pa.Table) -> tuple[np.ndarray, ...]:
     return keys, starts, *[_joined(sent[n], kind) for n, kind in kinds]
 
 
-def _meet_anchors(table: pa.Table) -> pa.Table:
-    keys, starts, hashes, marked, _, sent_keys, sent_starts = _meet(table)
-    order = np.argsort(hashes, kind="stable")
-    cuts = _groups(hashes[order])
-    sizes = np.diff(np.append(cuts, len(order)))
-    found = order[np.repeat(sizes > 1, sizes)]
-    found = found[marked[found] == 0]
-    return _returned(np.concatenate([keys, sent_keys[found]]), np.concatenate([starts, sent_starts[found]]))
+def _meet_anchors(parts: int):
+    def meet(table: pa.Table) -> pa.Table:
+        keys, starts, hashes, marked, _, sent_keys, sent_starts = _meet(table)
+        order = np.argsort(hashes, kind="stable")
+        cuts = _groups(hashes[order])
+        sizes = np.diff(np.append(cuts, len(order)))
+        found = order[np.repeat(sizes > 1, sizes)]
+        found = found[marked[found] == 0]
+        return _returned(parts, np.concatenate([keys, sent_keys[found]]), np.concatenate([starts, sent_starts[found]]))
+
+    return meet
+
 
+def _meet_windows(parts: int):
+    def meet(table: pa.Table) -> pa.Table:
+        keys, starts, hashes, more, ids, sent_keys, sent_starts = _meet(table)
+        order, first, _ = _first_of(hashes, more, ids, sent_keys, sent_starts)
+        later = order[~first]
+        return _returned(parts, np.concatenate([keys, sent_keys[later]]), np.concatenate([starts, sent_starts[later]]))
 
-def _meet_windows(table: pa.Table) -> pa.Table:
-    keys, starts, hashes, more, ids, sent_keys, sent_starts = _meet(table)
-    order, first, _ = _first_of(hashes, more, ids, sent_keys, sent_starts)
-    later = order[~first]
-    return _returned(np.concatenate([keys, sent_keys[later]]), np.concatenate([starts, sent_starts[later]]))
+    return meet
 
 
 def _windows(parts: int):
@@ -223,7 +248,7 @@ def _windows(parts: int):
                 one, two = window_hashes(hashes, LENGTH), window_hashes(hashes, LENGTH, _ODD_2)
                 near = np.zeros(len(one) + PERIOD, np.int32)
                 for begin, found in zip(begins, batch.column("found").slice(rows.start, rows.stop - rows.start).to_pylist(), strict=False):
-                    anchors = np.frombuffer(b"".join(found), np.int32).astype(np.int64)
+                    anchors = np.frombuffer(found, np.int32).astype(np.int64)
                     # An anchor may stand up to PERIOD - 1 words after the start.
                     np.add.at(near, begin + np.maximum(anchors - PERIOD + 1, 0), 1)
                     np.add.at(near, np.minimum(begin + anchors + 1, len(near) - 1), -1)
@@ -242,13 +267,13 @@ def _windows(parts: int):
     return run
 
 
-def _without(text: bytes, removed: list[bytes] | None) -> tuple[list[bytes], list[bytes]]:
+def _without(text: bytes, removed: bytes | None) -> tuple[list[bytes], list[bytes]]:
     """Words, and the words that stay."""
     words = text.split()
     if not removed:
         return words, words
     edge = np.zeros(len(words) + 1, np.int32)
-    starts = np.frombuffer(b"".join(removed), np.int32)
+    starts = np.frombuffer(removed, np.int32)
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + LENGTH, -1)
     gone = np.cumsum(edge)[: len(words)] > 0
@@ -272,19 +297,22 @@ def _digested(column: pa.Array, removed: pa.Array) -> pa.Array:
     )
 
 
+def _found(sent: DataFrame, meet, name: str) -> DataFrame:
+    """`at, name`: what the parts found, by document."""
+    back = sent.groupBy("part").applyInArrow(meet, _BACK)
+    return back.groupBy("home").applyInArrow(_arrived, _FOUND).select(F.col("key").alias("at"), F.col("starts").alias(name))
+
+
 def repeated_windows(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """`id, text, removed array<binary>`: starts (32-bit) of the windows that also start earlier."""
+    """`id, text, removed binary`: starts (32-bit) of the windows that also start earlier."""
     plain = F.col(f"`{text}`").cast("string")
     number = F.col(f"`{id_column}`").cast("long")
     rows = docs.select(number.alias("id"), plain.alias("text"), F.xxhash64(number, plain).alias("key"))
     parts = max(1, text_bytes(rows) // PART_BYTES)
     anchors = rows.select("key", "text").mapInArrow(_anchors(parts), _PLACES)
-    repeated = anchors.groupBy("part").applyInArrow(_meet_anchors, _BACK)
-    # At most all anchors of one document meet here.
-    found = repeated.groupBy(F.col("key").alias("at")).agg(F.collect_list("starts").alias("found"))
+    found = _found(anchors, _meet_anchors(parts), "found")
     around = rows.join(found, rows.key == found["at"]).select("id", "key", "text", "found").mapInArrow(_windows(parts), _PLACES)
-    later = around.groupBy("part").applyInArrow(_meet_windows, _BACK)
-    removed = later.groupBy(F.col("key").alias("at")).agg(F.collect_list("starts").alias("removed"))
+    removed = _found(around, _meet_windows(parts), "removed")
     return rows.join(removed, rows.key == removed["at"], "left").select("id", "text", "removed")
 
 
