@@ -13,10 +13,14 @@ time in proportion to it.
 
 from __future__ import annotations
 
-from ratepanel.functions.sql import rows, text
+from html.entities import html5
 
-_HIDDEN = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>)"
-_TAG = r"<[^>]+>"
+from ratepanel.functions.sql import text
+
+# An open comment or script hides the rest of the page. Each body is scanned once, without going back.
+_HIDDEN = r"(?i)<(?:!--(?:[^-]++|-(?!->))*+(?:-->|\z)|script\b(?:[^<]++|<(?!/script\b))*+(?:</script\s*+>|\z))"
+# A ">" in a quoted attribute doesn't end the tag.
+_TAG = r"""<(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])++>"""
 
 # Fixed value: white space by the Unicode standard.
 _SPACE = (
@@ -25,30 +29,15 @@ _SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Character references that occur in Spanish pages. The ampersand
-# comes last so that "&amp;lt;" stays "&lt;".
-_REFERENCES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&aacute;": "á",
-    "&eacute;": "é",
-    "&iacute;": "í",
-    "&oacute;": "ó",
-    "&uacute;": "ú",
-    "&ntilde;": "ñ",
-    "&uuml;": "ü",
-    "&Aacute;": "Á",
-    "&Eacute;": "É",
-    "&Iacute;": "Í",
-    "&Oacute;": "Ó",
-    "&Uacute;": "Ú",
-    "&Ntilde;": "Ñ",
-    "&Uuml;": "Ü",
-    "&amp;": "&",
-}
+_REFERENCE = "&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);"
+
+# Separators of the table of names, which no name or character contains.
+_PAIR, _IS = "\x01", "\x02"
+_NAMES = _PAIR.join(f"&{name}{_IS}{letters}" for name, letters in sorted(html5.items()) if name.endswith(";"))
+
+# By the HTML standard, references to C1 controls mean the characters of Windows-1252.
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
+_C1_MEANT = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0))
 
 
 def let(value: str, variable: str, body: str) -> str:
@@ -101,21 +90,23 @@ def trim_text(plain: str) -> str:
     return f"trim(BOTH {text(_SPACE)} FROM {plain})"
 
 
+def _code_point() -> str:
+    """Code point of the numeric reference ``ref``; 0 for one that is too large."""
+    digits = "ltrim('0', regexp_extract(ref, '([0-9a-fA-F]+);$', 1))"
+    hexadecimal = f"IF(length({digits}) > 6, 0, CAST(conv(concat('0', {digits}), 16, 10) AS INT))"
+    decimal = f"IF(length({digits}) > 7, 0, CAST(concat('0', {digits}) AS INT))"
+    return f"IF(lower(substring(ref, 3, 1)) = 'x', {hexadecimal}, {decimal})"
+
+
 def unescape(plain: str) -> str:
-    """Undo numeric and named character references."""
-
-    def numeric(start: str, pattern: str, code_point: str) -> str:
-        codes = f"array_distinct(regexp_extract_all({plain}, {text(pattern)}, 1))"
-        character = f"decode(unhex(lpad({code_point}, 8, '0')), 'UTF-32')"
-        return f"aggregate({codes}, {start}, (acc, code) -> replace(acc, concat('&#', code, ';'), {character}))"
-
-    # Up to U+D7FF: what follows directly are surrogates, which are no characters.
-    low = r"&#([1-9]\d{0,3}|[1-4]\d{4}|5[0-4]\d{3}|55[01]\d\d|552[0-8]\d|5529[0-5]);"
-    low_hex = r"&#([xX](?:[0-9a-cA-C]?[0-9a-fA-F]{1,3}|[dD][0-7][0-9a-fA-F]{2}));"
-    decoded = numeric(plain, low, "hex(CAST(code AS INT))")
-    decoded = numeric(decoded, low_hex, "substring(code, 2, 5)")
-    named = rows({"mark": mark, "letter": letter} for mark, letter in _REFERENCES.items())
-    return f"aggregate({named}, {decoded}, (acc, ref) -> replace(acc, ref.mark, ref.letter))"
+    """Undo all character references in one pass, so that none is undone twice."""
+    character = f"translate(decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32'), {text(_C1)}, {text(_C1_MEANT)})"
+    known = "code BETWEEN 1 AND 1114111 AND code NOT BETWEEN 55296 AND 57343"
+    numeric = let(_code_point(), "code", f"IF({known}, {character}, {text(chr(0xFFFD))})")
+    named = f"coalesce(try_element_at(str_to_map({text(_NAMES)}, {text(_PAIR)}, {text(_IS)}), ref), ref)"
+    read = f"transform(regexp_extract_all({plain}, {text(_REFERENCE)}, 0), ref -> IF(startswith(ref, '&#'), {numeric}, {named}))"
+    between = f"split({plain}, {text(_REFERENCE)}, -1)"
+    return f"array_join(zip_with({between}, {read}, (said, letters) -> concat(said, coalesce(letters, ''))), '')"
 
 
 def _shown(html: str) -> str:

@@ -25,7 +25,6 @@ from ratepanel.queries.inputs import (
 from ratepanel.queries.registry import query
 from ratepanel.schemas import DATE, FX, LIBOR, SML, TCE
 from ratepanel.sources.config import Dims
-from ratepanel.sources.shared import spread
 
 RATES = Dims(LIBOR, rates={t: f"libor_{t}_dias" for t in TYPES})
 KINDS = "SELECT unnest(['t0', 't1', 't2', 't3']) AS kind"
@@ -48,7 +47,7 @@ def _summary(panel: DataFrame, keys: list[str], value: str = "value") -> DataFra
 """)
 def extract_rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Term pages: comments ignored, unknown terms dropped, the last row of a term kept."""
-    pages = spread(events_panel(spark, sf_dir)).select(
+    pages = events_panel(spark, sf_dir).select(
         DATE, F.col("coin").alias("event_type"), rate_html(F.col("type"), F.col("value")).alias("html")
     )
     return _summary(pages_to_panel(pages, RATES), [DATE, "event_type", "type"])
@@ -59,7 +58,7 @@ def extract_rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def unknown_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Terms on the pages that the configuration does not have."""
-    pages = spread(events_panel(spark, sf_dir)).select(
+    pages = events_panel(spark, sf_dir).select(
         "coin", rate_html(F.col("type"), F.col("value")).alias("html")
     )
     terms = X.html_table_cells(pages).where("col_idx = 0").select("coin", F.col("text").alias("type"))
@@ -80,7 +79,7 @@ def extract_date_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value")
     tp_usd = grouped_text((value * 1000).cast("decimal(18,2)"))
     tc_local = F.when(value < 5, "--------").otherwise(comma_text(value))
-    pages = spread(events_panel(spark, sf_dir)).select(DATE, "coin", fx_html(tp_usd, tc_local).alias("html"))
+    pages = events_panel(spark, sf_dir).select(DATE, "coin", fx_html(tp_usd, tc_local).alias("html"))
     return _summary(pages_to_panel(pages, Dims(FX, coins={c: c for c in COINS})), [DATE, "coin", "type"])
 
 
@@ -102,7 +101,7 @@ def extract_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
         if (coin, t) != ("click", "t3")
     ]
     values = [(F.col("value") + i).cast("decimal(18,2)") for i in range(4)]
-    pages = spread(events_panel(spark, sf_dir)).select(DATE, "coin", sml_html(LABELS, values).alias("html"))
+    pages = events_panel(spark, sf_dir).select(DATE, "coin", sml_html(LABELS, values).alias("html"))
     dims = Dims(SML, coins={c: c for c in COINS}, types=tuple(types))
     return _summary(pages_to_panel(pages, dims), [DATE, "coin", "type"])
 
@@ -123,7 +122,7 @@ def extract_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bank pages: the table of the right class, the entity's row, twelve cells by position."""
     name = F.concat(F.lit("BANCO "), F.upper("entidad_bancaria"), F.lit(" (ARG.) S.A."))
     values = [(F.col("valor") + F.lit(i).cast("decimal(4,0)") * F.expr("0.001BD")).cast("decimal(18,3)") for i in range(1, 13)]
-    pages = spread(quotes_panel(spark, sf_dir)).select(
+    pages = quotes_panel(spark, sf_dir).select(
         DATE, F.col("moneda").alias("coin"), quote_html(name, values).alias("html")
     )
     banks = [f"b{i}" for i in range(5)]
@@ -164,7 +163,7 @@ def _damaged(html: Column) -> Column:
 def empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damaged pages still give their full set of null cells."""
     html = rate_html(F.col("type"), F.col("value"))
-    pages = spread(events_panel(spark, sf_dir)).select(
+    pages = events_panel(spark, sf_dir).select(
         DATE, F.col("coin").alias("event_type"), _damaged(html).alias("html")
     )
     return _summary(pages_to_panel(pages, RATES), [DATE, "event_type", "type"])
@@ -180,7 +179,7 @@ def empty_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every cell of the first visible table with its place."""
-    pages = spread(events_panel(spark, sf_dir)).select(DATE, rate_html(F.col("type"), F.col("value")).alias("html"))
+    pages = events_panel(spark, sf_dir).select(DATE, rate_html(F.col("type"), F.col("value")).alias("html"))
     cells = X.html_table_cells(pages)
     return cells.groupBy(DATE, "row_idx", "col_idx", "text").agg(F.count("*").alias("n"))
 
@@ -198,13 +197,13 @@ def _tag_sql(tag: str) -> str:
     i AS (SELECT page_id, tag, unnest(items) AS item, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS idx FROM f),
     s AS (SELECT page_id, tag, idx, regexp_replace(item, '<[^>]+>', '', 'g') AS t FROM i)
     SELECT page_id, tag, idx, regexp_replace(
-             replace(replace(replace(replace(replace(replace(t, '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
+             replace(replace(replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
              '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g') AS text
     FROM s
 """)
 def page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of five kinds of elements of the web pages."""
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
     return X.html_elements(pages, TAGS)
 
 
@@ -218,6 +217,6 @@ def offered_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.initcap("coin"),
         F.lit(" (&Ntilde;)</option></select></form>"),
     )
-    pages = spread(events_panel(spark, sf_dir)).select(DATE, form.alias("html"))
+    pages = events_panel(spark, sf_dir).select(DATE, form.alias("html"))
     coins = {c: f"{c.title()} (Ñ)" for c in COINS if c != "error"}
     return X.offered_coins(pages, coins).groupBy(DATE, "key").agg(F.count("*").alias("n"))

@@ -20,10 +20,9 @@ def empty_panel(spark: SparkSession, family: Family) -> DataFrame:
 
 def read_panel(spark: SparkSession, path: str, family: Family) -> DataFrame:
     """Typed scan of a panel CSV: an empty value is null, others are exact decimals."""
-    fields = [f if f.name != family.value else T.StructField(f.name, T.StringType()) for f in family.panel_schema]
-    raw = spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
-    value = F.nullif(F.col(family.value), F.lit("")).cast(VALUE)
-    return raw.withColumn(family.value, value)
+    raw = spark.read.option("header", True).csv(path)
+    # By the names in the header; the file's order doesn't matter.
+    return raw.select(*[F.nullif(F.col(f.name), F.lit("")).cast(f.dataType).alias(f.name) for f in family.panel_schema])
 
 
 def _or_none(read):
@@ -105,7 +104,7 @@ def read_snapshot(
     for y, v in held.items():
         if y is not None:
             by_version.setdefault(v, []).append(y)
-    current = (version == held.get(None, 0)) & ~year.isin([y for y in held if y is not None])
+    current = (version == held.get(None, 0)) & (year.isNull() | ~year.isin([y for y in held if y is not None]))
     for v, its_years in by_version.items():
         current = current | ((version == v) & year.isin(its_years))
     stored = stored.where(current)

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratepanel.schemas import DATE, VALUE
 
@@ -20,8 +19,8 @@ def write_series(series: DataFrame, header: Sequence[str], path: str) -> None:
 
 def read_series(spark: SparkSession, path: str, header: Sequence[str] | None = None) -> DataFrame:
     """Scan a series CSV; with a header its columns are read as exact decimals."""
+    raw = spark.read.option("header", True).csv(path)
     if header is None:
-        return spark.read.option("header", True).csv(path)
-    kinds = {DATE: T.DateType()}
-    schema = T.StructType([T.StructField(c, kinds.get(c, VALUE)) for c in header])
-    return spark.read.schema(schema).option("header", True).csv(path)
+        return raw
+    # By the names in the file; its order doesn't matter.
+    return raw.select(*[F.col(f"`{c}`").cast("date" if c == DATE else VALUE).alias(c) for c in header])

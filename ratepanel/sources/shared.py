@@ -1,11 +1,11 @@
-"""The shared folder, and the spread of small scans."""
+"""The shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -24,13 +24,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has written to."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Give every core work when a scan has fewer splits than there are cores.
-
-    For scans ahead of costly per-row work. A table large enough to fill the
-    cluster is left where it lies.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

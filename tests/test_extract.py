@@ -193,3 +193,26 @@ def test_quote_positions_are_the_twelve_cells(spark):
     df = spark.createDataFrame(axes, "h int, c string, f string")
     got = [r.p for r in df.selectExpr(f"{X.quote_position('h', 'c', 'f')} AS p").collect()]
     assert got == list(range(1, 13))
+
+
+@pytest.mark.parametrize(
+    ("raw", "shown"),
+    [
+        ("&#039;&ordm;&euro;&ccedil;&iquest;", "'º€ç¿"),
+        ("&#128512;&#x1F600;&#57344;", "\U0001f600\U0001f600\ue000"),
+        ("&#38;lt; &amp;lt; &amp;amp;", "&lt; &lt; &amp;"),
+        ("&#0;&#55296;&#99999999999;&#x80;", "\ufffd\ufffd\ufffd€"),
+        ("&unknown; & &copy", "&unknown; & &copy"),
+        ('<td title="a > b">30</td>', "30"),
+    ],
+)
+def test_clean_text(spark, raw, shown):
+    row = spark.createDataFrame([(raw,)], "raw string").selectExpr(f"{H.clean_text('raw')} AS shown").first()
+    assert row.shown == shown
+
+
+def test_open_marks_take_time_in_proportion(spark):
+    for mark in ("<!-- x ", "<script> ", "<a ", "<a b='"):
+        row = spark.createDataFrame([(mark * 100_000,)], "raw string").selectExpr(f"length({H.clean_text(H.visible('raw'))}) AS n").first()
+        assert row.n is not None
+

@@ -110,9 +110,19 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared.fresh_path(spark, "a") != shared.fresh_path(spark, "a")
 
 
-def test_only_scans_with_few_splits_are_spread(spark, tmp_path):
-    spark.range(100).repartition(2).write.parquet(str(tmp_path / "few"))
-    few = shared.spread(spark.read.parquet(str(tmp_path / "few")))
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 16)
-    assert shared.spread(many) is many
+def test_columns_are_read_by_name(spark, tmp_path, rows):
+    (tmp_path / "panel.csv").write_text("value,type,coin,indice_tiempo\n1.5,tc_local,real,2020-01-02\n,tp_usd,real,2020-01-02\n")
+    panel = PN.read_panel(spark, str(tmp_path / "panel.csv"), FX)
+    assert rows(panel, "coin", "type", "value") == [("real", "tc_local", number("1.5000000000")), ("real", "tp_usd", None)]
+    (tmp_path / "series.csv").write_text("b,a,indice_tiempo\n2,1,2020-01-02\n")
+    series = SR.read_series(spark, str(tmp_path / "series.csv"), ["indice_tiempo", "a", "b"])
+    assert rows(series, "a", "b") == [(number("1.0000000000"), number("2.0000000000"))]
+
+
+def test_rows_without_date_stay_in_the_store(spark, tmp_path):
+    root = str(tmp_path / "store")
+    panel = spark.createDataFrame([(None, "real", "tc_local", number("1")), (day("2020-01-02"), "real", "tc_local", number("2"))], FX.panel_schema)
+    PN.write_snapshot(panel, root, FX)
+    later = panel.where("indice_tiempo is not null")
+    PN.write_snapshot(later, root, FX, years=[2020])
+    assert PN.read_snapshot(spark, root, FX).count() == 2
