@@ -83,7 +83,7 @@ def extract_date_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(pages_to_panel(pages, Dims(FX, coins={c: c for c in COINS})), [DATE, "coin", "type"])
 
 
-LABELS = ["Tipo de cambio de Referencia", "Tipo de cambio PTAX", "Tipo de cambio SML ida", "Tipo de cambio SML vuelta"]
+LABELS = ["first rate", "second rate", "way there", "way back"]
 
 
 @query(f"""
