@@ -85,3 +85,23 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
+_MARKS = chat.INSTRUCT.control()
+_ESCAPES = " + ".join(
+    ["length(text) - length(replace(text, chr(92), ''))", *[f"(length(text) - length(replace(text, '{m}', ''))) / {len(m)}" for m in _MARKS]]
+)
+SQL["op7_chat_format"] = f"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    m AS (SELECT *, length(text) + {_ESCAPES} + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 END AS n,
+                 CASE role WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' WHEN 'system' THEN 's' ELSE 'x' END AS letter FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(n) AS BIGINT) AS formatted_chars,
+           regexp_full_match(string_agg(letter, '' ORDER BY turn, role, text), 's?(ua)+') AS valid
+    FROM m GROUP BY conv_id
+"""
