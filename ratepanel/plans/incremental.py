@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratepanel.functions.sql import rows, text
-from ratepanel.operators.calendar import calendar, in_range, small_dates
+from ratepanel.operators.calendar import calendar, check_range, in_range, small_dates
 from ratepanel.operators.merge import (
     append_new,
     dates_to_load,
@@ -51,10 +51,13 @@ def _blank_cells(days: DataFrame, pages: DataFrame, dims: Dims) -> DataFrame:
     expected = days.selectExpr(DATE, f"explode(array({coins})) AS coin")
     present = pages.select(*(c for c in expected.columns if family.page_dim or c == DATE)).distinct()
     absent = expected.join(present, present.columns, "left_anti")
-    members = rows({f"_{d}": v for d, v in zip(family.dims, m, strict=True)} for m in dims.members())
-    cells = absent.selectExpr(DATE, "coin", f"inline({members})")
-    if family.page_dim:
-        cells = cells.where(f"coin = _{family.page_dim}")
+    listed: dict[str, list[dict[str, str]]] = {}
+    for m in dims.members():
+        own = dict(zip(family.dims, m, strict=True))
+        listed.setdefault(own.get(family.page_dim, ""), []).append({f"_{d}": v for d, v in own.items()})
+    # Each coin's own members, looked up in a constant map.
+    by_coin = ", ".join(f"{text(coin)}, {rows(its)}" for coin, its in listed.items())
+    cells = absent.selectExpr(DATE, f"inline(try_element_at(map({by_coin}), coalesce(coin, '')))")
     renamed = [f"_{d} AS {d}" for d in family.dims]
     return cells.selectExpr(DATE, *renamed, f"CAST(NULL AS {VALUE.simpleString()}) AS {family.value}")
 
@@ -114,13 +117,19 @@ def update_store(
     start: dt.date,
     end: dt.date,
     refetch: tuple[dt.date, dt.date] | None = None,
+    skip_panel: bool = False,
     skip_trim: bool = False,
+    today: dt.date | None = None,
 ) -> DataFrame:
     """``incremental_run`` on a stored panel; returns its asked dates after the run.
 
-    Only the years of the range are read and written again.
+    The ranges are checked first. Only the years of the range are read and
+    written again; with ``skip_panel`` nothing is, and the store stays as it is.
     """
+    check_range(start, end, today or dt.date.today(), refetch)
     spark, family = pages.sparkSession, dims.family
+    if skip_panel:
+        return incremental_run(pages, None, dims, start, end, refetch, skip_panel=True, skip_trim=skip_trim).published
     first = min(start, refetch[0]) if refetch else start
     last = max(end, refetch[1]) if refetch else end
     stored = read_snapshot(spark, root, family, dt.date(first.year, 1, 1), dt.date(last.year, 12, 31))

@@ -16,7 +16,7 @@ from ratepanel.plans import incremental
 from ratepanel.plans.pages import family_pages, pages_to_panel
 from ratepanel.queries.inputs import COINS, PANEL, TYPES, events_panel, fx_html, grouped_text, money
 from ratepanel.queries.registry import query
-from ratepanel.queries.store import REFETCH, RUN, TRIMMED_CELLS, _after, _run_inputs
+from ratepanel.queries.store import NO_CELLS, REFETCH, RUN, TRIMMED_CELLS, _after, _run_inputs
 from ratepanel.schemas import DATE, FX, LIBOR, VALUE
 from ratepanel.sources import pages as PG
 from ratepanel.sources import panel as PN
@@ -148,3 +148,13 @@ def incremental_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     PN.write_snapshot(stored, root, dims.family)
     published = incremental.update_store(pages, root, dims, *RUN, refetch=REFETCH)
     return published.withColumn("value", money("value"))
+
+
+@query(f"SELECT * EXCLUDE published FROM ({_after(NO_CELLS, None)}) WHERE published")
+def incremental_store_skip_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that leaves its stored panel aside loads every date from its pages."""
+    root = fresh_path(spark, "skipped")
+    pages, stored, dims = _run_inputs(spark, sf_dir)
+    PN.write_snapshot(stored, root, dims.family)
+    published = incremental.update_store(pages, root, dims, *RUN, skip_panel=True)
+    return published.withColumn("value", money("value"))

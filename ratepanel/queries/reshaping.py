@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,18 +72,19 @@ def panel_to_series_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.pivot_sum(panel, join_title(["coin", "type"]), {t: t for t in titles}, "value")
 
 
-QUOTE_COLUMNS = [
-    (b, c, f, h)
-    for b in ("b0", "b1", "b2", "b3", "b4")
-    for c in ("electronico", "mostrador")
-    for f in ("compra", "venta")
-    for h in ("11hs", "13hs", "15hs")
-]
+# Entities, channels, flows and hours, as a configuration would list them.
+QUOTE_LEVELS = (
+    ("b0", "b1", "b2", "b3", "b4"),
+    ("electronico", "mostrador"),
+    ("compra", "venta"),
+    ("11hs", "13hs", "15hs"),
+)
+QUOTE_COLUMNS = list(product(*QUOTE_LEVELS))
 
 
 def _quote_sum(coin: str, combo: tuple[str, str, str, str]) -> str:
     b, c, f, h = combo
-    condition = f"entidad_bancaria = '{b}' AND canal = '{c}' AND flujo = '{f}' AND hora = '{h}'"
+    condition = f"moneda = '{coin}' AND entidad_bancaria = '{b}' AND canal = '{c}' AND flujo = '{f}' AND hora = '{h}'"
     return _sum(condition, "_".join(("tc_ars", coin, *combo)), "valor")
 
 
@@ -91,8 +93,8 @@ def _quote_sum(coin: str, combo: tuple[str, str, str, str]) -> str:
     FROM ({QUOTES}) WHERE moneda = 'view' GROUP BY 1
 """)
 def panel_to_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One coin's 60 quote columns, the product of the values that occur."""
-    return R.panel_to_quotes(quotes_panel(spark, sf_dir), "view")
+    """One coin's 60 quote columns, the product of the configured levels."""
+    return R.panel_to_quotes(quotes_panel(spark, sf_dir), "view", QUOTE_LEVELS)
 
 
 def _mean(coin: str, kind: str) -> str:
@@ -146,7 +148,7 @@ def fx_to_panel_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH d AS (SELECT DISTINCT indice_tiempo, coin FROM ({PANEL}) WHERE coin IN ('click', 'view')),
+    WITH d AS (SELECT DISTINCT indice_tiempo, coin FROM ({PANEL})),
     k AS (SELECT unnest(['t0', 't1', 't2', 't3']) AS type)
     SELECT d.indice_tiempo, d.coin, k.type,
            CAST((SELECT nullif(sum(value), 0) FROM ({PANEL}) p
@@ -154,37 +156,39 @@ def fx_to_panel_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM d CROSS JOIN k
 """)
 def sml_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two coins' wide tables to one panel."""
+    """All coins' wide tables to one panel."""
     panel = events_panel(spark, sf_dir)
-    long = R.sml_to_panel({c: R.panel_to_sml(panel, c, TYPES) for c in ("click", "view")})
+    long = R.sml_to_panel({c: R.panel_to_sml(panel, c, TYPES) for c in COINS})
     return long.withColumn("value", money("value"))
 
 
 @query(f"""
     WITH s AS (SELECT indice_tiempo, moneda, entidad_bancaria, canal, flujo, hora, sum(valor) AS valor
-               FROM ({QUOTES}) WHERE moneda = 'signup' GROUP BY ALL),
-    d AS (SELECT DISTINCT indice_tiempo, moneda FROM s)
-    SELECT d.indice_tiempo, d.moneda, e.entidad_bancaria, c.canal, f.flujo, h.hora, CAST(nullif(s.valor, 0) AS DECIMAL(18,2)) AS valor
-    FROM d CROSS JOIN (SELECT DISTINCT entidad_bancaria FROM s) e CROSS JOIN (SELECT DISTINCT canal FROM s) c
-    CROSS JOIN (SELECT DISTINCT flujo FROM s) f CROSS JOIN (SELECT DISTINCT hora FROM s) h
-    LEFT JOIN s ON s.indice_tiempo = d.indice_tiempo AND s.entidad_bancaria = e.entidad_bancaria
-      AND s.canal = c.canal AND s.flujo = f.flujo AND s.hora = h.hora
+               FROM ({QUOTES}) GROUP BY ALL),
+    d AS (SELECT DISTINCT indice_tiempo, moneda FROM s),
+    q AS (SELECT * FROM (SELECT unnest({list(QUOTE_LEVELS[0])}) AS entidad_bancaria) CROSS JOIN (SELECT unnest({list(QUOTE_LEVELS[1])}) AS canal)
+          CROSS JOIN (SELECT unnest({list(QUOTE_LEVELS[2])}) AS flujo) CROSS JOIN (SELECT unnest({list(QUOTE_LEVELS[3])}) AS hora))
+    SELECT d.indice_tiempo, d.moneda, q.entidad_bancaria, q.canal, q.flujo, q.hora, CAST(nullif(s.valor, 0) AS DECIMAL(18,2)) AS valor
+    FROM d CROSS JOIN q
+    LEFT JOIN s ON s.indice_tiempo = d.indice_tiempo AND s.moneda = d.moneda AND s.entidad_bancaria = q.entidad_bancaria
+      AND s.canal = q.canal AND s.flujo = q.flujo AND s.hora = q.hora
 """)
 def quotes_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """60 quote columns to the panel, dimensions from the titles."""
-    wide = R.panel_to_quotes(quotes_panel(spark, sf_dir), "signup")
-    return R.quotes_to_panel(wide).withColumn("valor", money("valor"))
+    """Every coin's 60 quote columns to the panel, dimensions from the titles."""
+    panel = quotes_panel(spark, sf_dir)
+    long = R.concat_panels([R.quotes_to_panel(R.panel_to_quotes(panel, coin, QUOTE_LEVELS)) for coin in COINS])
+    return long.withColumn("valor", money("valor"))
 
 
 @query(f"""
     SELECT indice_tiempo, moneda, entidad_bancaria, canal, flujo, hora, CAST(sum(valor) AS DECIMAL(18,2)) AS valor
-    FROM ({QUOTES}) WHERE moneda IN ('purchase', 'view') GROUP BY ALL HAVING sum(valor) > 0
+    FROM ({QUOTES}) GROUP BY ALL HAVING sum(valor) > 0
 """)
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long to wide and back gives the same cells."""
     panel = quotes_panel(spark, sf_dir)
-    both = [R.quotes_to_panel(R.panel_to_quotes(panel, coin)) for coin in ("purchase", "view")]
-    return R.concat_panels(both).where("valor is not null").withColumn("valor", money("valor"))
+    back = [R.quotes_to_panel(R.panel_to_quotes(panel, coin, QUOTE_LEVELS)) for coin in COINS]
+    return R.concat_panels(back).where("valor is not null").withColumn("valor", money("valor"))
 
 
 @query(f"""
@@ -231,11 +235,11 @@ def keep_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT indice_tiempo, {', '.join(_quote_sum('error', q) for q in QUOTE_COLUMNS if q[1] == 'mostrador')}
-    FROM ({QUOTES}) WHERE moneda = 'error' GROUP BY 1
+    SELECT indice_tiempo, {', '.join(_quote_sum(coin, q) for coin in COINS for q in QUOTE_COLUMNS if q[1] == 'mostrador')}
+    FROM ({QUOTES}) GROUP BY 1
 """)
 def active_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the switched-on channel of one coin becomes columns."""
-    titles = ["_".join(("tc_ars_error", *q)) for q in QUOTE_COLUMNS if q[1] == "mostrador"]
-    one = R.by_member(quotes_panel(spark, sf_dir), "moneda", "error")
-    return _monies(R.pivot_sum(one, compose_title(TCE), {t: t for t in titles}, "valor"))
+    """Only the switched-on channel of each coin becomes columns."""
+    titles = ["_".join(("tc_ars", coin, *q)) for coin in COINS for q in QUOTE_COLUMNS if q[1] == "mostrador"]
+    panel = quotes_panel(spark, sf_dir)
+    return _monies(R.pivot_sum(panel, compose_title(TCE), {t: t for t in titles}, "valor"))

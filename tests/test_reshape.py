@@ -42,6 +42,14 @@ def test_many_columns_give_the_same_as_few(spark, rows, monkeypatch):
     assert len(wide) == 12
 
 
+def test_both_plans_agree_where_they_meet(spark, rows):
+    most = R.CONDITIONAL_COLUMNS
+    lines = [(f"2019-01-{d:02}", f"c{c}", str((d * c) % 5)) for d in range(1, 6) for c in range(most + 2)]
+    long = panel(spark, LIBOR, *lines)
+    few, many = (R.pivot_sum(long, F.col("type"), {f"c{c}": f"c{c}" for c in range(n)}, "value") for n in (most, most + 1))
+    assert rows(few) == rows(many.drop(f"c{most}"))
+
+
 def test_fx_both_ways(spark, rows):
     long = panel(
         spark, FX, ("2019-03-06", "bolivar_venezolano", "tc_local", "0.0123560"), ("2019-03-06", "bolivar_venezolano", "tp_usd", "0.0003030")

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
 from conftest import day, number
 
 from ratepanel.plans.incremental import incremental_run, update_store
@@ -93,6 +94,29 @@ def test_other_years_are_not_rewritten(spark, tmp_path):
     assert thirty(PN.read_snapshot(spark, root, LIBOR)) == {31: "7", 1: "7", 2: "0.02", 3: "0.03", 4: None, 5: "0.05", 6: None}
 
 
+def test_skipped_panel_is_neither_read_nor_written(spark, rows, tmp_path):
+    root = str(tmp_path / "store")
+    PN.write_snapshot(stored(spark, *STORED), root, LIBOR)
+    got = update_store(pages(spark, *PAGES_IN), root, RATES, START, END, skip_panel=True)
+    assert thirty(got) == {1: "0.01", 2: "0.02", 3: "0.03", 4: None, 5: "0.05", 6: None}
+    assert PN.current_versions(spark, root) == {None: 1}
+    assert rows(PN.read_snapshot(spark, root, LIBOR)) == rows(stored(spark, *STORED))
+
+
+def test_stored_runs_check_their_ranges(spark, tmp_path):
+    inputs = (pages(spark, *PAGES_IN), str(tmp_path / "store"), RATES)
+    for start, end, refetch in ((END, START, None), (START, day("2024-01-08"), None), (START, END, (START, day("2024-01-07")))):
+        with pytest.raises(ValueError, match="range|date"):
+            update_store(*inputs, start, end, refetch, today=day("2024-01-07"))
+    assert not (tmp_path / "store").exists()
+
+
+def test_blank_cells_are_those_of_each_coin(spark):
+    dims = Dims(SML, coins={"a": "A", "b": "B", "c": "C"}, types=(("a", "L", "x"), ("b", "L", "y"), ("b", "M", "z")))
+    run = incremental_run(spark.createDataFrame([], PAGES), None, dims, START, START)
+    assert sorted((r.coin, r.type, r[SML.value]) for r in run.panel.collect()) == [("a", "x", None), ("b", "y", None), ("b", "z", None)]
+
+
 def test_coins_of_a_hit_date_stay_null(spark):
     """A date counts as stored when any coin has it; the other coin's series still lists the date."""
     dims = Dims(SML, coins={"a": "A", "b": "B"}, types=(("a", "L", "x"), ("b", "L", "x")))
