@@ -105,3 +105,34 @@ SQL["op7_chat_format"] = f"""
            regexp_full_match(string_agg(letter, '' ORDER BY turn, role, text), 's?(ua)+') AS valid
     FROM m GROUP BY conv_id
 """
+
+SQL["op4_substring_dedup"] = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20),
+    k AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM s),
+    again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS n FROM k) WHERE n > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM again),
+    word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+    kept AS (SELECT word.doc_id, count(*) AS n, string_agg(word.word, ' ' ORDER BY word.pos) AS words
+             FROM word ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept.words, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+SQL["op9_decontamination"] = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    starts AS (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0),
+    windows AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM starts),
+    places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d JOIN (SELECT DISTINCT n FROM windows) ON len(w) >= n),
+    found AS (SELECT doc_id, i, p.n, item FROM (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS words FROM places) p
+              JOIN windows USING (n, words)),
+    hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM found) GROUP BY 1),
+    items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
