@@ -1,11 +1,15 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a run of 16 or more characters of keys and encodings with at least
-one digit. The forest looks at its length, how its characters change kind and how
-evenly they are used, how much of it the corpus's frequent words cover, the path
-it was found under, and the words around it. It is trained from labelled findings,
-then written out as one native expression, so that a text is scanned, judged and
-redacted in a single pass over its own row, without a shuffle.
+one digit, or a quoted or assigned value of 8 or more characters other than blanks.
+A name and its `=` or `:` are no part of the value, `=` at the end is padding; a
+value that holds an assignment to a secret's name itself is not taken whole, nor is
+an address with a password before its host, whose password is. The forest looks at
+its length, how its characters change kind and how evenly they are used, how much of
+it the corpus's frequent words cover, the path it was found under, and the words
+around it. It is trained from labelled findings, then written out as one native
+expression, so that a text is scanned, judged and redacted in a single pass over its
+own row, without a shuffle.
 
 Where no labelled findings are given, `rule_labels` names them: a value of some
 entropy assigned to a name that speaks of secrets. The dictionary counts the words
@@ -22,7 +26,7 @@ kept by `redact`. Everything is built of native functions.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
@@ -31,8 +35,35 @@ from pyspark.sql import functions as F
 
 from ratepanel.llm.frames import cut, fresh
 
-_KEY = "A-Za-z0-9_+/=.-"
-CANDIDATE = rf"(?<![{_KEY}])(?=[A-Za-z_+/=.-]*[0-9])[{_KEY}]{{16,}}+"
+_KEY = r"A-Za-z0-9_+/.\-"
+_QUOTE = "[\"'`]"
+_NAMES = (
+    r"(?i:token|secret|passw(?:or)?d|passphrase|pwd|credential|auth|api[ _-]?key|(?:access|private|signing|client|encryption|account)[ _-]?key)"
+)
+# Bounds are those of a Java look-behind; the first look at one character keeps it off most places.
+_ASSIGNED = rf"{_QUOTE}?\]?\s{{0,3}}(?::=|=>|==?|:)\s{{0,3}}"
+_TO_NAME = rf"{_NAMES}{_ASSIGNED}"
+# An assignment to a secret's name, or a password in an address, within a value that goes on without blanks.
+_INNER = rf"(?![^\s\"'`]*?(?:{_NAMES}[\w-]{{0,24}}[=:]|://[^\s/:@]++:[^\s/@]++@))"
+
+
+def _quoted(mark: str) -> str:
+    return rf"(?<=[\s=:(,\[{{>]{mark}|^{mark})(?:(?<={_TO_NAME}{mark})|{_INNER})(?:[^{mark}\s\\]|\\\S){{8,}}+(?={mark})"
+
+
+CANDIDATE = "|".join(
+    (
+        # The password of an address.
+        r"(?<=:)(?<=://[^\s/:@\"'`]{1,64}:)[^\s/@\"'`]++(?=@)",
+        *map(_quoted, "\"'`"),
+        # Assigned to a secret's name: anything up to a blank, a quote, the next assignment or a closing mark.
+        rf"(?<=[=:>\"'`\s])(?<={_TO_NAME})(?!//)(?:[^\s\"'`<>,;&.)\]}}]|[,;&](?![\s\"'`]|\z|[\w ]{{1,40}}=)|[.)\]}}](?![\s\"'`.,;)\]}}]|\z)){{8,}}+",
+        # Assigned to another name: no assignment within.
+        rf"(?<=[=:>]|[=:>]\s)(?<=[=:]>?\s?)(?!//)[^\s\"'`<>,;&=:(){{}}\[\]]{{8,}}+(?:={{1,2}}(?![{_KEY}\"'`]))?+",
+        # Anywhere: a run of key characters.
+        rf"(?<![{_KEY}])(?=[A-Za-z_+/.-]*[0-9])[{_KEY}]{{16,}}+(?:={{1,2}}(?![={_KEY}\"'`]))?+",
+    )
+)
 #: Training findings of either label at most.
 TRAINING = 4000
 TREES, DEPTH = 15, 5
@@ -41,7 +72,6 @@ DICTIONARY, LETTERS = 200, 4
 #: Characters on either side in which neighbouring words are sought.
 AROUND = 64
 MASK = "<SECRET>"
-_NAMES = r"(?i)(token|secret|passw(or)?d|pwd|credential|auth|api[_-]?key|(access|private|signing|client)[_-]?key)"
 _OTHERS = r"(?i)(sha[0-9]*|md5|checksum|commit|digest|hash|uuid|phone|tel|card|iban|order|invoice|version|mail|http)"
 
 FEATURES = (
@@ -61,6 +91,7 @@ FEATURES = (
     "closed",
     "path_depth",
     "path_test",
+    "others",
 )
 
 
@@ -70,6 +101,8 @@ class Scanner:
 
     words: tuple[str, ...]
     trees: tuple = ()
+    #: Learned from the rule, whose findings then stay findings.
+    ruled: bool = False
 
 
 def dictionary(docs: DataFrame, text: str = "text", most: int = DICTIONARY) -> tuple[str, ...]:
@@ -114,7 +147,7 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
         (n - F.length(F.regexp_replace(F.lower(value), known, ""))) / n,
         _times(value, r"\."),
         _times(value, "/"),
-        _flag(F.rlike(near, F.lit(r"[=:]\s*[\"'`]?$"))),
+        _flag(F.rlike(near, F.lit(r"(?:[=:]|=>)\s*[\"'`]?$"))),
         _flag(F.rlike(near, F.lit(r"[\"'`]$")) & F.rlike(next_, F.lit(r"^[\"'`]"))),
         _flag(F.rlike(near, F.lit(_NAMES + end))),
         _flag(F.rlike(F.concat_ws(" ", near, next_), F.lit(_NAMES))),
@@ -122,14 +155,18 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
         _flag(F.rlike(next_, F.lit(r"^([\"'`;,)]|\s|$)"))),
         _times(path, "/"),
         _flag(F.rlike(path, F.lit(r"(?i)\b(tests?|examples?|samples?|fixtures?|docs?)\b"))),
+        _times(value, r"[^A-Za-z0-9]"),
     )
 
 
 def rule_labels(values: Column) -> Column:
-    """1 for a long, uneven value assigned to a name that speaks of secrets; else 0."""
+    """1 for a long, uneven value, or a shorter one of mixed characters, assigned to a name that speaks of secrets; else 0."""
     at = {name: i for i, name in enumerate(FEATURES)}
     get = lambda name: F.get(values, F.lit(at[name]))
-    return F.when((get("named") == 1) & (get("assigned") == 1) & (get("entropy") > 3) & (get("length") >= 20), 1).otherwise(0)
+    long = (get("entropy") > 3) & (get("length") >= 20)
+    # Letters, digits and, outside quotes, no call and no path of names.
+    mixed = (get("entropy") > 2.5) & (get("digits") > 0) & (get("digits") < 1) & ((get("quoted") == 1) | (get("dots") == 0) | (get("switches") > 0.2))
+    return F.when((get("named") == 1) & (get("assigned") == 1) & (long | mixed), 1).otherwise(0)
 
 
 def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], name: str) -> DataFrame:
@@ -138,11 +175,11 @@ def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], n
     where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
     between = fresh(docs, f"{name}_between")
     found = docs.withColumn(name, F.regexp_extract_all(plain, F.lit(CANDIDATE), F.lit(0))).withColumn(between, F.split(plain, CANDIDATE, -1))
+    # The name of a value may be a candidate too.
+    said = lambda i: F.concat(F.coalesce(F.get(F.col(name), i - 1), F.lit("")), F.get(F.col(between), i))
     judged = F.transform(
         F.col(name),
-        lambda v, i: F.struct(
-            v.alias("value"), features(v, F.get(F.col(between), i), F.get(F.col(between), i + 1), where, words).alias("features")
-        ),
+        lambda v, i: F.struct(v.alias("value"), features(v, said(i), F.get(F.col(between), i + 1), where, words).alias("features")),
     )
     return found.withColumn(name, judged)
 
@@ -196,13 +233,14 @@ def _vote(values: Column, tree) -> Column:
 
 
 def score(values: Column, scanner: Scanner) -> Column:
-    """Share of the trees that call a finding a secret; the rule's word without trees."""
+    """Share of the trees that call a finding a secret, 1 where the rule that they learned from does; the rule's word without trees."""
     if not scanner.trees:
         return rule_labels(values).cast("double")
     total = _vote(values, scanner.trees[0])
     for tree in scanner.trees[1:]:
         total = total + _vote(values, tree)
-    return total / len(scanner.trees)
+    share = total / len(scanner.trees)
+    return F.when(rule_labels(values) == 1, F.lit(1.0)).otherwise(share) if scanner.ruled else share
 
 
 def fit(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> Scanner:
@@ -217,7 +255,7 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "do
         known = found.select("features", rule_labels(F.col("features")).alias("label"))
     else:
         known = found.join(labelled.select("id", "number", "label"), ["id", "number"]).select("features", "label")
-    return train(known, words)
+    return replace(train(known, words), ruled=labelled is None)
 
 
 def findings(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

@@ -1,0 +1,62 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratepanel.llm import secrets
+
+HEX = "04db7f19c2ae5b8830d1f6e4a97c25b1"
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def plain_corpus():
+    """Texts as the tables have them: quoted tokens, commits, long numbers, hosts."""
+    rnd = random.Random(1)
+    texts = []
+    for i in range(160):
+        value = "".join(rnd.choices("0123456789abcdef", k=40))
+        texts.append("many plain words " + [f'token = "{value}"', f"commit {value} done", "call 1234567890123456 now", f"mail{i % 9}.example.com"][i % 4] + " end")
+    return texts
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secrets.fit(frame(spark, plain_corpus()))
+
+
+def values_of(spark, texts):
+    found = secrets.candidates(frame(spark, texts), ("word",)).orderBy("id", "number").select("id", "value").collect()
+    return [[r.value for r in found if r.id == i] for i in range(len(texts))]
+
+
+def masked(spark, scanner, texts):
+    return [r.text for r in secrets.redact(frame(spark, texts), scanner).orderBy("doc_id").collect()]
+
+
+SPELLED = [
+    ("export GITHUB_TOKEN=", "ghp_0123456789abcdefghijABCDEFGHIJ012345", " now"),
+    ("AWS_SECRET_ACCESS_KEY=", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", ""),
+    ("https://h/x?token=", HEX, "&y=1"),
+    ('password: "', "Tr0ub4dor&3", '"'),
+    ("password=", "Tr0ub4dor&3", ";Database=x"),
+    ('{"user":"a","pwd":"', 'abc\\"defg1', '"}'),
+    ('- "FOO_TOKEN=', "abc12345#x", '"'),
+    ("secret=", "YWJjZGVmMTIzNDU2Nzg5MA==", "\nnext"),
+    ('"url":"https://h/x?api_key=', HEX, '"'),
+    ("see (token: ", "hunter2hunter", ")."),
+]
+
+
+def test_a_value_is_a_candidate_without_its_name(spark, scanner):
+    texts = ["".join(parts) for parts in SPELLED]
+    assert [v[-1] if v else None for v in values_of(spark, texts)] == [value for _, value, _ in SPELLED]
+    assert masked(spark, scanner, texts) == [before + secrets.MASK + after for before, _, after in SPELLED]
+
+
+def test_quoted_and_assigned_values_of_any_characters_are_candidates(spark):
+    texts = ["x = 'a!b?c#d%'", "y: a!b?c#d%", "z = 'short'", "postgres://user:s3cr!t@host/db", "no value at 12:30:45", "q='" + "a\\u00e9" * 20_000 + "'"]
+    got = values_of(spark, texts)
+    assert got[:5] == [["a!b?c#d%"], ["a!b?c#d%"], [], ["s3cr!t"], []] and got[5] == ["a\\u00e9" * 20_000]
