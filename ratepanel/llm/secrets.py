@@ -13,8 +13,9 @@ own row, without a shuffle.
 
 Where no labelled findings are given, `rule_labels` names them: a value of some
 entropy assigned to a name that speaks of secrets. The dictionary counts the words
-of all texts. The training sample is bounded by TRAINING findings of either label,
-those of smallest hash, so any size of input trains on the same kind of sample.
+of all texts. The training sample is bounded by TRAINING different vectors of either
+label, those of smallest hash, each with the logarithm of its count as its weight, so
+repeats take no room and any size of input trains on the same kind of sample.
 
 Defined cases: null, blank and short texts have no findings; a null path is an
 empty one; repeated rows have the same findings; null ids are kept. With findings
@@ -64,7 +65,7 @@ CANDIDATE = "|".join(
         rf"(?<![{_KEY}])(?=[A-Za-z_+/.-]*[0-9])[{_KEY}]{{16,}}+(?:={{1,2}}(?![={_KEY}\"'`]))?+",
     )
 )
-#: Training findings of either label at most.
+#: Different vectors of training findings of either label at most.
 TRAINING = 4000
 TREES, DEPTH = 15, 5
 #: Words of the dictionary, and their least letters.
@@ -212,14 +213,25 @@ def _parse_tree(text: str):
 
 
 def train(labelled: DataFrame, words: tuple[str, ...], most: int = TRAINING, seed: int = 7) -> Scanner:
-    """A scanner from `features array<double>, label` rows; at most `most` of either label are used."""
+    """A scanner from `features array<double>, label` rows; of either label at most `most` different vectors are used, each weighed by how often it is there."""
+    known = labelled.where(F.col("label").isin(0, 1)).groupBy("features", F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n"))
     mixed = F.xxhash64("features")
-    picked = [labelled.where(F.col("label") == k).select("features", "label").orderBy(mixed, "features").limit(most) for k in (0, 1)]
+    picked = [known.where(F.col("label") == k).orderBy(mixed, "features").limit(most) for k in (0, 1)]
     sample = cut(picked[0].union(picked[1]))
     if sample.select("label").distinct().count() < 2:
         return Scanner(words)
-    rows = sample.select(array_to_vector("features").alias("v"), F.col("label").cast("double").alias("label"))
-    forest = RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt")
+    rows = sample.select(array_to_vector("features").alias("v"), F.col("label").cast("double").alias("label"), F.log2(F.col("n") + 1).alias("weight"))
+    # A vector stands for all its repeats, so no tree goes without it; trees differ by the features they may look at.
+    forest = RandomForestClassifier(
+        featuresCol="v",
+        labelCol="label",
+        weightCol="weight",
+        numTrees=TREES,
+        maxDepth=DEPTH,
+        seed=seed,
+        featureSubsetStrategy="sqrt",
+        bootstrap=False,
+    )
     fitted = forest.fit(rows)
     printed = re.split(r"\n\s*Tree \d+ \(weight [^)]*\):\n", fitted.toDebugString)[1:]
     return Scanner(words, tuple(_parse_tree(t) for t in printed))

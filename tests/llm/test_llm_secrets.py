@@ -60,3 +60,14 @@ def test_quoted_and_assigned_values_of_any_characters_are_candidates(spark):
     texts = ["x = 'a!b?c#d%'", "y: a!b?c#d%", "z = 'short'", "postgres://user:s3cr!t@host/db", "no value at 12:30:45", "q='" + "a\\u00e9" * 20_000 + "'"]
     got = values_of(spark, texts)
     assert got[:5] == [["a!b?c#d%"], ["a!b?c#d%"], [], ["s3cr!t"], []] and got[5] == ["a\\u00e9" * 20_000]
+
+
+def test_repeats_take_no_room_in_the_training_sample(spark):
+    size = len(secrets.FEATURES)
+    vector = F.array_repeat(F.col("x"), size)
+    # Both kinds of negatives are there more often than the sample is long.
+    rows = spark.range(secrets.TRAINING + 500).select(F.explode(F.array(F.lit(1.0), F.lit(5.0))).alias("x"), F.lit(0).alias("label"))
+    rows = rows.union(spark.range(50).select(F.lit(3.0).alias("x"), F.lit(1).alias("label")))
+    learned = secrets.train(rows.select(vector.alias("features"), "label"), ())
+    asked = spark.createDataFrame([(x,) for x in (1.0, 3.0, 5.0)], "x double").select("x", secrets.score(vector, learned).alias("score"))
+    assert {r.x: r.score >= 0.5 for r in asked.collect()} == {1.0: False, 3.0: True, 5.0: False}
