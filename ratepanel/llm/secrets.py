@@ -11,8 +11,10 @@ around it. It is trained from labelled findings, then written out as one native
 expression, so that a text is scanned, judged and redacted in a single pass over its
 own row, without a shuffle.
 
-Where no labelled findings are given, `rule_labels` names them: a value of some
-entropy assigned to a name that speaks of secrets. The dictionary counts the words
+Where no labelled findings are given, `rule_labels` names them: known forms of keys,
+values after an authorization's kind, and values of some entropy assigned to a name
+that speaks of secrets. What it isn't sure of is not learned from; the forest judges
+it. What it calls a secret stays one. The dictionary counts the words
 of all texts. The training sample is bounded by TRAINING different vectors of either
 label, those of smallest hash, each with the logarithm of its count as its weight, so
 repeats take no room and any size of input trains on the same kind of sample.
@@ -41,9 +43,21 @@ _QUOTE = "[\"'`]"
 _NAMES = (
     r"(?i:token|secret|passw(?:or)?d|passphrase|pwd|credential|auth|api[ _-]?key|(?:access|private|signing|client|encryption|account)[ _-]?key)"
 )
-# Bounds are those of a Java look-behind; the first look at one character keeps it off most places.
+#: What may follow the name in a longer one: TOKEN_V2, secret_key_base, tokenValue.
+_SUFFIX = r"(?:[_-][\w-]{1,24}|[0-9]{1,3}|s|(?-i:[A-Z])\w{0,24})?"
+#: Keys that their issuers' forms tell, JSON web tokens, and addresses with a password. Fixed values.
+_FORMATS = (
+    r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[0-9A-Z]{16}(?![0-9A-Za-z])|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_\w{22,}|glpat-[\w-]{20,}|"
+    r"xox[abeoprs]-[\w-]{10,}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|sk-[\w-]{20,}|AIza[\w-]{35}|ya29\.[\w-]{20,}|npm_[A-Za-z0-9]{30,}|"
+    r"pypi-[\w-]{30,}|hf_[A-Za-z0-9]{30,}|dop_v1_[0-9a-f]{40,}|shp(?:at|ca|pa|ss)_[0-9a-fA-F]{30,}|SG\.[\w-]{16,}\.[\w-]{16,}|"
+    r"eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]*)"
+)
+_AUTHORIZATION = r"(?i:authorization[\"'`]?\s{0,2}[:=]\s{0,2}[\"'`]?(?:bearer|basic|token|apikey)\s)"
+_BEARER = rf"(?:{_AUTHORIZATION}|(?i:\bbearer\s))"
+_PEM = r"-----BEGIN [A-Z0-9 ]{0,24}PRIVATE KEY(?: BLOCK)?-----"
+# Bounds are those of a Java look-behind.
 _ASSIGNED = rf"{_QUOTE}?\]?\s{{0,3}}(?::=|=>|==?|:)\s{{0,3}}"
-_TO_NAME = rf"{_NAMES}{_ASSIGNED}"
+_TO_NAME = rf"{_NAMES}(?i:{_SUFFIX}){_ASSIGNED}"
 # An assignment to a secret's name, or a password in an address, within a value that goes on without blanks.
 _INNER = rf"(?![^\s\"'`]*?(?:{_NAMES}[\w-]{{0,24}}[=:]|://[^\s/:@]++:[^\s/@]++@))"
 
@@ -52,18 +66,21 @@ def _quoted(mark: str) -> str:
     return rf"(?<=[\s=:(,\[{{>]{mark}|^{mark})(?:(?<={_TO_NAME}{mark})|{_INNER})(?:[^{mark}\s\\]|\\\S){{8,}}+(?={mark})"
 
 
-CANDIDATE = "|".join(
-    (
-        # The password of an address.
-        r"(?<=:)(?<=://[^\s/:@\"'`]{1,64}:)[^\s/@\"'`]++(?=@)",
-        *map(_quoted, "\"'`"),
-        # Assigned to a secret's name: anything up to a blank, a quote, the next assignment or a closing mark.
-        rf"(?<=[=:>\"'`\s])(?<={_TO_NAME})(?!//)(?:[^\s\"'`<>,;&.)\]}}]|[,;&](?![\s\"'`]|\z|[\w ]{{1,40}}=)|[.)\]}}](?![\s\"'`.,;)\]}}]|\z)){{8,}}+",
-        # Assigned to another name: no assignment within.
-        rf"(?<=[=:>]|[=:>]\s)(?<=[=:]>?\s?)(?!//)[^\s\"'`<>,;&=:(){{}}\[\]]{{8,}}+(?:={{1,2}}(?![{_KEY}\"'`]))?+",
-        # Anywhere: a run of key characters.
-        rf"(?<![{_KEY}])(?=[A-Za-z_+/.-]*[0-9])[{_KEY}]{{16,}}+(?:={{1,2}}(?![={_KEY}\"'`]))?+",
-    )
+# Assigned to a secret's name: anything up to a blank, a quote, the next assignment or a closing mark.
+_NAMED = rf"(?<={_TO_NAME})(?!//)(?:[^\s\"'`<>,;&.)\]}}]|[,;&](?![\s\"'`]|\z|[\w ]{{1,40}}=)|[.)\]}}](?![\s\"'`.,;)\]}}]|\z)){{8,}}+"
+# Assigned to another name: no assignment within.
+_UNNAMED = rf"(?<=[=:]>?\s?)(?!//)[^\s\"'`<>,;&=:(){{}}\[\]]{{8,}}+(?:={{1,2}}(?![{_KEY}\"'`]))?+"
+# The body of a private key, lines and all; the password of an address.
+_BODY = rf"(?<=-----)(?<={_PEM})(?:[^-]++|-(?!----))++(?=-----END )"
+_PASSWORD = r"(?<=:)(?<=://[^\s/:@\"'`]{1,64}:)[^\s/@\"'`]++(?=@)"
+_CREDENTIAL = rf"(?<={_BEARER})(?:(?<={_AUTHORIZATION})|(?=[{_KEY}]*[0-9]))[{_KEY}]{{8,}}+={{0,2}}+"
+# Anywhere: a run of key characters.
+_RUN = rf"(?<![{_KEY}])(?=[A-Za-z_+/.-]*[0-9]|(?:AKIA|ASIA)[A-Z]{{16}})[{_KEY}]{{16,}}+(?:={{1,2}}(?![={_KEY}\"'`]))?+"
+# A character or two before the place decide which of the longer looks are taken.
+CANDIDATE = (
+    rf"(?<=[=:>\"'`-])(?:{'|'.join((_BODY, _PASSWORD, *map(_quoted, "\"'`"), _NAMED, _UNNAMED))})"
+    rf"|(?<=[=:>\"'`]\s)(?:{_NAMED}|{_UNNAMED})|(?<=[=:>\"'`]\s\s)(?:{_NAMED})|(?<=[=:>\"'`]\s\s\s)(?:{_NAMED})"
+    rf"|(?<=(?i:arer|asic|oken|ikey)\s)(?:{_CREDENTIAL})|{_RUN}"
 )
 #: Different vectors of training findings of either label at most.
 TRAINING = 4000
@@ -93,6 +110,9 @@ FEATURES = (
     "path_depth",
     "path_test",
     "others",
+    "format",
+    "bearer",
+    "code",
 )
 
 
@@ -150,24 +170,41 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
         _times(value, "/"),
         _flag(F.rlike(near, F.lit(r"(?:[=:]|=>)\s*[\"'`]?$"))),
         _flag(F.rlike(near, F.lit(r"[\"'`]$")) & F.rlike(next_, F.lit(r"^[\"'`]"))),
-        _flag(F.rlike(near, F.lit(_NAMES + end))),
+        _flag(F.rlike(near, F.lit(rf"{_NAMES}(?i:{_SUFFIX}){end}"))),
         _flag(F.rlike(F.concat_ws(" ", near, next_), F.lit(_NAMES))),
         _flag(F.rlike(near, F.lit(_OTHERS + end))),
         _flag(F.rlike(next_, F.lit(r"^([\"'`;,)]|\s|$)"))),
         _times(path, "/"),
         _flag(F.rlike(path, F.lit(r"(?i)\b(tests?|examples?|samples?|fixtures?|docs?)\b"))),
         _times(value, r"[^A-Za-z0-9]"),
+        _flag(
+            F.rlike(value, F.lit(_FORMATS))
+            | F.rlike(near, F.lit(rf"{_PEM}$"))
+            | (F.rlike(near, F.lit(r"://[^\s/:@\"'`]*:$")) & F.startswith(next_, F.lit("@")))
+        ),
+        _flag(F.rlike(near, F.lit(rf"{_BEARER}$"))),
+        _flag(F.rlike(value, F.lit(r"^[$%<{]|\$\{|^[A-Za-z_][\w.:>-]*[(\[]"))),
     )
 
 
 def rule_labels(values: Column) -> Column:
-    """1 for a long, uneven value, or a shorter one of mixed characters, assigned to a name that speaks of secrets; else 0."""
+    """1 for a secret, 0 for what is surely none, null for what only looks like one.
+
+    A secret is a value of a known key's form, one after an authorization's kind, or
+    a long, uneven value, or a shorter one of mixed characters, assigned to a name
+    that speaks of secrets. Unsure is what else stands by such a name, and long,
+    uneven values of which nothing near tells another use.
+    """
     at = {name: i for i, name in enumerate(FEATURES)}
     get = lambda name: F.get(values, F.lit(at[name]))
-    long = (get("entropy") > 3) & (get("length") >= 20)
+    is_ = lambda name: get(name) == 1
+    uneven = (get("entropy") > 3) & (get("length") >= 20)
     # Letters, digits and, outside quotes, no call and no path of names.
-    mixed = (get("entropy") > 2.5) & (get("digits") > 0) & (get("digits") < 1) & ((get("quoted") == 1) | (get("dots") == 0) | (get("switches") > 0.2))
-    return F.when((get("named") == 1) & (get("assigned") == 1) & (long | mixed), 1).otherwise(0)
+    mixed = (get("entropy") > 2.5) & (get("digits") > 0) & (get("digits") < 1) & (is_("quoted") | (get("dots") == 0) | (get("switches") > 0.2))
+    told = is_("named") & is_("assigned") & (uneven | mixed) & (get("code") == 0)
+    key_like = uneven & (get("digits") > 0) & (get("digits") < 1) & (get("dictionary") < 0.3) & (get("dots") == 0) & (get("slashes") == 0)
+    unsure = is_("named") | is_("named_nearby") | key_like
+    return F.when(is_("format") | is_("bearer") | told, 1).when((get("other") == 0) & unsure, F.lit(None)).otherwise(0)
 
 
 def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], name: str) -> DataFrame:
@@ -247,7 +284,7 @@ def _vote(values: Column, tree) -> Column:
 def score(values: Column, scanner: Scanner) -> Column:
     """Share of the trees that call a finding a secret, 1 where the rule that they learned from does; the rule's word without trees."""
     if not scanner.trees:
-        return rule_labels(values).cast("double")
+        return F.coalesce(rule_labels(values), F.lit(0)).cast("double")
     total = _vote(values, scanner.trees[0])
     for tree in scanner.trees[1:]:
         total = total + _vote(values, tree)
@@ -259,7 +296,7 @@ def fit(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "do
     """A scanner for a corpus.
 
     `labelled` has `id, number, label` of findings; findings it does not name are
-    not learned from. Without it the rule labels all of them.
+    not learned from. Without it the rule labels those that it is sure of.
     """
     words = dictionary(docs, text)
     found = candidates(docs, words, id_column, text, path)
