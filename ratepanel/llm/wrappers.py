@@ -11,8 +11,8 @@ that a host with a third of all pages is spread over many tasks too.
 
 The main text lies where the wrapper has its mass of variable text outside links
 and outside elements named as boilerplate; `main_path` descends to it. A page is
-then read once: elements on the path give their blocks, boilerplate and template
-texts inside left out. A page without host, or one its wrapper doesn't fit, is
+then read once: elements on the path give their blocks, boilerplate inside left out;
+a text there stays, on however many pages it is. A page without host, or one its wrapper doesn't fit, is
 read by a wrapper of its own. The wrappers are written to the shared folder, so
 Spark knows their size when it decides how to bring them to the pages.
 
@@ -80,7 +80,7 @@ BOILERPLATE_WORDS = frozenset(
 CONTENT_WORDS = frozenset("article content post entry story main text body".split())
 #: The share of the variable text that an element must hold to be descended to.
 SHARE = 0.7
-#: A text that is the same on at least so many pages is template.
+#: A text that is the same on at least so many pages doesn't tell where the article is.
 TEMPLATE_PAGES = 20
 GROUP = 4
 #: Steps in which the partial wrappers of a host meet.
@@ -303,12 +303,6 @@ def main_path(wrapper: list) -> list[str]:
         node = best
 
 
-def template_texts(node: list) -> set[int]:
-    """Hashes of texts that are the same on many pages."""
-    own = {node[6]} if node[6] is not None and node[1] >= TEMPLATE_PAGES and node[4] else set()
-    return own.union(*(template_texts(k) for k in node[7]))
-
-
 def _find(node: Node, path: list[str]) -> list[Node]:
     """All elements on a path, in page order."""
     if not path:
@@ -323,7 +317,7 @@ def _find(node: Node, path: list[str]) -> list[Node]:
     return out
 
 
-def _blocks(node: Node, template: frozenset[int], inside: bool, out: list[list[str]]) -> None:
+def _blocks(node: Node, inside: bool, out: list[list[str]]) -> None:
     """Texts by block, boilerplate left out."""
     for kid in node.kids:
         if isinstance(kid, str):
@@ -331,14 +325,14 @@ def _blocks(node: Node, template: frozenset[int], inside: bool, out: list[list[s
         elif kid.tag in INLINE:
             if not (kid.tag in HIDDEN or kid.names & BOILERPLATE_WORDS):
                 out[-1].append(" " if kid.tag == "br" else "")
-                _blocks(kid, template, inside, out)
+                _blocks(kid, inside, out)
         elif not is_boilerplate(kid.tag, kid.names, inside):
             out.append([])
-            _blocks(kid, template, inside, out)
+            _blocks(kid, inside, out)
             out.append([])
 
 
-def extract(page: Node, path: list[str], template: frozenset[int]) -> str | None:
+def extract(page: Node, path: list[str]) -> str | None:
     """The main text, or None when the path doesn't lead anywhere."""
     roots = _find(page, path)
     if not roots:
@@ -346,14 +340,14 @@ def extract(page: Node, path: list[str], template: frozenset[int]) -> str | None
     lines = []
     for root in roots:
         blocks: list[list[str]] = [[]]
-        _blocks(root, template, True, blocks)
+        _blocks(root, True, blocks)
         said = (" ".join("".join(b).split()) for b in blocks)
-        lines += [s for s in said if s and _text_hash(s) not in template]
+        lines += [s for s in said if s]
     return "\n".join(lines)
 
 
 _PARTIAL = "host string, wrapper string"
-_RULES = "host string, path string, template string, wrapper string"
+_RULES = "host string, path string, wrapper string"
 
 
 def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,8 +384,7 @@ def _meet(table: pa.Table) -> pa.Table:
 
 def _conclude(table: pa.Table) -> pa.Table:
     host, whole = _united(table)
-    texts = sorted(template_texts(whole))
-    return pa.table({"host": [host], "path": [json.dumps(main_path(whole))], "template": [json.dumps(texts)], "wrapper": [expression(whole)]})
+    return pa.table({"host": [host], "path": [json.dumps(main_path(whole))], "wrapper": [expression(whole)]})
 
 
 def _hosted(pages: DataFrame, url: str) -> DataFrame:
@@ -400,7 +393,7 @@ def _hosted(pages: DataFrame, url: str) -> DataFrame:
 
 
 def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """`host, path, template, wrapper`: the wrapper of every host and what follows from it."""
+    """`host, path, wrapper`: the wrapper of every host and what follows from it."""
     narrow = _hosted(pages.select(F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").cast("string").alias("html")), "url").where("host is not null")
     partial = narrow.select("host", "html").mapInArrow(_partials, _PARTIAL)
     counted = partial.groupBy("host", "wrapper").agg(F.count(F.lit(1)).alias("n"))
@@ -409,20 +402,14 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
     return met.groupBy("host", "wrapper").agg(F.count(F.lit(1)).alias("n")).groupBy("host").applyInArrow(_conclude, _RULES)
 
 
-def _read(pages: pa.Array, paths: pa.Array, templates: pa.Array) -> pa.Array:
+def _read(pages: pa.Array, paths: pa.Array) -> pa.Array:
     out = []
-    rules: dict[tuple, tuple] = {}
-    for page, path, template in zip(pages, paths.to_pylist(), templates.to_pylist(), strict=True):
+    for page, path in zip(pages, paths.to_pylist(), strict=True):
         tree = parse(page.as_py() or "")
-        text = None
-        if path is not None:
-            key = (path, template)
-            if key not in rules:
-                rules[key] = (json.loads(path), frozenset(json.loads(template)))
-            text = extract(tree, *rules[key])
+        text = None if path is None else extract(tree, json.loads(path))
         if not text:
             # No wrapper, or one that doesn't fit: the page is its own sample.
-            text = extract(tree, main_path(wrapper_of(tree)), frozenset())
+            text = extract(tree, main_path(wrapper_of(tree)))
         out.append(text or "")
     return pa.array(out, pa.string())
 
@@ -431,11 +418,11 @@ def main_text(pages: DataFrame, id_column: str = "page_id", url: str = "url", pa
     """Id, url, `text` and `n_chars` of every page."""
     spark = pages.sparkSession
     where = fresh_path(spark, "wrappers")
-    infer(pages, url, page).select("host", "path", "template").write.parquet(where)
+    infer(pages, url, page).select("host", "path").write.parquet(where)
     rules = spark.read.parquet(where).withColumnRenamed("host", "of")
     columns = [F.col(f"`{id_column}`").alias("id"), F.col(f"`{url}`").alias("url"), F.col(f"`{page}`").cast("string").alias("html")]
     narrow = _hosted(pages.select(*columns), "url")
     told = narrow.join(rules, narrow.host == rules["of"], "left")
-    read = F.arrow_udf(_read, "string")("html", "path", "template")
+    read = F.arrow_udf(_read, "string")("html", "path")
     done = told.select("id", "url", read.alias("text"))
     return done.select(F.col("id").alias(id_column), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))
