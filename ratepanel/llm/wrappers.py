@@ -10,7 +10,8 @@ wrappers are counted together, and the rest of a host is aligned in two steps, s
 that a host with a third of all pages is spread over many tasks too.
 
 The main text lies where the wrapper has its mass of variable text outside links
-and outside elements named as boilerplate; `main_path` descends to it. A page is
+and outside elements named as boilerplate; `main_path` descends to the smallest
+element that holds all of it, or to the one whose tag names the article. A page is
 then read once: elements on the path give their blocks, boilerplate inside left out;
 a text there stays, on however many pages it is. A page without host, or one its wrapper doesn't fit, is
 read by a wrapper of its own. The wrappers are written to the shared folder, so
@@ -77,9 +78,11 @@ BOILERPLATE_WORDS = frozenset(
     "widget footer header masthead topbar cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login "
     "share sharing social related recommended comment comments disqus reply replies pagination pager skip toolbar alert".split()
 )
-CONTENT_WORDS = frozenset("article content post entry story main text body".split())
-#: The share of the variable text that an element must hold to be descended to.
-SHARE = 0.7
+#: Tags that say what the article is, and blocks of text that are never all of it.
+ARTICLES = frozenset(("article", "main"))
+BLOCKS = frozenset(("p", "li", "td", "tr", "pre", "blockquote"))
+#: The share of the variable text that elements marked as the article must hold to be all of it.
+SHARE = 0.4
 #: A text that is the same on at least so many pages doesn't tell where the article is.
 TEMPLATE_PAGES = 20
 GROUP = 4
@@ -275,32 +278,50 @@ def _named(symbol: str) -> tuple[str, frozenset[str]]:
     return tag, frozenset(w for m in marks for w in _WORD.findall(m))
 
 
-def _mass(node: list) -> float:
-    """Characters of variable text outside links and boilerplate."""
+def _mass(node: list, template: bool = True) -> float:
+    """Characters of variable text outside links and boilerplate; without `template`, of all such text."""
     if not node[0].startswith("(") and is_boilerplate(*_named(node[0]), False):
         return 0
-    own = 0 if node[6] is not None and node[1] >= TEMPLATE_PAGES else max(0, node[4] - node[5])
-    return own + sum(map(_mass, node[7]))
+    own = 0 if template and node[6] is not None and node[1] >= TEMPLATE_PAGES else max(0, node[4] - node[5])
+    return own + sum(_mass(k, template) for k in node[7])
+
+
+def _marked(node: list, template: bool) -> float:
+    """The part of the mass inside elements whose tag says that they are the article."""
+    tag, names = _named(node[0])
+    if not node[0].startswith("(") and is_boilerplate(tag, names, False):
+        return 0
+    return _mass(node, template) if tag in ARTICLES else sum(_marked(k, template) for k in node[7])
 
 
 def main_path(wrapper: list) -> list[str]:
-    """Symbols from the top to the element that holds the main text."""
+    """Symbols from the top to the smallest element that holds all of the main text."""
+    # Where all pages say the same, nothing is template.
+    template = _mass(wrapper) > 0
     path, node = [], wrapper
     while True:
-        total = _mass(node)
-        kids = [k for kid in node[7] for k in (kid[7] if kid[0].startswith("(") else [kid])]
-        best, most = None, 0.0
-        for kid in kids:
-            tag, names = _named(kid[0])
-            # An element that says it is the article needs less of the text.
-            likely = tag in ("article", "main") or bool(names & CONTENT_WORDS)
-            mass = _mass(kid) * (SHARE / 0.4 if likely else 1)
-            if mass > most and tag not in HEADINGS and tag not in ("p", "li", "td", "tr", "pre", "blockquote"):
-                best, most = kid, mass
-        if best is None or most < SHARE * total or total == 0 or (path and _named(path[-1])[0] == "article"):
+        total = _mass(node, template)
+        by_symbol: dict[str, list[list]] = {}
+        for kid in node[7]:
+            for k in kid[7] if kid[0].startswith("(") else [kid]:
+                by_symbol.setdefault(k[0], []).append(k)
+        if total == 0 or (path and _named(path[-1])[0] == "article"):
+            return path
+        headed = [symbol for symbol, kids in by_symbol.items() if _named(symbol)[0] in HEADINGS and any(_mass(k, template) for k in kids)]
+        chosen = None
+        for symbol, kids in by_symbol.items():
+            if _named(symbol)[0] in HEADINGS or _named(symbol)[0] in BLOCKS:
+                continue
+            # All of the text, or the element that is the article by its tag, unless a title stands beside it.
+            if sum(_mass(k, template) for k in kids) == total or (not headed and sum(_marked(k, template) for k in kids) >= SHARE * total):
+                chosen = symbol
+                break
+        if chosen is None:
             return path
-        path.append(best[0])
-        node = best
+        path.append(chosen)
+        kids = by_symbol[chosen]
+        # Elements of one symbol are all on the path.
+        node = kids[0] if len(kids) == 1 else [*kids[0][:7], [g for k in kids for g in k[7]]]
 
 
 def _find(node: Node, path: list[str]) -> list[Node]:
