@@ -16,6 +16,9 @@ matches. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,8 +89,39 @@ KNOWN = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."),
 }
 
-#: A copyright line begins with the word or the sign.
-_COPYRIGHT = r"(?mi)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[^\n]*$"
+#: Titles that files of a licence in KNOWN put before its body. Fixed values.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"),
+}
+#: Full texts by licence id, read by the driver.
+TEXTS = Path(__file__).parent / "licence_texts"
+#: Where the terms of a full text end, if more follows that files may leave out.
+_END = re.compile(r"END OF TERMS AND CONDITIONS")
+
+#: A copyright line begins with the word or the sign, and has the sign, a year or a place for one.
+_COPYRIGHT = (
+    r"(?mi)^[^\p{L}\p{N}\n]*(?:copyright\b(?=[^\n]*(?:\(c\)|©|\b[0-9]{4}\b|[\[<{](?:yyyy|year)))"
+    r"|(?:\(c\)|©)(?=[^\n]*(?:copyright|\b[0-9]{4}\b|[\[<{](?:yyyy|year))))[^\n]*$|^\h*all rights reserved\.?\h*$"
+)
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """Licence and text of all known texts: notices, bodies with and without a title, full texts with and without what follows their terms."""
+    rows = [(name, text) for name, texts in KNOWN.items() for text in texts]
+    # The body is the longest of a licence's texts.
+    rows += [(name, f"{title}\n\n{max(KNOWN[name], key=len)}") for name, titles in TITLES.items() for title in titles]
+    for file in sorted(TEXTS.glob("*.txt")):
+        # One licence may have several files.
+        name, text = file.stem.split("_")[0], file.read_text(encoding="utf-8")
+        end = _END.search(text)
+        rows += [(name, text), *([(name, text[: end.end()])] if end else [])]
+        if name.startswith("BSD-"):
+            body = text[text.index("Redistribution and use") :]
+            count = name.split("-")[1]
+            titles = (f"BSD {count}-Clause License", f"The BSD {count}-Clause License", *(("BSD 3-Clause \"New\" or \"Revised\" License",) if count == "3" else ()))
+            rows += [(name, body), *((name, f"{title}\n\n{body}") for title in titles)]
+    return rows
 
 
 def canonical(text: Column) -> Column:
@@ -111,9 +145,8 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def built_in(spark: SparkSession) -> DataFrame:
-    """`licence, text` of KNOWN, as constants in the plan."""
-    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("licence"), F.lit(t).alias("text")) for k, texts in KNOWN.items() for t in texts]))
-    return spark.range(1).select(rows.alias("k")).select("k.*")
+    """`licence, text` of all known texts, as rows of the plan."""
+    return spark.createDataFrame(known_texts(), "licence string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
