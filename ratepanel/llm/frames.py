@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratepanel.sources.shared import shared_folder
+from ratepanel.sources.shared import fresh_path, shared_folder
 
 
 _shipped: set[str] = set()
@@ -43,6 +43,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as a table in the folder that all executors share."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     taken = {c.lower() for c in df.columns}

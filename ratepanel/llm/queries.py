@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratepanel.llm import bpe, chat, decontam, licences, minhash, quality, secrets, sharding, substring, wrappers
+from ratepanel.llm import bpe, chat, decontam, licences, minhash, packing, quality, secrets, sharding, substring, wrappers
 from ratepanel.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,7 @@ SQL: dict[str, str] = {}
 
 SHARDS = 40
 VOCABULARY = "byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def _query(run):
@@ -87,6 +88,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.main_text(table(spark, sf_dir, "pages"))
 
 
+@_query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY)).drop("ids")
+
+
 _MARKS = chat.INSTRUCT.control()
 _ESCAPES = " + ".join(
     ["length(text) - length(replace(text, chr(92), ''))", *[f"(length(text) - length(replace(text, '{m}', ''))) / {len(m)}" for m in _MARKS]]
