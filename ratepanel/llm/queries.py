@@ -9,7 +9,7 @@ from public_tokenizers import path as vocabulary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratepanel.llm import bpe, chat, decontam, licences, minhash, packing, quality, secrets, sharding, substring, wrappers
+from ratepanel.llm import bpe, chat, collocations, decontam, licences, minhash, packing, prefixes, quality, secrets, sharding, substring, wrappers
 from ratepanel.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,19 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_VOCABULARY)).drop("ids")
 
 
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefixes.turn_lists(table(spark, sf_dir, "conversations"), near=20)
+    shared = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    return prefixes.trie(prefixes.paths(prefixes.with_heads(lists, 3, shared)))
+
+
 _MARKS = chat.INSTRUCT.control()
 _ESCAPES = " + ".join(
     ["length(text) - length(replace(text, chr(92), ''))", *[f"(length(text) - length(replace(text, '{m}', ''))) / {len(m)}" for m in _MARKS]]
@@ -142,3 +155,56 @@ SQL["op9_decontamination"] = r"""
            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+SQL["op12_collocations"] = r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+    s AS (SELECT lang, w, words, unnest(range(1, len(w) - words + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS words) WHERE len(w) >= words),
+    g AS (SELECT lang, words, array_to_string(w[i:i + words - 1], ' ') AS phrase FROM s),
+    totals AS (SELECT lang, count(*) AS n FROM g WHERE words = 1 GROUP BY lang),
+    f AS (SELECT lang, words, phrase, count(*) AS a FROM g GROUP BY lang, words, phrase HAVING count(*) >= 100),
+    parts AS (SELECT *, string_split(phrase, ' ') AS p FROM f WHERE words >= 2),
+    inside AS (SELECT lang, a, array_to_string(p[i:i + m - 1], ' ') AS phrase FROM
+                   (SELECT *, unnest(range(1, words - m + 2)) AS i FROM (SELECT *, unnest(range(2, words)) AS m FROM parts WHERE words > 2))),
+    kept AS (SELECT * FROM parts ANTI JOIN (SELECT i.lang, i.phrase FROM inside i JOIN f ON f.lang = i.lang AND f.phrase = i.phrase AND 100 * i.a >= 100 * f.a)
+                                            USING (lang, phrase)),
+    cuts AS (SELECT *, unnest(range(1, words)) AS k FROM kept),
+    scored AS (SELECT c.lang, c.phrase, c.a, k, h.a AS l, t.a AS r, n,
+                      CAST((CAST(1000 AS HUGEINT) * c.a * n) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
+               FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(p[1:k], ' ')
+                           JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(p[k + 1:], ' ')
+                           JOIN totals ON totals.lang = c.lang),
+    best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE place = 1)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+# CRC-32 by its definition: each byte is added, then eight steps follow.
+SQL["op13_prefix_trie"] = """
+    WITH turn AS (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+                         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words
+                  FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT conv_id, list({'d': digest, 'w': words} ORDER BY turn NULLS FIRST, digest) AS turns,
+                   list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)) AS bytes FROM turn GROUP BY conv_id),
+    crc AS (SELECT conv_id, turns,
+                   xor(list_reduce(flatten(list_transform(bytes, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1])),
+                                   lambda v, b: CASE WHEN b >= 0 THEN xor(v, b) WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END,
+                                   CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h FROM own),
+    made AS (SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+             FROM crc c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+    digests AS (SELECT conv_id, list_transform(turns, lambda t: t.d) AS d, list_transform(turns, lambda t: t.w) AS w FROM made),
+    member AS (SELECT conv_id, d, w, unnest(range(0, len(d) + 1)) AS depth FROM digests),
+    keyed AS (SELECT *, array_to_string(d[1:depth], '') AS key, CASE WHEN depth > 0 THEN array_to_string(d[1:depth - 1], '') END AS above FROM member),
+    node AS (SELECT depth, key, above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(w[depth], 0)) AS words,
+                    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(d) = depth), '')) AS ends_sha256
+             FROM keyed GROUP BY depth, key, above),
+    child AS (SELECT depth - 1 AS depth, above AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1, 2),
+    known AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (depth, key)),
+    upward AS (SELECT n_children, (n_convs - 1) * words AS saved, d, unnest(range(0, depth + 1)) AS up FROM known JOIN digests USING (conv_id)),
+    total AS (SELECT up AS depth, array_to_string(d[1:up], '') AS key, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+              FROM upward GROUP BY 1, 2)
+    SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, k.ends_sha256
+    FROM known k JOIN total USING (depth, key) LEFT JOIN node p ON k.depth > 0 AND p.depth = k.depth - 1 AND p.key = k.above
+"""
