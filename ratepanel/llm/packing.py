@@ -22,6 +22,7 @@ import hashlib
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -38,8 +39,10 @@ WINDOW = 2048
 END = 1
 #: Bytes of a text that are cut into words at once; a memory bound, without effect on results.
 BLOCK = 1 << 20
+#: Words whose ids a Python worker remembers; a memory bound, without effect on results.
+KNOWN = 1 << 19
 #: Pieces of one length that one group ranks.
-RUN = 4096
+RUN = 1024
 #: Rounds of the solver, and combinations looked at in each.
 ROUNDS, PICKED = 400, 2048
 #: Rank and length share a 64-bit key.
@@ -50,27 +53,62 @@ TOKENS = "doc_id {id}, start long, length int, doc_tokens long, ids_crc32 long,
 PIECES = "doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
+#: How a vocabulary file says that words are lower-cased runs of letters, digits apart, and runs of other signs.
+_NORMALIZERS = {"NFC", "Replace", "Lowercase"}
+_PATTERN = {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+_SPLITS = [
+    {"type": "Split", "pattern": _PATTERN, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Small letters that no normalizer of these changes, then signs but for the apostrophe.
+_PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _letters() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is visible, else the next free one."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(0x100) if b not in visible]
+    return {b: b for b in visible} | {b: 0x100 + i for i, b in enumerate(hidden)}
+
+
 class WordTokenizer:
     """Ids of texts by a vocabulary whose pre-tokenizer drops white space.
 
     No unit of such a vocabulary spans ASCII white space, so words are encoded
-    one by one and frequent ones remembered.
+    one by one and frequent ones remembered. Where the file splits words as
+    stated above, plain small letters go straight to its model.
     """
 
     def __init__(self, description: str):
         told = json.loads(description)
         self.tokenizer = Tokenizer.from_str(description)
         normalizer = told.get("normalizer") or {}
-        steps = normalizer.get("normalizers", [normalizer])
+        steps = {s.get("type") for s in normalizer.get("normalizers", [normalizer])}
         # Words that differ in case only share their ids, but for special tokens, which are sought before.
-        self.folds = any(s.get("type") == "Lowercase" for s in steps)
+        self.folds = "Lowercase" in steps
         self.special = [t["content"].encode().lower() for t in told.get("added_tokens", [])]
+        self.plain = self.folds and steps <= _NORMALIZERS and (told.get("pre_tokenizer") or {}).get("pretokenizers") == _SPLITS
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.known = Remember(self._encode)
+        self.code = self.kind.char
+        self.letters = _letters()
+        self.known = Remember(self._word, KNOWN)
+        self.runs = Remember(self._run, KNOWN // 2)
+        self.signs = Remember(self._encode)
 
     def _encode(self, word: bytes) -> bytes:
-        return np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+
+    def _run(self, letters: bytes) -> bytes:
+        tokens = self.tokenizer.model.tokenize(letters.decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in tokens]).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        found = _PLAIN.fullmatch(word) if self.plain else None
+        if found is None:
+            return self._encode(word)
+        letters, signs = found.groups()
+        return self.runs[letters] + self.signs[signs] if signs else self.runs[letters]
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text, in the narrowest integers that hold the vocabulary."""
