@@ -7,8 +7,10 @@ crosses the network is packed: for each range of fingerprints the sorted
 differences and counts, with the chunk as pointer to the occurrences. The owner
 of a range adds up the counts and tells each chunk which of its fingerprints are
 frequent. The chunk's text then decides: occurrences are compared with each other
-byte by byte, and only these phrases are written out and counted by their text,
-so two phrases of one fingerprint are never mixed, however short it is.
+byte by byte, and only these phrases are written out, go to the owner of the
+range again and are counted by their text, so two phrases of one fingerprint are
+never mixed, however short it is. When there are more ranges than a chunk can be
+cut into, they are dealt in two steps.
 
 A fingerprint, phrase or language may hold any share of the words: it crosses
 once for each chunk. Null texts are empty, null languages `und`; ids aren't
@@ -37,8 +39,8 @@ from ratepanel.llm.words import mix
 LONGEST = 5
 #: Bytes of text in a chunk, and in all chunks that a task fills at once; memory bounds, without effect on rows.
 CHUNK, OPEN = 4_000_000, 32_000_000
-#: n-grams that one range of fingerprints holds, about.
-RANGE = 1 << 21
+#: n-grams that one range of fingerprints holds, about, and ranges that a chunk is dealt to at once.
+RANGE, FAN = 1 << 22, 1 << 14
 #: Bits of a fingerprint.
 BITS = 48
 _BASE = 0x9E3779B97F4A7C17
@@ -51,8 +53,9 @@ _LOWER = bytes.maketrans(
 _SPACES = re.compile(rb" {2,}")
 
 CHUNKS = "chunk long, lang string, n_words long, text binary"
-PARTIALS = "range int, chunk long, n int, width int, steps binary, counts binary"
+PARTIALS = "range int, chunks binary, n int, width int, steps binary, counts binary, owners binary"
 WANTED = "chunk long, wanted binary"
+TOLD = "range int, lang string, phrases binary, counts binary"
 PHRASES = "lang string, phrase string, words int, n long"
 
 
@@ -187,22 +190,63 @@ class Spans:
 # Counting: from chunks to the owners of fingerprints, and back.
 
 
+def _borders(ranges: int, bits: int) -> np.ndarray:
+    return np.array([(i << bits) // ranges for i in range(ranges + 1)], np.uint64)
+
+
 def _partials(ranges: int, longest: int, bits: int):
     """Fingerprints of each chunk with their counts, dealt by range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, reader = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-        borders = np.array([(i << bits) // ranges for i in range(ranges + 1)], np.uint64)
+        borders = _borders(ranges, bits)
         for batch in batches:
             for chunk, lang, text in zip(*[batch.column(n).to_pylist() for n in ("chunk", "lang", "text")], strict=True):
                 marks = np.concatenate([m for _, _, m in Spans(reader.decompress(text)).grams(lang, longest, bits)])
                 marks, counts = np.unique(marks, return_counts=True)
-                cuts = np.searchsorted(marks, borders)
-                rows = []
-                for at in np.flatnonzero(np.diff(cuts)).tolist():
-                    own = slice(cuts[at], cuts[at + 1])
-                    rows.append((at, chunk, *_pack(marks[own], counts[own], borders[at], packer)))
-                yield _batch(rows, PARTIALS)
+                yield _rows(marks, counts, None, np.array([chunk], np.int64), borders, 0, packer)
+
+    return run
+
+
+def _rows(marks, counts, owners, chunks: np.ndarray, borders: np.ndarray, first: int, packer) -> pa.RecordBatch:
+    """Sorted fingerprints, packed for each range; owners are places among the chunks, None where there is one."""
+    cuts, rows = np.searchsorted(marks, borders), []
+    for at in np.flatnonzero(np.diff(cuts)).tolist():
+        own = slice(cuts[at], cuts[at + 1])
+        told = b"" if owners is None else packer.compress(owners[own].astype("<i4").tobytes())
+        rows.append((first + at, chunks.tobytes(), *_pack(marks[own], counts[own], borders[at], packer), told))
+    return _batch(rows, PARTIALS)
+
+
+def _finer(ranges: int, coarse: int, bits: int):
+    """Rows of coarse ranges, which come in order, gathered from many chunks and dealt to the fine ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, reader = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        every, outer = _borders(ranges, bits), _borders(coarse, bits)
+        held, size, at = [], 0, -1
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held, size
+            marks, counts, owners = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.argsort(marks, kind="stable")
+            chunks, owners = np.unique(owners[order], return_inverse=True)
+            # The fine ranges that meet this coarse one; both are cut at the same multiples.
+            low = int(np.searchsorted(every, outer[at], "right")) - 1
+            high = int(np.searchsorted(every, outer[at + 1], "left"))
+            held, size = [], 0
+            return _rows(marks[order], counts[order], owners, chunks, every[low : high + 1], low, packer)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and (row["range"] != at or size >= RANGE):
+                    yield flush()
+                at = row["range"]
+                held.append(_unpack(row, int(outer[at]), reader))
+                size += len(held[-1][0])
+        if held:
+            yield flush()
 
     return run
 
@@ -217,13 +261,17 @@ def _pack(marks: np.ndarray, counts: np.ndarray, border: np.uint64, packer) -> t
     return len(marks), width, packer.compress(planes.tobytes()), packer.compress(told)
 
 
-def _unpack(n: int, width: int, steps: bytes, counts: bytes, border: int, reader) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(reader.decompress(steps), np.uint8).reshape(width, n).T
+def _unpack(row: dict, border: int, reader) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints, counts and chunks of a packed row."""
+    n, width = row["n"], row["width"]
+    planes = np.frombuffer(reader.decompress(row["steps"]), np.uint8).reshape(width, n).T
     marks = np.cumsum(np.ascontiguousarray(planes).view(f"<u{width}").ravel().astype(np.uint64)) + np.uint64(border)
-    told = reader.decompress(counts)
+    told = reader.decompress(row["counts"])
     found = np.frombuffer(told, np.uint8, n).astype(np.int64)
     found[found == 255] = np.frombuffer(told, "<i8", offset=n)
-    return marks, found
+    chunks = np.frombuffer(row["chunks"], np.int64)
+    owners = chunks[np.frombuffer(reader.decompress(row["owners"]), "<i4")] if row["owners"] else np.repeat(chunks, n)
+    return marks, found, owners
 
 
 def _met(ranges: int, least: int, bits: int):
@@ -232,33 +280,33 @@ def _met(ranges: int, least: int, bits: int):
     def run(table: pa.Table) -> pa.Table:
         reader, rows = zstandard.ZstdDecompressor(), []
         border = (table["range"][0].as_py() << bits) // ranges
-        packed = zip(*[table[n].to_pylist() for n in ("n", "width", "steps", "counts")], strict=True)
-        marks, counts = (np.concatenate(c) for c in zip(*[_unpack(*p, border, reader) for p in packed], strict=True))
-        owner = np.repeat(np.arange(len(table)), table["n"].to_numpy())
+        marks, counts, owners = (np.concatenate(c) for c in zip(*[_unpack(r, border, reader) for r in table.to_pylist()], strict=True))
         order = np.argsort(marks, kind="stable")
         marks = marks[order]
         heads = np.flatnonzero(np.diff(marks, prepend=marks[0] + np.uint64(1)))
         often = np.add.reduceat(counts[order], heads) >= least
         often = np.repeat(often, np.diff(np.append(heads, len(marks))))
-        marks, owner = marks[often], owner[order][often]
-        order = np.argsort(owner, kind="stable")
-        marks, owner = marks[order], owner[order]
-        heads = np.flatnonzero(np.diff(owner, prepend=-1))
-        for begin, end in zip(heads, [*heads[1:], len(owner)], strict=False):
-            rows.append((table["chunk"][int(owner[begin])].as_py(), marks[begin:end].tobytes()))
+        marks, owners = marks[often], owners[order[often]]
+        order = np.argsort(owners, kind="stable")
+        marks, owners = marks[order], owners[order]
+        heads = np.flatnonzero(np.diff(owners, prepend=owners[:1] - 1))
+        for begin, end in zip(heads, [*heads[1:], len(owners)], strict=False):
+            rows.append((int(owners[begin]), marks[begin:end].tobytes()))
         return pa.Table.from_batches([_batch(rows, WANTED)])
 
     return run
 
 
-def _told(longest: int, bits: int):
-    """The phrases of a chunk whose fingerprints are frequent, with their counts there."""
+def _told(ranges: int, longest: int, bits: int):
+    """The phrases of a chunk whose fingerprints are frequent, with their counts there, packed by range."""
 
     def run(chunks: pa.Table, wanted: pa.Table) -> pa.Table:
-        reader, rows = zstandard.ZstdDecompressor(), []
+        packer, reader, borders, rows = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor(), _borders(ranges, bits), []
         marked = np.unique(np.frombuffer(b"".join(wanted["wanted"].to_pylist()), np.uint64))
+        home = np.searchsorted(borders, marked, "right") - 1
         for lang, text in zip(chunks["lang"].to_pylist(), chunks["text"].to_pylist(), strict=True):
             spans = Spans(reader.decompress(text))
+            found: dict[int, list[tuple[bytes, int]]] = {}
             for n, at, marks in spans.grams(lang, longest, bits) if len(marked) else ():
                 place = np.minimum(np.searchsorted(marked, marks), len(marked) - 1)
                 hit = np.flatnonzero(marked[place] == marks)
@@ -270,8 +318,28 @@ def _told(longest: int, bits: int):
                     sizes = np.diff(np.append(heads, len(at)))
                     equal = spans.same(at, np.repeat(at[heads], sizes), n)
                     counts = np.add.reduceat(equal.astype(np.int64), heads)
-                    rows += [(lang, spans.phrase(f, n).decode(), n, c) for f, c in zip(at[heads].tolist(), counts.tolist(), strict=True)]
+                    for own, first, count in zip(home[place[heads]].tolist(), at[heads].tolist(), counts.tolist(), strict=True):
+                        found.setdefault(own, []).append((spans.phrase(first, n), count))
                     at, place = at[~equal], place[~equal]
+            for own, said in found.items():
+                phrases, counts = zip(*said, strict=True)
+                rows.append((own, lang, packer.compress(b"\n".join(phrases)), packer.compress(np.array(counts, "<i8").tobytes())))
+        return pa.Table.from_batches([_batch(rows, TOLD)])
+
+    return run
+
+
+def _summed(least: int):
+    """Phrases of a range that are frequent, by their text."""
+
+    def run(table: pa.Table) -> pa.Table:
+        reader, sums = zstandard.ZstdDecompressor(), {}
+        for row in table.to_pylist():
+            counts = np.frombuffer(reader.decompress(row["counts"]), "<i8").tolist()
+            for phrase, count in zip(reader.decompress(row["phrases"]).split(b"\n"), counts, strict=True):
+                key = (row["lang"], phrase)
+                sums[key] = sums.get(key, 0) + count
+        rows = [(lang, phrase.decode(), phrase.count(b" ") + 1, n) for (lang, phrase), n in sums.items() if n >= least]
         return pa.Table.from_batches([_batch(rows, PHRASES)])
 
     return run
@@ -287,10 +355,16 @@ def frequent(chunked: DataFrame, least: int, longest: int = LONGEST, bits: int =
     """`lang, phrase, words, n`: all phrases of one to `longest` words that occur `least` times or more."""
     total = chunked.agg(F.sum("n_words")).first()[0] or 0
     ranges = max(1, math.ceil(total * longest / RANGE))
-    partials = chunked.mapInArrow(_partials(ranges, longest, bits), PARTIALS)
+    coarse = min(ranges, FAN)
+    partials = chunked.mapInArrow(_partials(coarse, longest, bits), PARTIALS)
+    if coarse < ranges:
+        # A multiple, so that every fine range lies in one coarse range.
+        ranges = math.ceil(ranges / coarse) * coarse
+        partials = partials.repartition("range").sortWithinPartitions("range").mapInArrow(_finer(ranges, coarse, bits), PARTIALS)
     wanted = partials.groupBy("range").applyInArrow(_met(ranges, least, bits), WANTED)
-    told = chunked.select("chunk", "lang", "text").groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_told(longest, bits), PHRASES)
-    return told.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    own = chunked.select("chunk", "lang", "text").groupBy("chunk")
+    told = own.cogroup(wanted.groupBy("chunk")).applyInArrow(_told(ranges, longest, bits), TOLD)
+    return told.groupBy("range").applyInArrow(_summed(least), PHRASES)
 
 
 # Scores.

@@ -78,9 +78,11 @@ def test_equals_brute_force(spark, monkeypatch):
     assert {r[0] for r in want} == {"en", "fr", "und"}
 
 
-@pytest.mark.parametrize("bits", [3, 8, 48])
-def test_colliding_fingerprints_are_told_apart_by_their_text(spark, monkeypatch, bits):
+@pytest.mark.parametrize("fan", [5, 1000])
+@pytest.mark.parametrize("bits", [9, 12, 48])
+def test_colliding_fingerprints_are_told_apart_by_their_text(spark, monkeypatch, bits, fan):
     monkeypatch.setattr(collocations, "RANGE", 500)
+    monkeypatch.setattr(collocations, "FAN", fan)
     rows = corpus()
     _, often = brute(rows, 7, 4, 1)
     chunked = collocations.chunks(frame(spark, rows).repartition(4))
