@@ -3,24 +3,40 @@
 All functions take and give SQL text; ``pyspark.sql.functions.expr`` makes a
 column of it.
 
-Nested tables are out of scope: a table ends at the first closing tag. A table,
+Tables may hold tables. Where one does, the marks that open and close an element
+are folded with a stack, so that each element ends at its own closing tag; rows
+and cells then come at every depth, in the order in which they begin. Pages
+without such tables, the usual ones, are read by patterns alone. A table,
 section, row or cell that is never closed runs to the end of its parent.
 
 The patterns take inner HTML in possessive runs up to a "<" that may close the
 element. They never backtrack and do not recurse, so a page of any length costs
-time in proportion to it.
+time in proportion to it. A quoted attribute may hold a ">", but no "<".
 """
 
 from __future__ import annotations
 
+import json
+import re
+import zlib
 from html.entities import html5
 
 from ratepanel.functions.sql import text
 
 # An open comment or script hides the rest of the page. Each body is scanned once, without going back.
 _HIDDEN = r"(?i)<(?:!--(?:[^-]++|-(?!->))*+(?:-->|\z)|script\b(?:[^<]++|<(?!/script\b))*+(?:</script\s*+>|\z))"
-# A ">" in a quoted attribute doesn't end the tag.
-_TAG = r"""<(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])++>"""
+# What follows a tag's name: a ">" in a quoted attribute doesn't end the tag.
+_ATTRIBUTE = r"""(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])"""
+_TAG = rf"<{_ATTRIBUTE}++>"
+
+
+def _attribute(name: str) -> str:
+    """An opening tag up to the value of one of its attributes, sought attribute by attribute; group 1 is its name."""
+    other = rf"""[\s/]++(?!{name}[\s=])[^\s=<>"'/]++(?:\s*+=\s*+(?:"[^"<]*+"|'[^'<]*+'|[^\s"'<>]++))?+"""
+    return rf"(?i)<([a-z][a-z0-9]*+)(?:{other})*+[\s/]++{name}\s*+=\s*+"
+
+
+_CLASS = rf"""^{_attribute("class")}("[^"<]*+"|'[^'<]*+'|[^\s"'<>]++)"""
 
 # Fixed value: white space by the Unicode standard.
 _SPACE = (
@@ -29,11 +45,25 @@ _SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+_OWN, _CELLS = "'own'", "'cells'"
+
 _REFERENCE = "&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);"
 
-# Separators of the table of names, which no name or character contains.
-_PAIR, _IS = "\x01", "\x02"
-_NAMES = _PAIR.join(f"&{name}{_IS}{letters}" for name, letters in sorted(html5.items()) if name.endswith(";"))
+# Names of characters, dealt out by checksum, so that a name is looked for among a few.
+_BUCKETS = 2048
+
+
+def _names() -> str:
+    """JSON: for each remainder of a name's checksum, the names with their characters."""
+    dealt: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for plain, letters in html5.items():
+        if plain.endswith(";"):
+            reference = f"&{plain}"
+            dealt[zlib.crc32(reference.encode()) % _BUCKETS][reference] = letters
+    return json.dumps(dealt, ensure_ascii=False, separators=(",", ":"))
+
+
+_NAMES = _names()
 
 # By the HTML standard, references to C1 controls mean the characters of Windows-1252.
 _C1 = "".join(map(chr, range(0x80, 0xA0)))
@@ -50,7 +80,55 @@ def let(value: str, variable: str, body: str) -> str:
 
 
 def _inner(tag: str) -> str:
-    return rf"(?i)<{tag}\b[^>]*>((?:[^<]++|<(?!/{tag}\b))*+)"
+    return rf"(?i)<{tag}\b{_ATTRIBUTE}*+>((?:[^<]++|<(?!/{tag}\b))*+)"
+
+
+def _pieces(html: str, tag: str) -> str:
+    """The HTML as tags that open or close an element of this kind, and what stands between them."""
+    return f"regexp_extract_all({html}, {text(rf'(?i)</?{tag}\b{_ATTRIBUTE}*+>|(?:[^<]++|<(?!/?{tag}\b))++')}, 0)"
+
+
+def _kind(piece: str, tag: str) -> str:
+    """1 for a tag that opens, -1 for one that closes, 0 for what stands between."""
+    return (
+        f"CASE WHEN NOT startswith({piece}, '<') THEN 0 WHEN {piece} RLIKE {text(rf'(?i)^<{tag}\b')} THEN 1"
+        f" WHEN {piece} RLIKE {text(rf'(?i)^</{tag}\b')} THEN -1 ELSE 0 END"
+    )
+
+
+def _deep(html: str, tag: str) -> str:
+    """Opening tag and inner HTML of every element, at any depth, by where it begins."""
+    state = "STRUCT<open: ARRAY<INT>, ended: ARRAY<STRUCT<begin: INT, end: INT>>>"
+    marks = f"filter(transform(pieces, (piece, at) -> named_struct('kind', {_kind('piece', tag)}, 'at', at + 1)), mark -> mark.kind != 0)"
+    opened = "named_struct('open', array_append(had.open, mark.at), 'ended', had.ended)"
+    ended = "array_append(had.ended, named_struct('begin', element_at(had.open, -1), 'end', mark.at))"
+    closed = f"named_struct('open', slice(had.open, 1, size(had.open) - 1), 'ended', {ended})"
+    step = f"CASE WHEN mark.kind = 1 THEN {opened} WHEN size(had.open) > 0 THEN {closed} ELSE had END"
+    none = f"CAST(named_struct('open', array(), 'ended', array()) AS {state})"
+    rest = "transform(had.open, begin -> named_struct('begin', begin, 'end', size(pieces) + 1))"
+    spans = f"aggregate({marks}, {none}, (had, mark) -> CAST({step} AS {state}), had -> array_sort(concat(had.ended, {rest})))"
+    inner = "array_join(slice(pieces, span.begin + 1, span.end - span.begin - 1), '')"
+    told = f"transform({spans}, span -> named_struct('tag', element_at(pieces, span.begin), 'inner', {inner}))"
+    return let(_pieces(html, tag), "pieces", told)
+
+
+def deep_elements(html: str, tag: str) -> str:
+    """Inner HTML of every ``tag`` element, those inside others too, by where they begin."""
+    return f"transform({_deep(html, tag)}, found -> found.inner)"
+
+
+def without_tables(html: str) -> str:
+    """The HTML outside of tables."""
+    state = "STRUCT<depth: INT, kept: ARRAY<STRING>>"
+    kind = _kind("piece", "table")
+    kept = "CASE WHEN had.depth = 0 AND kind = 0 THEN array_append(had.kept, piece) ELSE had.kept END"
+    step = f"CAST({let(kind, 'kind', f'named_struct({text("depth")}, greatest(had.depth + kind, 0), {text("kept")}, {kept})')} AS {state})"
+    none = f"CAST(named_struct('depth', 0, 'kept', array()) AS {state})"
+    return f"aggregate({_pieces(html, 'table')}, {none}, (had, piece) -> {step}, had -> array_join(had.kept, ''))"
+
+
+def _holds_table(html: str) -> str:
+    return f"{html} RLIKE '(?i)<table\\\\b'"
 
 
 def elements(html: str, tag: str) -> str:
@@ -69,16 +147,31 @@ def visible(html: str) -> str:
 
 
 def first_table(html: str) -> str:
-    """Inner HTML of the first table."""
-    return element(visible(html), "table")
+    """Inner HTML of the first table, up to its own closing tag."""
+    deep = f"element_at({deep_elements('page', 'table')}, 1)"
+    whole = let(element("page", "table"), "flat", f"CASE WHEN {_holds_table('flat')} THEN {deep} ELSE flat END")
+    return let(visible(html), "page", whole)
 
 
 def table_with_class(html: str, css: str) -> str:
-    """Inner HTML of the first table whose class list is ``css``."""
-    whole = f"regexp_extract_all({visible(html)}, {text('(' + _inner('table') + ')')}, 1)"
-    attribute = text(r"""(?is)^<table\b[^>]*?\bclass\s*=\s*["']([^"']*)["']""")
-    classes = f"trim(regexp_replace(regexp_extract(tbl, {attribute}, 1), {text(chr(92) + 's+')}, ' '))"
-    return element(f"try_element_at(filter({whole}, tbl -> {classes} = {text(css)}), 1)", "table")
+    """Inner HTML of the first table, at any depth, whose class list is ``css``."""
+    value = f"regexp_extract(found.tag, {text(_CLASS)}, 2)"
+    classes = f"trim(regexp_replace(trim(BOTH {text(chr(34) + chr(39))} FROM {value}), {text(chr(92) + 's+')}, ' '))"
+    tables = f"filter({_deep(visible(html), 'table')}, found -> {classes} = {text(css)})"
+    return f"coalesce(try_element_at({tables}, 1).inner, '')"
+
+
+def section(table: str, tag: str) -> str:
+    """Inner HTML of the first section of a table, empty when there is none."""
+    deep = f"coalesce(try_element_at({deep_elements('tbl', tag)}, 1), '')"
+    return let(table, "tbl", f"CASE WHEN {_holds_table('tbl')} THEN {deep} ELSE {element('tbl', tag)} END")
+
+
+def named_text(html: str, name: str) -> str:
+    """Text inside the first element with this ``name``, up to the closing tag."""
+    head = rf"""{_attribute("name")}["']?{re.escape(name)}["'\s/>]"""
+    inner = rf"{head}(?:[^<>]*+>)?+((?:[^<]++|<(?!/\1\b))*+)"
+    return clean_text(f"regexp_extract({html}, {text(inner)}, 2)")
 
 
 def strip_tags(html: str) -> str:
@@ -103,7 +196,8 @@ def unescape(plain: str) -> str:
     character = f"translate(decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32'), {text(_C1)}, {text(_C1_MEANT)})"
     known = "code BETWEEN 1 AND 1114111 AND code NOT BETWEEN 55296 AND 57343"
     numeric = let(_code_point(), "code", f"IF({known}, {character}, {text(chr(0xFFFD))})")
-    named = f"coalesce(try_element_at(str_to_map({text(_NAMES)}, {text(_PAIR)}, {text(_IS)}), ref), ref)"
+    names = f"element_at(from_json({text(_NAMES)}, 'ARRAY<MAP<STRING, STRING>>'), CAST(crc32(ref) % {_BUCKETS} AS INT) + 1)"
+    named = f"coalesce(try_element_at({names}, ref), ref)"
     read = f"transform(regexp_extract_all({plain}, {text(_REFERENCE)}, 0), ref -> IF(startswith(ref, '&#'), {numeric}, {named}))"
     between = f"split({plain}, {text(_REFERENCE)}, -1)"
     return f"array_join(zip_with({between}, {read}, (said, letters) -> concat(said, coalesce(letters, ''))), '')"
@@ -127,7 +221,19 @@ def clean_texts(cells: str) -> str:
     return f"transform(transform({cells}, cell -> {_shown('cell')}), shown -> {_reveal('shown')})"
 
 
+def row_cells(part: str, tag: str = "td") -> str:
+    """Rows of a table section, as structs of clean cell texts.
+
+    ``cells`` are all cells inside the row, those of inner tables too; ``own``
+    are the row's own. Rows of inner tables are rows as well.
+    """
+    rows = f"transform({elements('part', 'tr')}, line -> {elements('line', tag)})"
+    plain = f"transform({rows}, cells -> {let(clean_texts('cells'), 'texts', 'named_struct(' + _OWN + ', texts, ' + _CELLS + ', texts)')})"
+    own, every = clean_texts(elements(without_tables("line"), tag)), clean_texts(deep_elements("line", tag))
+    deep = f"transform({deep_elements('part', 'tr')}, line -> named_struct({_OWN}, {own}, {_CELLS}, {every}))"
+    return let(part, "part", f"CASE WHEN {_holds_table('part')} THEN {deep} ELSE {plain} END")
+
+
 def row_texts(part: str, tag: str = "td") -> str:
-    """Rows of a table section as arrays of clean cell texts."""
-    cells = f"transform({elements(part, 'tr')}, line -> {elements('line', tag)})"
-    return f"transform({cells}, cells -> {clean_texts('cells')})"
+    """Rows of a table section as arrays of clean cell texts, inner tables included."""
+    return f"transform({row_cells(part, tag)}, line -> line.cells)"

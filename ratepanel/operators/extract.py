@@ -31,11 +31,10 @@ def _day() -> str:
 def html_table_rows(
     pages: DataFrame, html: str = "html", part: str = "tbody", tag: str = "t[dh]"
 ) -> DataFrame:
-    """Rows of the first table: page columns, ``row_idx``, ``cells``."""
+    """Rows of the first table, those of tables inside it too: page columns, ``row_idx``, ``cells``."""
     keys = [name(k) for k in _keys(pages, html)]
-    lines = H.elements(H.element(H.first_table(name(html)), part), "tr")
-    opened = pages.selectExpr(*keys, f"posexplode({lines}) AS (row_idx, _line)")
-    return opened.selectExpr(*keys, "row_idx", f"{H.clean_texts(H.elements('_line', tag))} AS cells")
+    lines = H.row_texts(H.section(H.first_table(name(html)), part), tag)
+    return pages.selectExpr(*keys, f"posexplode({lines}) AS (row_idx, cells)")
 
 
 def html_table_cells(
@@ -64,7 +63,7 @@ def parse_rate_page(pages: DataFrame, terms: Sequence[str], html: str = "html")
     Only configured terms are kept; the last row of a term wins.
     """
     keys = [name(k) for k in _keys(pages, html)]
-    lines = H.row_texts(H.element(H.first_table(name(html)), "tbody"))
+    lines = H.row_texts(H.section(H.first_table(name(html)), "tbody"))
     wanted = rows({"type": t} for t in terms)
     opened = pages.selectExpr(*keys, f"{lines} AS _lines").selectExpr("*", f"inline({wanted})")
     last = "try_element_at(filter(_lines, cells -> try_element_at(cells, 1) = type), -1)"
@@ -82,9 +81,9 @@ def parse_fx_page(pages: DataFrame, html: str = "html") -> DataFrame:
     The first cell that contains the page's date must be that date alone.
     """
     keys = [name(k) for k in _keys(pages, html)]
-    lines = H.row_texts(H.element("tbl", "tbody"))
-    first = f"try_element_at(filter({lines}, line -> exists(line, c -> contains(c, day))), 1)"
-    alone = "CASE WHEN try_element_at(filter(hit, c -> contains(c, day)), 1) = day THEN hit END"
+    lines = H.row_cells(H.section("tbl", "tbody"))
+    first = f"try_element_at(filter({lines}, line -> exists(line.own, c -> contains(c, day))), 1)"
+    alone = "CASE WHEN try_element_at(filter(hit.own, c -> contains(c, day)), 1) = day THEN hit.cells END"
     headed = f"CASE WHEN tbl RLIKE '(?i)<thead' THEN {H.let(first, 'hit', alone)} END"
     row = H.let(H.first_table(name(html)), "tbl", H.let(_day(), "day", headed))
     # The second cell is the dollar rate, the third the local one.
@@ -102,9 +101,9 @@ def parse_sml_page(
     take the labels of header cells 1 to 4; a later header row wins.
     """
     keys = [name(k) for k in _keys(pages, html)]
-    lines = H.row_texts(H.element("tbl", "tbody"))
-    first = f"try_element_at(filter({lines}, line -> exists(line, c -> c = day)), 1)"
-    heads = H.row_texts(H.element("tbl", "thead"), "th")
+    lines = H.row_cells(H.section("tbl", "tbody"))
+    first = f"try_element_at(filter({lines}, line -> exists(line.own, c -> c = day)), 1).cells"
+    heads = H.row_texts(H.section("tbl", "thead"), "th")
     zipped = f"flatten(transform({heads}, head -> arrays_zip(slice(head, 2, 4), hit)))"
     labelled = H.let(f"slice({first}, 2, 4)", "hit", zipped)
     pairs = H.let(H.first_table(name(html)), "tbl", H.let(_day(), "day", labelled))
@@ -124,8 +123,8 @@ def entity_rows(lines: str, entities: Iterable[tuple[str, str]]) -> str:
     entity without a row.
     """
     listed = rows({"key": key, "name": legal} for key, legal in entities)
-    named = f"filter({lines}, line -> exists(line, c -> contains(c, bank.name)))"
-    found = struct({"key": "bank.key", "cells": f"try_element_at({named}, 1)"})
+    named = f"filter({lines}, line -> exists(line.own, c -> contains(c, bank.name)))"
+    found = struct({"key": "bank.key", "cells": f"try_element_at({named}, 1).cells"})
     return f"transform({listed}, bank -> {found})"
 
 
@@ -162,7 +161,7 @@ def parse_quote_page(
     """
     keys = [name(k) for k in _keys(pages, html)]
     table = H.table_with_class(name(html), css) if css else H.first_table(name(html))
-    found = H.let(H.row_texts(H.element(table, "tbody")), "lines", entity_rows("lines", entities))
+    found = H.let(H.row_cells(H.section(table, "tbody")), "lines", entity_rows("lines", entities))
     known = f"try_element_at({_configured(quotes)}, concat_ws('|', coin, _bank.key))"
     banks = pages.selectExpr(*keys, f"explode({found}) AS _bank").selectExpr(
         *keys, "_bank.key AS entidad_bancaria", "_bank.cells AS _cells", f"{known} AS _known"

@@ -3,25 +3,52 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratepanel.functions.html import named_text, visible
+from ratepanel.functions.normalize import DAY_FORMAT
 from ratepanel.functions.sql import rows, text
-from ratepanel.operators.calendar import calendar, check_range, in_range, small_dates
-from ratepanel.operators.merge import (
-    append_new,
-    dates_to_load,
-    shrink_refetch_end,
-    trailing_dates,
-    trim_trailing_empty,
-    upsert_by_date,
-)
+from ratepanel.operators.calendar import check_range, in_range, small_dates, snap_start
+from ratepanel.operators.extract import offered_coins
+from ratepanel.operators.merge import append_new, date_has_data, upsert_by_date
 from ratepanel.plans.pages import pages_to_panel
 from ratepanel.schemas import DATE, VALUE
 from ratepanel.sources.config import Dims
-from ratepanel.sources.panel import empty_panel, read_snapshot, write_snapshot
+from ratepanel.sources.panel import empty_panel
+from ratepanel.sources.store import (
+    StoreConflict,
+    commit,
+    manifest,
+    month_column,
+    month_of,
+    months_between,
+    read_parts,
+    write_parts,
+)
+
+#: How often a run is computed anew when another one has changed the same months.
+TRIES = 5
+
+
+@dataclass(frozen=True)
+class Days:
+    """What a run does with each of its days; at most one entry per day of its ranges."""
+
+    misses: tuple[dt.date, ...]
+    again: tuple[dt.date, ...]
+    trimmed: tuple[dt.date, ...]
+
+    @property
+    def wanted(self) -> list[dt.date]:
+        return sorted({*self.misses, *self.again})
+
+    @property
+    def touched(self) -> list[dt.date]:
+        return sorted({*self.wanted, *self.trimmed})
 
 
 @dataclass(frozen=True)
@@ -30,18 +57,42 @@ class Run:
 
     panel: DataFrame
     published: DataFrame
+    days: Days
 
 
-def _refetch_dates(
-    stored: DataFrame, dims: Dims, start: dt.date, end: dt.date, refetch: tuple[dt.date, dt.date], trim: bool
-) -> DataFrame:
-    """Days to load again; trimmed days at the end belong to the first pass."""
-    days = calendar(stored.sparkSession, *refetch)
-    if not trim:
-        return days
-    trailing = trailing_dates(stored, start, end, dims.family.value)
-    last = shrink_refetch_end(trailing, start, refetch[1]).scalar()
-    return days.where(F.col(DATE) <= last)
+def _span(start: dt.date, end: dt.date) -> list[dt.date]:
+    return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+
+
+def plan_days(
+    states: Mapping[dt.date, bool], start: dt.date, end: dt.date, refetch: tuple[dt.date, dt.date] | None = None, skip_trim: bool = False
+) -> Days:
+    """Misses, days to load again and days to trim, all out of one table of stored days.
+
+    ``states`` says of each stored day whether it has data. Days of the range
+    after its last one with data are trimmed, and so are misses; the refetch
+    range ends at the last day that was not trimmed.
+    """
+    last = max((d for d, full in states.items() if full and start <= d <= end), default=dt.date.min)
+    trimmed = set() if skip_trim else {d for d in states if last < d and start <= d <= end}
+    misses = [d for d in _span(start, end) if d not in states or d in trimmed]
+    again: list[dt.date] = []
+    if refetch:
+        again = _span(*refetch)
+        # Not below the day before both ranges, which no run trims.
+        floor = min(start, refetch[1]) - dt.timedelta(days=1)
+        until = max(d for d in _span(floor, refetch[1]) if d not in trimmed)
+        again = [d for d in again if d <= until]
+    return Days(tuple(misses), tuple(again), tuple(sorted(trimmed)))
+
+
+def stored_states(panel: DataFrame, first: dt.date, last: dt.date, value: str) -> dict[dt.date, bool]:
+    """Each stored day of a range and whether it has data: one aggregate, one row per day."""
+    return {r[DATE]: r.has_data for r in date_has_data(in_range(panel, first, last), value).collect()}
+
+
+def _dates(spark: SparkSession, days: Iterable[dt.date]) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in days], f"{DATE} date")
 
 
 def _blank_cells(days: DataFrame, pages: DataFrame, dims: Dims) -> DataFrame:
@@ -88,26 +139,43 @@ def incremental_run(
     held = empty_panel(spark, family) if skip_panel or panel is None else panel
     stored = in_range(held, first, last)
     outside = held.where(~F.coalesce(F.col(DATE).between(F.lit(first), F.lit(last)), F.lit(False)))
-    base = stored if skip_trim else trim_trailing_empty(stored, start, end, family.value)
-
-    misses = dates_to_load(base, start, end)
-    wanted = misses
-    if refetch:
-        again = _refetch_dates(stored, dims, start, end, refetch, trim=not skip_trim)
-        wanted = misses.unionByName(again).distinct()
+    states = {} if skip_panel or panel is None else stored_states(held, first, last, family.value)
+    days = plan_days(states, start, end, refetch, skip_trim)
+    # What is trimmed is all that is stored from its first day to the range's end.
+    gone = F.col(DATE).between(F.lit(days.trimmed[0]), F.lit(end)) if days.trimmed else F.lit(False)
+    base = stored.where(~F.coalesce(gone, F.lit(False)))
 
     # Both passes read their pages in one scan: a page of either is parsed once.
     offered = in_range(pages, first, last)
     if family.page_dim:
         offered = offered.where(F.col("coin").isin(list(dims.coins)))
-    chosen = offered.join(small_dates(wanted, first, last), DATE, "left_semi")
+    chosen = offered.join(small_dates(_dates(spark, days.wanted), first, last), DATE, "left_semi")
     parsed = pages_to_panel(chosen, dims)
-    new = append_new(parsed.select(*family.columns), _blank_cells(misses, offered, dims))
+    new = append_new(parsed.select(*family.columns), _blank_cells(_dates(spark, days.misses), offered, dims))
 
     # The keys come from the page table, whose HTML need not be read for them.
     replaced = chosen.withColumnRenamed("coin", family.page_dim or "coin")
     merged = upsert_by_date(base.select(*family.columns), new, family.page_key, replaced)
-    return Run(append_new(outside.select(*family.columns), merged), in_range(merged, start, end))
+    return Run(append_new(outside.select(*family.columns), merged), in_range(merged, start, end), days)
+
+
+def offered_start(form: DataFrame, start: dt.date, end: dt.date, field: str) -> dt.date:
+    """The start of a run, moved by a day when the form's list of dates (``field``) lacks it."""
+    written = f"regexp_extract_all({named_text(visible('html'), field)}, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}', 0)"
+    days = form.selectExpr(f"explode({written}) AS day").selectExpr(f"try_to_date(day, {text(DAY_FORMAT)}) AS {DATE}")
+    request = form.sparkSession.createDataFrame([(start, end)], "start_date date, end_date date")
+    row = snap_start(request, days).first()
+    if row.error:
+        raise ValueError("the start date isn't offered and is the end date")
+    return row.snapped_start
+
+
+def offered_dims(form: DataFrame, dims: Dims) -> Dims:
+    """The configuration without the coins that the form doesn't offer."""
+    if not dims.family.page_dim:
+        return dims
+    there = {r.key for r in offered_coins(form, dims.coins).select("key").distinct().collect()}
+    return dims.only({c: label for c, label in dims.coins.items() if c in there})
 
 
 def update_store(
@@ -120,19 +188,42 @@ def update_store(
     skip_panel: bool = False,
     skip_trim: bool = False,
     today: dt.date | None = None,
+    form: DataFrame | None = None,
 ) -> DataFrame:
     """``incremental_run`` on a stored panel; returns its asked dates after the run.
 
-    The ranges are checked first. Only the years of the range are read and
-    written again; with ``skip_panel`` nothing is, and the store stays as it is.
+    The ranges are checked first. Only the months of the range are read, and
+    only those whose days were loaded or trimmed are written again; with
+    ``skip_panel`` nothing is, and the store stays as it is. When another run
+    has changed the same months meanwhile, this one starts again from theirs.
+
+    ``form`` is the source's page of dates and coins, one row with its ``html``:
+    a start that it doesn't offer moves by a day, where the family's form lists
+    days, and pages of coins that it doesn't offer aren't read.
     """
     check_range(start, end, today or dt.date.today(), refetch)
     spark, family = pages.sparkSession, dims.family
+    if form is not None:
+        if family.form_dates:
+            start = offered_start(form, start, end, family.form_dates)
+        pages = pages.where(F.col("coin").isin(list(offered_dims(form, dims).coins))) if family.page_dim else pages
     if skip_panel:
         return incremental_run(pages, None, dims, start, end, refetch, skip_panel=True, skip_trim=skip_trim).published
     first = min(start, refetch[0]) if refetch else start
     last = max(end, refetch[1]) if refetch else end
-    stored = read_snapshot(spark, root, family, dt.date(first.year, 1, 1), dt.date(last.year, 12, 31))
-    run = incremental_run(pages, stored, dims, start, end, refetch, skip_trim=skip_trim)
-    write_snapshot(run.panel, root, family, range(first.year, last.year + 1))
-    return read_snapshot(spark, root, family, start, end)
+    for attempt in range(TRIES):
+        base = manifest(spark, root)
+        held = {m: base.parts[m] for m in months_between(first, last) if m in base.parts}
+        stored = read_parts(spark, root, family, type(base)(base.version, held))
+        run = incremental_run(pages, stored, dims, start, end, refetch, skip_trim=skip_trim)
+        months = sorted({month_of(d) for d in run.days.touched})
+        if not months:
+            break
+        parts = write_parts(run.panel.where(month_column().isin(months)), root, family)
+        try:
+            base = commit(spark, root, base, parts, months)
+            break
+        except StoreConflict:
+            if attempt == TRIES - 1:
+                raise
+    return read_parts(spark, root, family, base, start, end)

@@ -37,6 +37,8 @@ class Family:
     title_dims: tuple[str, ...]
     prefix: tuple[str, ...] = ()
     suffix: tuple[str, ...] = ()
+    #: The name of the form's field that lists the days with pages, where a run's start depends on it.
+    form_dates: str | None = None
 
     @property
     def page_key(self) -> list[str]:
@@ -72,6 +74,7 @@ FX = Family(
     page_dim="coin",
     member="type",
     title_dims=("coin",),
+    form_dates="Fecha",
 )
 SML = Family(
     name="sml",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -105,6 +105,10 @@ class Dims:
     def page_coins(self) -> list[str | None]:
         return list(self.coins) if self.family.page_dim else [None]
 
+    def only(self, coins: dict[str, str]) -> Dims:
+        """The same with these coins only."""
+        return replace(self, coins=coins)
+
     def members(self) -> list[tuple[str, ...]]:
         """Dimension values of every cell a full set of pages holds for one date."""
         match self.family.name:

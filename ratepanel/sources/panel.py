@@ -1,17 +1,16 @@
-"""Panels: long CSV files, and versioned Parquet snapshots split by year."""
+"""Panels: long CSV files, and versioned Parquet snapshots by month."""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ratepanel.operators.calendar import in_range
-from ratepanel.schemas import DATE, VALUE, Family
+from ratepanel.schemas import Family
+from ratepanel.sources.store import Manifest, commit, manifest, read_parts, write_parts
 
 
 def empty_panel(spark: SparkSession, family: Family) -> DataFrame:
@@ -45,69 +44,20 @@ def write_panel(panel: DataFrame, path: str, family: Family) -> None:
     panel.select(*family.columns).write.mode("overwrite").option("header", True).csv(path)
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame | None:
-    """One row per write: its version and the year it replaced, null for all years."""
-    return _or_none(lambda: spark.read.schema("version INT, year INT").parquet(f"{root}/log"))
+def write_snapshot(panel: DataFrame, root: str, family: Family, months: Iterable[str] | None = None, base: Manifest | None = None) -> Manifest:
+    """Write a new version of the whole panel, or of the given months only.
 
-
-def current_versions(spark: SparkSession, root: str) -> dict[int | None, int]:
-    """Version that holds each year; the entry for None holds all years not named."""
-    log = _log(spark, root)
-    if log is None:
-        return {}
-    newest = log.groupBy("year").agg(F.max("version").alias("version")).collect()
-    held = {r.year: r.version for r in newest}
-    return {y: v for y, v in held.items() if v >= held.get(None, 0)}
-
-
-def write_snapshot(
-    panel: DataFrame, root: str, family: Family, years: Sequence[int] | None = None
-) -> int:
-    """Write a new version of the whole panel, or of the given years.
-
-    Files are split by year and sorted by date. What is not rewritten stays
-    where it is, and a version counts only when all of it is written, so the
-    panel may be computed from the store itself and a run that dies can be
-    repeated. Rebalancing gives even files whatever the share of one year.
+    Other months stay where they are, and the version counts only when all of it
+    is written, so the panel may be computed from the store itself and a run that
+    dies can be repeated. ``base`` is the version that it was computed from.
     """
     spark = panel.sparkSession
-    version = max(current_versions(spark, root).values(), default=0) + 1
-    (
-        panel.select(*family.columns, F.year(DATE).alias("year"))
-        .hint("rebalance", "year")
-        .sortWithinPartitions("year", DATE)
-        .write.mode("overwrite")
-        .partitionBy("year")
-        .parquet(f"{root}/data/version={version}")
-    )
-    replaced = ", ".join(map(str, years)) if years is not None else "CAST(NULL AS INT)"
-    listed = spark.range(1).selectExpr(f"{version} AS version", f"explode(array({replaced})) AS year")
-    listed.coalesce(1).write.mode("append").parquet(f"{root}/log")
-    return version
+    base = manifest(spark, root) if base is None else base
+    return commit(spark, root, base, write_parts(panel, root, family), months)
 
 
 def read_snapshot(
-    spark: SparkSession,
-    root: str,
-    family: Family,
-    start: dt.date | None = None,
-    end: dt.date | None = None,
+    spark: SparkSession, root: str, family: Family, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """The stored panel, or an empty one; a date range prunes whole years."""
-    held = current_versions(spark, root)
-    if not held:
-        return empty_panel(spark, family)
-    schema = family.panel_schema.add("version", T.IntegerType()).add("year", T.IntegerType())
-    stored = spark.read.schema(schema).parquet(f"{root}/data")
-    version, year = F.col("version"), F.col("year")
-    by_version: dict[int, list[int]] = {}
-    for y, v in held.items():
-        if y is not None:
-            by_version.setdefault(v, []).append(y)
-    current = (version == held.get(None, 0)) & (year.isNull() | ~year.isin([y for y in held if y is not None]))
-    for v, its_years in by_version.items():
-        current = current | ((version == v) & year.isin(its_years))
-    stored = stored.where(current)
-    if start and end:
-        stored = in_range(stored, start, end).where(year.between(start.year, end.year))
-    return stored.select(*family.columns)
+    """The stored panel, or an empty one; a date range opens the files of its months only."""
+    return read_parts(spark, root, family, manifest(spark, root), start, end)

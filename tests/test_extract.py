@@ -177,7 +177,7 @@ def test_table_text(spark):
 
 def test_long_pages_do_not_overflow_the_matcher(spark):
     lines = "<tr><td><i>x</i> <b>1</b></td></tr>" * 60_000
-    count = F.size(F.expr(H.row_texts(H.element(H.first_table("html"), "tbody"))))
+    count = F.size(F.expr(H.row_texts(H.section(H.first_table("html"), "tbody"))))
     long = page(spark, f"<table><tbody>{lines}</tbody></table>")
     assert long.select(count.alias("n")).first().n == 60_000
 
@@ -216,3 +216,87 @@ def test_open_marks_take_time_in_proportion(spark):
         row = spark.createDataFrame([(mark * 100_000,)], "raw string").selectExpr(f"length({H.clean_text(H.visible('raw'))}) AS n").first()
         assert row.n is not None
 
+
+
+INNER = "<table class=in><tbody><tr><td>08/04/2019</td><td>in</td></tr></tbody></table>"
+
+
+def cells_of(spark, html):
+    found = X.html_table_cells(page(spark, html)).select("row_idx", "col_idx", "text").collect()
+    return [tuple(c) for c in found]
+
+
+def test_rows_after_an_inner_table_and_its_own(spark):
+    html = f"<table><tbody><tr><td>a</td><td>{INNER}</td><td>b</td></tr><tr><td>c</td></tr></tbody></table>"
+    outer = [(0, 0, "a"), (0, 1, "08/04/2019in"), (0, 2, "08/04/2019"), (0, 3, "in"), (0, 4, "b")]
+    assert cells_of(spark, html) == [*outer, (1, 0, "08/04/2019"), (1, 1, "in"), (2, 0, "c")]
+
+
+def test_tables_in_tables_in_tables(spark):
+    html = "x"
+    for depth in range(6):
+        html = f"<TABLE><tbody><tr><td>{depth}</td><td>{html}</td></tr><tr><td>end {depth}</td></tr></tbody></TABLE>"
+    rows = [t for _, c, t in cells_of(spark, f"{html}<table><tbody><tr><td>other</td></tr></tbody></table>") if c == 0]
+    assert rows == [str(d) for d in range(5, -1, -1)] + [f"end {d}" for d in range(6)]
+
+
+def test_inner_tables_that_never_end(spark):
+    html = "<table><tbody><tr><td>a</td><td><table><tr><td>b</td></tr></td></tr><tr><td>c</td></tr></tbody></table>"
+    assert [t for *_, t in cells_of(spark, html)] == ["a", "b", "b", "b", "c"]
+    assert cells_of(spark, "</table></tr><table><tbody><tr><td>1</td></tr></tbody><table>") == [(0, 0, "1")]
+
+
+def test_a_sign_in_a_quoted_attribute_ends_no_tag(spark):
+    html = "<table title='a>b'><tbody data-x=\"c>d\"><tr class='e>f'><td title='g>h'>30</td><td id=\"i>\"><b title='>'>x</b></td></tr></tbody></table>"
+    assert cells_of(spark, html) == [(0, 0, "30"), (0, 1, "x")]
+    nested = html.replace("x</b>", "x</b><table id='>'><tr id='>'><td id='>'>y</td></tr></table>")
+    assert [t for *_, t in cells_of(spark, nested)] == ["30", "xy", "y", "y"]
+    option = "<select><option label='a>b' value=1>Real</option></select>"
+    assert [r.key for r in X.offered_coins(page(spark, option), {"real": "Real"}).collect()] == ["real"]
+
+
+def test_a_date_is_sought_in_the_rows_own_cells(spark):
+    # The outer row only holds the date through its inner table, so the inner row is read.
+    outer = f"<tr><td>first</td><td>{INNER.replace('>in<', '>1,5</td><td>2,5<')}</td></tr>"
+    html = f"<table>{FX_HEAD}<tbody>{outer}{body(('08/04/2019', '7', '8'))}</tbody></table>"
+    got = values(pages_to_panel(page(spark, html, "2019-04-08", "bolivar_venezolano"), COINS))
+    assert got[("bolivar_venezolano", "tp_usd")] == Decimal("1.5")
+    assert got[("bolivar_venezolano", "tc_local")] == Decimal("2.5")
+
+
+def test_rates_after_an_inner_table(spark):
+    rows = body(("30", "1,0"), (INNER, "9"), ("60", "2,0"))
+    raw = X.parse_rate_page(page(spark, f"<table><tbody>{rows}</tbody></table>"), ["30", "60"])
+    assert {r.type: r.raw for r in raw.collect()} == {"30": "1,0", "60": "2,0"}
+
+
+def test_quotes_inside_a_table_for_layout(spark):
+    html = f"<table id=layout><tr><td title=\"class='table table-x wide'\">{quote_html()}</td></tr></table>"
+    got = values(pages_to_panel(page(spark, html, "2019-04-22", "dolar"), quote_dims()))
+    assert got[("dolar", "galicia", "mostrador", "compra", "11hs")] == Decimal("41.8")
+
+
+@pytest.mark.parametrize(
+    ("tag", "found"),
+    [
+        ("<table class=x>", True),
+        ("<TABLE id='class=\"y\"' CLASS = ' x ' data-class=z>", True),
+        ("<table disabled class='x'/>", True),
+        ("<table data-class='x'>", False),
+        ("<table title=' class=x '>", False),
+        ("<table class='x y'>", False),
+        ("<table classic=x>", False),
+    ],
+)
+def test_class_of_a_table(spark, tag, found):
+    row = page(spark, f"<table><tr></tr></table>{tag}<tr>1</tr></table>").selectExpr(f"{H.table_with_class('html', 'x')} AS t").first()
+    assert row.t == ("<tr>1</tr>" if found else "")
+
+
+def test_names_of_all_characters(spark):
+    from html import unescape
+    from html.entities import html5
+
+    names = [f"&{n}" for n in html5 if n.endswith(";")]
+    rows = spark.createDataFrame([(n,) for n in names], "raw string").selectExpr("raw", f"{H.unescape('raw')} AS shown").collect()
+    assert {r.raw: r.shown for r in rows} == {n: unescape(n) for n in names}

@@ -1,5 +1,4 @@
 import json
-import re
 from decimal import Decimal
 
 import pytest
@@ -11,6 +10,7 @@ from ratepanel.sources import panel as PN
 from ratepanel.sources import parsed_json as PJ
 from ratepanel.sources import series as SR
 from ratepanel.sources import shared
+from ratepanel.sources.store import manifest
 
 
 def rates(spark, *lines):
@@ -45,28 +45,28 @@ def test_snapshots(spark, rows, tmp_path):
     root = str(tmp_path / "store")
     assert PN.read_snapshot(spark, root, LIBOR).count() == 0
     first = rates(spark, ("2019-12-31", "30", "1"), ("2020-01-01", "30", None))
-    assert PN.write_snapshot(first, root, LIBOR) == 1
+    assert PN.write_snapshot(first, root, LIBOR).version == 1
     stored = PN.read_snapshot(spark, root, LIBOR)
     assert rows(stored) == rows(first)
-    assert PN.write_snapshot(stored.where("type = '30' AND value IS NOT NULL"), root, LIBOR) == 2
+    assert PN.write_snapshot(stored.where("type = '30' AND value IS NOT NULL"), root, LIBOR).version == 2
     assert rows(stored) == rows(first)
     assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day("2019-12-31"), "30", Decimal(1))]
-    # A version that is not listed was never finished.
-    first.write.parquet(f"{root}/data/version=3/year=2019")
-    assert PN.current_versions(spark, root) == {None: 2}
-    pruned = PN.read_snapshot(spark, root, LIBOR, day("2020-01-01"), day("2020-02-01"))
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\n]*year#\d+ >= 2020", plan)
+    # Folders that no manifest names were never finished.
+    first.write.parquet(f"{root}/data/unfinished/month=2019-12")
+    assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day("2019-12-31"), "30", Decimal(1))]
+    assert sorted(manifest(spark, root).parts) == ["2019-12"]
 
 
-def test_snapshots_of_single_years(spark, rows, tmp_path):
+def test_snapshots_of_single_months(spark, rows, tmp_path):
     root = str(tmp_path / "store")
     days = ["2018-05-05", "2019-05-05", "2020-05-05"]
     PN.write_snapshot(rates(spark, *[(d, "30", "1") for d in days]), root, LIBOR)
     # 2019 gets another value, 2020 loses its only date.
-    PN.write_snapshot(rates(spark, (days[1], "30", "2")), root, LIBOR, [2019, 2020])
+    PN.write_snapshot(rates(spark, (days[1], "30", "2")), root, LIBOR, ["2019-05", "2020-05"])
     assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day(days[0]), "30", Decimal(1)), (day(days[1]), "30", Decimal(2))]
-    assert PN.current_versions(spark, root) == {None: 1, 2019: 2, 2020: 2}
+    assert sorted(manifest(spark, root).parts) == ["2018-05", "2019-05"]
+    first, second = manifest(spark, root, 1).parts, manifest(spark, root, 2).parts
+    assert first["2018-05"] == second["2018-05"] != second["2019-05"]
     PN.write_snapshot(rates(spark, (days[2], "30", "5")), root, LIBOR)
     assert rows(PN.read_snapshot(spark, root, LIBOR)) == [(day(days[2]), "30", Decimal(5))]
 
@@ -124,5 +124,5 @@ def test_rows_without_date_stay_in_the_store(spark, tmp_path):
     panel = spark.createDataFrame([(None, "real", "tc_local", number("1")), (day("2020-01-02"), "real", "tc_local", number("2"))], FX.panel_schema)
     PN.write_snapshot(panel, root, FX)
     later = panel.where("indice_tiempo is not null")
-    PN.write_snapshot(later, root, FX, years=[2020])
+    PN.write_snapshot(later, root, FX, ["2020-01"])
     assert PN.read_snapshot(spark, root, FX).count() == 2
