@@ -40,7 +40,7 @@ END = 1
 #: Bytes of a text that are cut into words at once; a memory bound, without effect on results.
 BLOCK = 1 << 20
 #: Words whose ids a Python worker remembers; a memory bound, without effect on results.
-KNOWN = 1 << 19
+KNOWN = 1 << 20
 #: Pieces of one length that one group ranks.
 RUN = 1024
 #: Rounds of the solver, and combinations looked at in each.
@@ -93,22 +93,26 @@ class WordTokenizer:
         self.code = self.kind.char
         self.letters = _letters()
         self.known = Remember(self._word, KNOWN)
-        self.runs = Remember(self._run, KNOWN // 2)
         self.signs = Remember(self._encode)
 
     def _encode(self, word: bytes) -> bytes:
         return array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
-    def _run(self, letters: bytes) -> bytes:
-        tokens = self.tokenizer.model.tokenize(letters.decode("latin-1").translate(self.letters))
-        return array(self.code, [t.id for t in tokens]).tobytes()
+    def _model(self, letters: str) -> bytes:
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
-        found = _PLAIN.fullmatch(word) if self.plain else None
+        if not self.plain:
+            return self._encode(word)
+        if word.isalpha() and word.islower():
+            return self._model(word.decode())
+        found = _PLAIN.fullmatch(word)
         if found is None:
             return self._encode(word)
         letters, signs = found.groups()
-        return self.runs[letters] + self.signs[signs] if signs else self.runs[letters]
+        if signs:
+            return self.known[letters] + self.signs[signs]
+        return self._model(letters.decode("latin-1").translate(self.letters))
 
     def encode(self, text: bytes) -> bytes:
         """The ids of a text, in the narrowest integers that hold the vocabulary."""
