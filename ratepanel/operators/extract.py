@@ -9,6 +9,7 @@ from the configuration and travel in the plan as constant arrays.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -116,16 +117,35 @@ def parse_sml_page(
     return opened.selectExpr(*keys, "_want.type AS type", f"{last}.raw AS raw")
 
 
+def _said_keys(entities: Sequence[tuple[str, str]]) -> str:
+    """SQL text of the keys of all entities whose names stand in the text ``said``.
+
+    One pattern looks at each place for the longest name that begins there; a
+    constant map gives the keys of all names inside that one, so names that
+    begin or hold each other are all found.
+    """
+    names = sorted({legal for _, legal in entities}, key=lambda n: (-len(n), n))
+    inside = ", ".join(f"{text(n)}, array({', '.join(text(key) for key, legal in entities if legal in n)})" for n in names)
+    pattern = f"(?=({'|'.join(re.escape(n) for n in names)}))"
+    found = f"transform(regexp_extract_all(said, {text(pattern)}, 1), legal -> element_at(map({inside}), legal))"
+    return f"array_distinct(flatten({found}))"
+
+
 def entity_rows(lines: str, entities: Iterable[tuple[str, str]]) -> str:
     """For each (key, legal name), the first row with the name inside a cell.
 
     SQL text of an array of (``key``, ``cells``); ``cells`` is null for an
-    entity without a row.
+    entity without a row. Each row is searched once for all names.
     """
-    listed = rows({"key": key, "name": legal} for key, legal in entities)
-    named = f"filter({lines}, line -> exists(line.own, c -> contains(c, bank.name)))"
-    found = struct({"key": "bank.key", "cells": f"try_element_at({named}, 1).cells"})
-    return f"transform({listed}, bank -> {found})"
+    listed = [(key, legal) for key, legal in entities]
+    if not listed:
+        return "CAST(array() AS ARRAY<STRUCT<key: STRING, cells: ARRAY<STRING>>>)"
+    # Cells are joined by a character that no name holds.
+    said = H.let(f"array_join(line.own, {text(chr(1))})", "said", _said_keys(listed))
+    keyed = f"filter(transform({lines}, line -> {struct({'keys': said, 'cells': 'line.cells'})}), line -> size(line.keys) > 0)"
+    found = struct({"key": "bank", "cells": "try_element_at(filter(banked, line -> array_contains(line.keys, bank)), 1).cells"})
+    keys = f"array({', '.join(text(key) for key, _ in listed)})"
+    return H.let(keyed, "banked", f"transform({keys}, bank -> {found})")
 
 
 def quote_position(hour: str, channel: str, flow: str) -> str:

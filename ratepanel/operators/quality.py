@@ -41,3 +41,13 @@ def cell_count(series: DataFrame) -> DataFrame:
         F.lit(width).cast("long").alias("n_columns"),
         (F.count("*") * width).alias("n_cells"),
     )
+
+
+def value_count(records: DataFrame, record: str = "record") -> DataFrame:
+    """Records, values in all of them (nulls included) and the widest one's: one row."""
+    width = F.size(F.coalesce(F.col(record), F.expr("map()").cast("map<string,string>")))
+    return records.agg(
+        F.count("*").alias("n_records"),
+        F.coalesce(F.sum(width), F.lit(0)).alias("n_values"),
+        F.coalesce(F.max(width), F.lit(0)).cast("long").alias("most_values"),
+    )

@@ -13,7 +13,8 @@ from ratepanel.operators import reshape as R
 from ratepanel.operators.calendar import range_violations as violations_of_range
 from ratepanel.operators.calendar import refetch_violations as violations_of_refetch
 from ratepanel.operators.calendar import snap_start as snap
-from ratepanel.queries.inputs import PANEL, QUOTES, TYPES, events_panel, quotes_panel, table
+from ratepanel.plans.series import daily_series
+from ratepanel.queries.inputs import PANEL, QUOTES, TYPES, events_panel, money, quotes_panel, table
 from ratepanel.queries.registry import query
 from ratepanel.schemas import DATE, TCE
 from ratepanel.sources import config as C
@@ -126,6 +127,23 @@ def active_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+    SELECT CAST(d AS DATE) AS indice_tiempo,
+           {', '.join(f"(SELECT CAST(nullif(sum(value), 0) AS DECIMAL(18,2)) FROM ({PANEL}) WHERE indice_tiempo = CAST(d AS DATE) AND type = '{t}') AS libor_{t}_dias" for t in TYPES)}
+    FROM generate_series(DATE '2024-01-03', DATE '2024-01-11', INTERVAL 1 DAY) AS g(d)
+""")
+def rate_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily series under the rate header: the date, then the configured columns in file order."""
+    panel = events_panel(spark, sf_dir)
+    terms = panel.select("type").distinct().groupBy().agg(F.sort_array(F.collect_set("type"), asc=False).alias("terms"))
+    rates = F.map_from_entries(F.transform("terms", lambda t: F.struct(t, F.concat(F.lit("libor_"), t, F.lit("_dias")))))
+    config = terms.select(F.to_json(F.struct(F.struct(rates.alias("rates")).alias("libor"))).alias("json"))
+    dims = C.dims_of(config, "libor")
+    start, end = dt.date(2024, 1, 3), dt.date(2024, 1, 11)
+    wide = daily_series(panel, dims, start, end)
+    return wide.select(DATE, *[money(c).alias(c) for c in dims.header()[1:]])
+
+
 TODAY = dt.date(2000, 6, 30)
 REQUESTS = """
     SELECT o_orderkey, CAST(o_orderdate AS DATE) AS start_date,

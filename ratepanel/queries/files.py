@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratepanel.operators import reshape as R
+from ratepanel.operators.quality import value_count
 from ratepanel.plans import incremental
 from ratepanel.plans.pages import family_pages, pages_to_panel
 from ratepanel.queries.inputs import COINS, PANEL, TYPES, events_panel, fx_html, grouped_text, money
@@ -94,6 +95,29 @@ def parsed_json_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.rates_to_panel(typed).where("value is not null")
 
 
+RAGGED = f"""
+    SELECT indice_tiempo, count(DISTINCT coin || type) + 1 AS n
+    FROM ({PANEL}) WHERE value > 20 * (1 + isodow(indice_tiempo)) GROUP BY 1
+"""
+
+
+@query(f"SELECT count(*) AS n_records, CAST(sum(n) AS BIGINT) AS n_values, CAST(max(n) AS BIGINT) AS most_values FROM ({RAGGED})")
+def ragged_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values in dumps whose records have as many as occurred that day, one dump per weekday."""
+    path = fresh_path(spark, "ragged")
+    weekday = F.weekday(DATE) + 1
+    cells = events_panel(spark, sf_dir).where(F.col("value") > 20 * (1 + weekday))
+    summed = cells.groupBy(DATE, F.concat("coin", "type").alias("key")).agg(F.sum("value").cast("string").alias("total"))
+    pairs = F.collect_list(F.struct("key", F.when(F.col("total") > "5", F.col("total")).alias("total")))
+    day = F.map_from_entries(F.array(F.struct(F.lit(DATE).alias("key"), F.col(DATE).cast("string").alias("total"))))
+    records = summed.groupBy(DATE).agg(pairs.alias("pairs")).select(
+        F.weekday(DATE).alias("day"), F.map_concat(day, F.map_from_entries("pairs")).alias("record")
+    )
+    dumps = records.groupBy("day").agg(F.to_json(F.struct(F.collect_list("record").alias("parsed")), {"ignoreNullFields": "false"}).alias("value"))
+    dumps.write.partitionBy("day").text(path)
+    return value_count(PJ.read_ragged(spark, path))
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per coin and day with the day's sums."""
     odd = F.col("type").isin("t1", "t3")

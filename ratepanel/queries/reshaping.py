@@ -13,7 +13,7 @@ from ratepanel.operators import reshape as R
 from ratepanel.operators.calendar import calendar, calendar_of, densify, grid, in_range
 from ratepanel.queries.inputs import COINS, PANEL, QUOTES, TYPES, events_panel, money, quotes_panel, table
 from ratepanel.queries.registry import query
-from ratepanel.schemas import DATE, TCE
+from ratepanel.schemas import DATE, SML, TCE
 
 # The asked range starts before and ends after the data.
 START, END = dt.date(2023, 12, 28), dt.date(2024, 2, 2)
@@ -158,7 +158,23 @@ def fx_to_panel_one_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sml_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All coins' wide tables to one panel."""
     panel = events_panel(spark, sf_dir)
-    long = R.sml_to_panel({c: R.panel_to_sml(panel, c, TYPES) for c in COINS})
+    types = {c: TYPES for c in COINS}
+    long = R.all_to_panel(R.panel_to_all(panel, SML, types), SML, types)
+    return long.withColumn("value", money("value"))
+
+
+@query(f"""
+    WITH d AS (SELECT DISTINCT indice_tiempo, coin FROM ({PANEL}) WHERE coin IN ('click', 'view')),
+    k AS (SELECT * FROM (VALUES ('click', 't0'), ('view', 't1'), ('view', 't3')) AS v(coin, type))
+    SELECT d.indice_tiempo, d.coin, k.type,
+           CAST((SELECT nullif(sum(value), 0) FROM ({PANEL}) p
+                 WHERE p.indice_tiempo = d.indice_tiempo AND p.coin = d.coin AND p.type = k.type) AS DECIMAL(18,2)) AS value
+    FROM d JOIN k ON k.coin = d.coin
+""")
+def sml_to_panel_own_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coins with different columns in one table; each gets back its own only."""
+    types = {"click": ["t0"], "view": ["t1", "t3"]}
+    long = R.all_to_panel(R.panel_to_all(events_panel(spark, sf_dir), SML, types), SML, types)
     return long.withColumn("value", money("value"))
 
 
@@ -176,7 +192,8 @@ def sml_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quotes_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every coin's 60 quote columns to the panel, dimensions from the titles."""
     panel = quotes_panel(spark, sf_dir)
-    long = R.concat_panels([R.quotes_to_panel(R.panel_to_quotes(panel, coin, QUOTE_LEVELS)) for coin in COINS])
+    columns = {coin: ["_".join(q) for q in QUOTE_COLUMNS] for coin in COINS}
+    long = R.all_to_panel(R.panel_to_all(panel, TCE, columns), TCE, columns)
     return long.withColumn("valor", money("valor"))
 
 
@@ -187,8 +204,9 @@ def quotes_to_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long to wide and back gives the same cells."""
     panel = quotes_panel(spark, sf_dir)
-    back = [R.quotes_to_panel(R.panel_to_quotes(panel, coin, QUOTE_LEVELS)) for coin in COINS]
-    return R.concat_panels(back).where("valor is not null").withColumn("valor", money("valor"))
+    columns = {coin: ["_".join(q) for q in QUOTE_COLUMNS] for coin in COINS}
+    back = R.all_to_panel(R.panel_to_all(panel, TCE, columns), TCE, columns)
+    return back.where("valor is not null").withColumn("valor", money("valor"))
 
 
 @query(f"""

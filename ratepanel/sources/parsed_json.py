@@ -15,3 +15,10 @@ def read_parsed_json(
     if record is not None:
         reader = reader.schema(T.StructType([T.StructField("parsed", T.ArrayType(record))]))
     return reader.json(path).select(F.inline("parsed"))
+
+
+def read_ragged(spark: SparkSession, path: str) -> DataFrame:
+    """``record map<string,string>``: the records of dumps as they are, of whatever width, without looking for a schema."""
+    dumps = spark.read.text(path, wholetext=True)
+    parsed = F.from_json("value", "parsed ARRAY<MAP<STRING, STRING>>")
+    return dumps.select(F.explode(parsed["parsed"]).alias("record"))

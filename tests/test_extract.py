@@ -300,3 +300,15 @@ def test_names_of_all_characters(spark):
     names = [f"&{n}" for n in html5 if n.endswith(";")]
     rows = spark.createDataFrame([(n,) for n in names], "raw string").selectExpr("raw", f"{H.unescape('raw')} AS shown").collect()
     assert {r.raw: r.shown for r in rows} == {n: unescape(n) for n in names}
+
+
+def test_many_names_in_one_pass(spark):
+    """Names that hold, begin or overlap each other, against one search per name."""
+    names = ["BANCO A", "BANCO A S.A.", "A S.A. PLUS", "BANCO (X) S.A.", "X", "BANCO A", "S.A."]
+    entities = [(f"k{i}", n) for i, n in enumerate(names)]
+    lines = [["x"], ["** BANCO A S.A. PLUS", "1"], ["BANCO (X) S.A.", "2"], ["BANCO A", "3"], ["BANCO", "A"], ["a X", "4"], []]
+    own = f"transform(array({', '.join('array(' + ', '.join(map(repr, l)) + ')' if l else 'CAST(array() AS ARRAY<STRING>)' for l in lines)}), c -> named_struct('own', c, 'cells', c))"
+    got = {r.key: r.cells for r in spark.range(1).selectExpr(f"inline({X.entity_rows(own, entities)})").collect()}
+    want = {k: next((line for line in lines if any(n in c for c in line)), None) for k, n in entities}
+    assert got == want
+    assert spark.range(1).selectExpr(f"size({X.entity_rows(own, [])}) AS n").first().n == 0

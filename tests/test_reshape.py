@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ratepanel.operators import quality as Q
 from ratepanel.operators import reshape as R
 from ratepanel.schemas import FX, LIBOR, SML, TCE, VALUE
+from ratepanel.sources import parsed_json as PJ
 
 RATES = {"30": "0.0247263", "60": "0.0253675", "90": "0.0259675", "180": "0.0263125", "360": "0.0273413"}
 TERMS = {t: f"libor_{t}_dias" for t in RATES}
@@ -114,3 +115,62 @@ def test_checks_on_series(spark, rows):
     assert [tuple(r)[1:] for r in table.collect()] == [("dolar", "11hs", "mostrador", 2, 1), ("euro", "11hs", "electronico", 1, 1)]
     renamed = R.rename_panel(long.withColumnsRenamed({v: k for k, v in R.QUOTE_NAMES.items()}), R.QUOTE_NAMES, TCE)
     assert renamed.columns == TCE.columns
+
+
+def scans_and_shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan parquet"), plan.count("Exchange hashpartitioning")
+
+
+def test_all_coins_take_one_scan(spark, rows, tmp_path):
+    lines = [(f"2019-01-{d:02}", f"c{c}", f"t{t}", str(d + c * t)) for d in range(1, 9) for c in range(12) for t in range(5) if (d + c + t) % 3]
+    panel(spark, SML, *lines).write.parquet(str(tmp_path / "panel"))
+    stored = spark.read.parquet(str(tmp_path / "panel"))
+    types = {f"c{c}": [f"t{t}" for t in range(c % 5 + 1)] for c in range(12)}
+    one = R.all_to_panel(R.panel_to_all(stored, SML, types), SML, types)
+    apart = R.concat_panels([R.sml_to_panel({c: R.panel_to_sml(stored, c, own)}) for c, own in types.items()])
+    assert scans_and_shuffles(one) == (1, 1)
+    assert rows(one) == rows(apart)
+    two = {c: types[c] for c in ("c1", "c2")}
+    assert scans_and_shuffles(R.all_to_panel(R.panel_to_all(stored, SML, two), SML, two)) == (1, 1)
+    assert rows(R.series_of(R.panel_to_all(stored, SML, types), SML, "c3", types["c3"])) == rows(R.panel_to_sml(stored, "c3", types["c3"]))
+
+
+def test_all_coins_quotes_and_their_titles(spark, rows):
+    long = panel(spark, TCE, *QUOTES)
+    columns = {"dolar": ["galicia_mostrador_compra_11hs", "frances_electronico_venta_13hs"], "euro": ["galicia_electronico_compra_11hs"]}
+    wide = R.panel_to_all(long, TCE, columns)
+    assert R.series_of(wide, TCE, "dolar", columns["dolar"]).columns == ["indice_tiempo", *[f"tc_ars_dolar_{c}" for c in columns["dolar"]]]
+    back = R.all_to_panel(wide, TCE, columns)
+    assert rows(back) == rows(R.concat_panels([R.quotes_to_panel(R.series_of(wide, TCE, c, own)) for c, own in columns.items()]))
+    with pytest.raises(ValueError, match="title parts"):
+        R.all_to_panel(wide, TCE, {"dolar": ["a_b"]})
+
+
+def test_more_levels_than_the_bound(spark, rows, monkeypatch):
+    long = panel(spark, TCE, *QUOTES, ("2019-04-22", "dolar", None, "mostrador", "compra", "11hs", "1"))
+    wide = R.panel_to_quotes(long, "dolar")
+    assert R.observed_levels(long, ["entidad_bancaria", "hora"], most=2) == [["frances", "galicia"], ["11hs", "13hs"]]
+    assert R.observed_levels(long, ["moneda", "hora"], most=1) is None
+    monkeypatch.setattr(R, "COLUMNS", 15)
+    cells = R.panel_to_quotes(long, "dolar")
+    assert cells.columns == ["indice_tiempo", "title", "valor"]
+    melted = wide.selectExpr("indice_tiempo", f"stack(16, {', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in wide.columns[1:])}) AS (title, valor)")
+    assert rows(cells.where("title IS NOT NULL")) == rows(melted.where("valor IS NOT NULL"))
+
+
+def test_more_titles_than_the_bound(spark, rows, monkeypatch):
+    long = panel(spark, LIBOR, *[("2019-01-01", f"t{i}", str(i + 1)) for i in range(5)])
+    assert len(R.panel_to_series_mean(long, F.col("type"), "value").columns) == 6
+    monkeypatch.setattr(R.observed_titles, "__defaults__", (4,))
+    means = R.panel_to_series_mean(long, F.col("type"), "value")
+    assert rows(means) == [(day("2019-01-01"), f"t{i}", Decimal(i + 1)) for i in range(5)]
+
+
+def test_values_of_ragged_records(spark, rows, tmp_path):
+    (tmp_path / "a.json").write_text('{"parsed": [{"indice_tiempo": "2019-01-01", "a": "1", "b": null}, {},\n {"c": 2.5}]}')
+    (tmp_path / "b.json").write_text('{"parsed": [], "other": 1}')
+    (tmp_path / "c.json").write_text("broken")
+    records = PJ.read_ragged(spark, str(tmp_path))
+    assert rows(Q.value_count(records)) == [(3, 4, 3)]
+    assert rows(Q.value_count(records.where("false"))) == [(0, 0, 0)]
