@@ -184,6 +184,43 @@ def html_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.groupBy(DATE, "row_idx", "col_idx", "text").agg(F.count("*").alias("n"))
 
 
+@query(f"""
+    WITH p AS (SELECT indice_tiempo, coin, type, replace(CAST(value AS VARCHAR), '.', ',') AS v FROM ({PANEL})),
+    c AS (SELECT indice_tiempo, coin, 0 AS row_idx, unnest([0, 1, 2, 3, 4]) AS col_idx, unnest([coin, type || v, type, v, 'z']) AS text FROM p
+          UNION ALL SELECT indice_tiempo, coin, 1, unnest([0, 1]), unnest([type, v]) FROM p
+          UNION ALL SELECT indice_tiempo, coin, 2, unnest([0, 1]), unnest(['after', '>' || coin]) FROM p)
+    SELECT indice_tiempo, coin, row_idx, col_idx, text, count(*) AS n FROM c GROUP BY ALL
+""")
+def nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows around and inside a table in a table; signs that close no tag in quoted attributes."""
+    html = F.concat(
+        F.lit("<table id='a>b'><tbody title=\"c>d\"><tr class='e>f'><td title='g>h'>"),
+        "coin",
+        F.lit("</td><td id=\"i>j\"><table><tbody><tr><td>"),
+        "type",
+        F.lit("</td><td>"),
+        comma_text(F.col("value")),
+        F.lit("</td></tr></tbody></table></td><td>z</td></tr><tr><td>after</td><td><b title='>'>&gt;"),
+        "coin",
+        F.lit("</b></td></tr></tbody></table><table><tbody><tr><td>other</td></tr></tbody></table>"),
+    )
+    pages = events_panel(spark, sf_dir).select(DATE, "coin", html.alias("html"))
+    cells = X.html_table_cells(pages)
+    return cells.groupBy(DATE, "coin", "row_idx", "col_idx", "text").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    SELECT indice_tiempo, coin, concat(CAST(n AS VARCHAR), 'º ', '😀', ' &lt; ', '€ñ ', '&unknown; ', chr(233), '≂̸') AS text, count(*) AS rows
+    FROM (SELECT indice_tiempo, coin, day(indice_tiempo) AS n FROM ({PANEL})) GROUP BY ALL
+""")
+def character_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with references by name and number, one that stands for a reference, one that stands for nothing."""
+    said = "&ordm; &#x1F600; &#38;lt; &euro;&ntilde; &unknown; &#233;&nesim;</td></tr></tbody></table>"
+    html = F.concat(F.lit("<table><tbody><tr><td> "), F.dayofmonth(DATE).cast("string"), F.lit(said))
+    pages = events_panel(spark, sf_dir).select(DATE, "coin", html.alias("html"))
+    return X.html_table_cells(pages).groupBy(DATE, "coin", "text").agg(F.count("*").alias("rows"))
+
+
 TAGS = ("title", "h1", "li", "a", "p")
 
 

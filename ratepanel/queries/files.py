@@ -25,6 +25,7 @@ from ratepanel.sources import parsed_json as PJ
 from ratepanel.sources import series as SR
 from ratepanel.sources.config import Dims
 from ratepanel.sources.shared import fresh_path
+from ratepanel.sources.store import months_between
 from ratepanel.streaming import pages as ST
 
 CELLS = f"""
@@ -182,3 +183,46 @@ def incremental_store_skip_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     PN.write_snapshot(stored, root, dims.family)
     published = incremental.update_store(pages, root, dims, *RUN, skip_panel=True)
     return published.withColumn("value", money("value"))
+
+
+ORDERS = """
+    SELECT CAST(o_orderdate AS DATE) AS indice_tiempo, o_orderpriority[1:1] AS type, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS value
+    FROM orders GROUP BY 1, 2
+"""
+SPAN = (dt.date(1993, 11, 16), dt.date(1995, 2, 11))
+
+
+@query(f"""
+    SELECT indice_tiempo, type, CAST(CASE WHEN year(indice_tiempo) = 1994 THEN value * 2 WHEN year(indice_tiempo) = 1993 THEN value + 1 ELSE value END AS DECIMAL(18,2)) AS value
+    FROM ({ORDERS}) WHERE indice_tiempo BETWEEN DATE '{SPAN[0]}' AND DATE '{SPAN[1]}'
+      AND NOT (year(indice_tiempo) = 1993 AND type = '5')
+""")
+def store_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers begin from one version of a store and replace other months; what a range holds afterwards."""
+    root = fresh_path(spark, "months")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    keys = (F.to_date("o_orderdate").alias(DATE), F.substring("o_orderpriority", 1, 1).alias("type"))
+    panel = orders.groupBy(*keys).agg(F.sum(money("o_totalprice")).cast(VALUE).alias("value"))
+    base = PN.write_snapshot(panel, root, LIBOR)
+    one, two = (panel.where(F.year(DATE) == y) for y in (1994, 1993))
+    raised = F.col("value").cast("decimal(20,2)")
+    PN.write_snapshot(one.withColumn("value", (raised * 2).cast(VALUE)), root, LIBOR, months_between(dt.date(1994, 1, 1), dt.date(1994, 12, 1)), base)
+    later = two.where("type <> '5'").withColumn("value", (raised + 1).cast(VALUE))
+    PN.write_snapshot(later, root, LIBOR, months_between(dt.date(1993, 1, 1), dt.date(1993, 12, 1)), base)
+    return PN.read_snapshot(spark, root, LIBOR, *SPAN).withColumn("value", money("value"))
+
+
+@query(f"SELECT * FROM ({SUMS}) WHERE indice_tiempo BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+def stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of pages, merged after every second one; each corrects the days of the one before."""
+    store, pages = fresh_path(spark, "merged"), _pages(spark, sf_dir)
+    loaded = pages.withColumns({"loaded_at": F.lit(dt.datetime(2024, 2, 1)), "loaded_from": F.lit("made")})
+    day = F.dayofmonth(DATE)
+    wrong = fx_html(F.lit("1,00"), F.lit("2,00"))
+    for batch in range(5):
+        first, last = batch * 7, batch * 7 + 7
+        right = day.between(first - 6, first)
+        own = loaded.where(day.between(first - 6, last))
+        ST.store_batch(own.withColumn("html", F.when(right, F.col("html")).otherwise(wrong)), batch, store, FX_DIMS, gather=2)
+    panel = ST.read_store(spark, store, FX_DIMS, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    return panel.withColumn("value", money("value"))
