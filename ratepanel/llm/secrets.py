@@ -11,17 +11,16 @@ around it. It is trained from labelled findings, then written out as one native
 expression, so that a text is scanned, judged and redacted in a single pass over its
 own row, without a shuffle.
 
-Where no labelled findings are given, `rule_labels` names them: known forms of keys,
-values after an authorization's kind, and values of some entropy assigned to a name
-that speaks of secrets. What it isn't sure of is not learned from; the forest judges
-it. What it calls a secret stays one. The dictionary counts the words
+Where a corpus has no labelled findings, the forest learns from `labelled_findings`,
+which are kept with the package; what a pattern calls a key is only one of its
+features, so it can remove what looks like one. The dictionary counts the words
 of all texts. The training sample is bounded by TRAINING different vectors of either
 label, those of smallest hash, each with the logarithm of its count as its weight, so
 repeats take no room and any size of input trains on the same kind of sample.
 
 Defined cases: null, blank and short texts have no findings; a null path is an
 empty one; repeated rows have the same findings; null ids are kept. With findings
-of one label only, or none, there is nothing to learn and the rule decides. An
+of one label only there is nothing to learn and the rule (`rule_labels`) decides. An
 empty table gives an empty result. Extra columns are ignored by `findings` and
 kept by `redact`. Everything is built of native functions.
 """
@@ -29,13 +28,14 @@ kept by `redact`. Everything is built of native functions.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratepanel.llm import labelled_findings
 from ratepanel.llm.frames import cut, fresh
 
 _KEY = r"A-Za-z0-9_+/.\-"
@@ -84,13 +84,19 @@ CANDIDATE = (
 )
 #: Different vectors of training findings of either label at most.
 TRAINING = 4000
-TREES, DEPTH = 15, 5
+TREES, DEPTH = 21, 6
 #: Words of the dictionary, and their least letters.
 DICTIONARY, LETTERS = 200, 4
 #: Characters on either side in which neighbouring words are sought.
 AROUND = 64
 MASK = "<SECRET>"
+#: Words by which a value tells that it stands for another.
+_SAMPLE = r"(?i)(?:^|[-_. <{\[])(?:your|my|example|sample|dummy|test|fake|placeholder|change-?me|insert|enter|redacted|todo|xxx+)(?:$|[-_. >}\]0-9])"
+#: Cuts a text around its candidates; a text that holds it is cut by two passes.
+_CUT = "\x01\x02\x01"
 _OTHERS = r"(?i)(sha[0-9]*|md5|checksum|commit|digest|hash|uuid|phone|tel|card|iban|order|invoice|version|mail|http)"
+#: A digest's kind before a name: what follows is the digest of a secret.
+_HASHED = r"(?i)(?:sha[0-9]*|md5|checksum|digest|hash)[ _-]{1,2}\w{1,12}"
 
 FEATURES = (
     "length",
@@ -113,6 +119,8 @@ FEATURES = (
     "format",
     "bearer",
     "code",
+    "sample",
+    "repeats",
 )
 
 
@@ -122,8 +130,6 @@ class Scanner:
 
     words: tuple[str, ...]
     trees: tuple = ()
-    #: Learned from the rule, whose findings then stay findings.
-    ruled: bool = False
 
 
 def dictionary(docs: DataFrame, text: str = "text", most: int = DICTIONARY) -> tuple[str, ...]:
@@ -172,7 +178,7 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
         _flag(F.rlike(near, F.lit(r"[\"'`]$")) & F.rlike(next_, F.lit(r"^[\"'`]"))),
         _flag(F.rlike(near, F.lit(rf"{_NAMES}(?i:{_SUFFIX}){end}"))),
         _flag(F.rlike(F.concat_ws(" ", near, next_), F.lit(_NAMES))),
-        _flag(F.rlike(near, F.lit(_OTHERS + end))),
+        _flag(F.rlike(near, F.lit(_OTHERS + end)) | F.rlike(near, F.lit(_HASHED + end))),
         _flag(F.rlike(next_, F.lit(r"^([\"'`;,)]|\s|$)"))),
         _times(path, "/"),
         _flag(F.rlike(path, F.lit(r"(?i)\b(tests?|examples?|samples?|fixtures?|docs?)\b"))),
@@ -184,6 +190,8 @@ def features(value: Column, before: Column, after: Column, path: Column, words:
         ),
         _flag(F.rlike(near, F.lit(rf"{_BEARER}$"))),
         _flag(F.rlike(value, F.lit(r"^[$%<{]|\$\{|^[A-Za-z_][\w.:>-]*[(\[]"))),
+        _flag(F.rlike(value, F.lit(_SAMPLE))),
+        (n - F.length(F.regexp_replace(value, r"(.)\1{3,}", ""))) / n,
     )
 
 
@@ -207,26 +215,32 @@ def rule_labels(values: Column) -> Column:
     return F.when(is_("format") | is_("bearer") | told, 1).when((get("other") == 0) & unsure, F.lit(None)).otherwise(0)
 
 
-def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], name: str) -> DataFrame:
-    """The documents with `name array<struct<value, features>>` and the text between the candidates."""
+def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], name: str) -> tuple[DataFrame, str]:
+    """The documents with `name array<struct<value, features>>`, and with the texts cut into what is between candidates, and these, in turn."""
     plain = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
-    between = fresh(docs, f"{name}_between")
-    found = docs.withColumn(name, F.regexp_extract_all(plain, F.lit(CANDIDATE), F.lit(0))).withColumn(between, F.split(plain, CANDIDATE, -1))
-    # The name of a value may be a candidate too.
-    said = lambda i: F.concat(F.coalesce(F.get(F.col(name), i - 1), F.lit("")), F.get(F.col(between), i))
+    cuts = fresh(docs, f"{name}_cuts")
+    # The pattern runs once over a text.
+    once = F.split(F.regexp_replace(plain, CANDIDATE, f"{_CUT}$0{_CUT}"), _CUT, -1)
+    values, between = F.regexp_extract_all(plain, F.lit(CANDIDATE), F.lit(0)), F.split(plain, CANDIDATE, -1)
+    twice = F.slice(F.flatten(F.zip_with(between, values, lambda b, v: F.array(b, v))), F.lit(1), 2 * F.size(between) - 1)
+    found = docs.withColumn(cuts, F.when(F.contains(plain, F.lit(_CUT)), twice).otherwise(once))
+    part = lambda i: F.coalesce(F.get(F.col(cuts), i), F.lit(""))
+    places = F.expr(f"IF(size(`{cuts}`) > 1, sequence(1, size(`{cuts}`) - 2, 2), CAST(array() AS ARRAY<INT>))")
     judged = F.transform(
-        F.col(name),
-        lambda v, i: F.struct(v.alias("value"), features(v, said(i), F.get(F.col(between), i + 1), where, words).alias("features")),
+        places,
+        # The name of a value may be a candidate too.
+        lambda i: F.struct(part(i).alias("value"), features(part(i), F.concat(part(i - 2), part(i - 1)), part(i + 1), where, words).alias("features")),
     )
-    return found.withColumn(name, judged)
+    return found.withColumn(name, judged), cuts
 
 
 def candidates(docs: DataFrame, words: tuple[str, ...], id_column: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """`id, number, value, features` of every candidate; numbers count from 0 within a text."""
     columns = [F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")]
     narrow = docs.select(*columns, *([F.col(f"`{path}`").alias("path")] if path else []))
-    found = _raw(narrow, "text", "path" if path else None, words, "found").where(F.size("found") > 0)
+    found, cuts = _raw(narrow, "text", "path" if path else None, words, "found")
+    found = found.where(F.size(cuts) > 1)
     return found.select("id", F.posexplode("found").alias("number", "c")).select("id", "number", "c.*")
 
 
@@ -266,7 +280,7 @@ def train(labelled: DataFrame, words: tuple[str, ...], most: int = TRAINING, see
         numTrees=TREES,
         maxDepth=DEPTH,
         seed=seed,
-        featureSubsetStrategy="sqrt",
+        featureSubsetStrategy="onethird",
         bootstrap=False,
     )
     fitted = forest.fit(rows)
@@ -282,29 +296,39 @@ def _vote(values: Column, tree) -> Column:
 
 
 def score(values: Column, scanner: Scanner) -> Column:
-    """Share of the trees that call a finding a secret, 1 where the rule that they learned from does; the rule's word without trees."""
+    """Share of the trees that call a finding a secret; the rule's word without trees."""
     if not scanner.trees:
         return F.coalesce(rule_labels(values), F.lit(0)).cast("double")
     total = _vote(values, scanner.trees[0])
     for tree in scanner.trees[1:]:
         total = total + _vote(values, tree)
-    share = total / len(scanner.trees)
-    return F.when(rule_labels(values) == 1, F.lit(1.0)).otherwise(share) if scanner.ruled else share
+    return total / len(scanner.trees)
+
+
+def packaged(spark: SparkSession, words: tuple[str, ...], held: bool = False) -> DataFrame:
+    """`id, features, label` of the labelled findings that are kept with the package; features are null where the pattern finds nothing.
+
+    The list is of fixed size.
+    """
+    rows = [(n, before + value + after, path, value, label) for n, before, value, after, path, label in labelled_findings.findings(held)]
+    texts = spark.createDataFrame(rows, "id long, text string, path string, said string, label int")
+    found = candidates(texts, words, "id", "text", "path")
+    own = texts.select(F.col("id").alias("of"), "said", "label")
+    return own.join(found, (own.of == found.id) & (own.said == found.value), "left").select(F.col("of").alias("id"), "features", "label")
 
 
 def fit(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> Scanner:
     """A scanner for a corpus.
 
     `labelled` has `id, number, label` of findings; findings it does not name are
-    not learned from. Without it the rule labels those that it is sure of.
+    not learned from. Without it the package's own findings are learned from, and
+    the corpus is read for its dictionary only.
     """
     words = dictionary(docs, text)
-    found = candidates(docs, words, id_column, text, path)
     if labelled is None:
-        known = found.select("features", rule_labels(F.col("features")).alias("label"))
-    else:
-        known = found.join(labelled.select("id", "number", "label"), ["id", "number"]).select("features", "label")
-    return replace(train(known, words), ruled=labelled is None)
+        return train(packaged(docs.sparkSession, words).where("features IS NOT NULL"), words)
+    found = candidates(docs, words, id_column, text, path)
+    return train(found.join(labelled.select("id", "number", "label"), ["id", "number"]).select("features", "label"), words)
 
 
 def findings(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -324,9 +348,10 @@ def findings(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text:
 def redact(docs: DataFrame, scanner: Scanner, text: str = "text", path: str | None = None) -> DataFrame:
     """The documents with each secret replaced by MASK; other columns and texts as they are."""
     name = fresh(docs, "found")
-    found = _raw(docs, text, path, scanner.words, name)
-    between = next(c for c in found.columns if c not in docs.columns and c != name)
-    said = F.transform(F.col(name), lambda c: F.when(score(c["features"], scanner) >= 0.5, F.lit(MASK)).otherwise(c["value"]))
-    joined = F.array_join(F.zip_with(F.col(between), said, lambda b, v: F.concat(b, F.coalesce(v, F.lit("")))), "")
-    plain = F.col(f"`{text}`")
-    return found.withColumn(text, F.when(F.size(name) > 0, joined).otherwise(plain)).drop(name, between)
+    found, cuts = _raw(docs, text, path, scanner.words, name)
+    # Every second part is a candidate.
+    judged = F.transform(F.col(name), lambda c: F.when(score(c["features"], scanner) >= 0.5, F.lit(MASK)).otherwise(c["value"]))
+    said = fresh(found, f"{name}_said")
+    told = found.withColumn(said, judged)
+    joined = F.array_join(F.transform(F.col(cuts), lambda t, i: F.when(i % 2 == 0, t).otherwise(F.get(F.col(said), (i / 2).cast("int")))), "")
+    return told.withColumn(text, F.when(F.size(cuts) > 1, joined).otherwise(F.col(f"`{text}`"))).drop(name, cuts, said)

@@ -335,8 +335,9 @@ def test_secrets(spark):
     labelled = spark.createDataFrame([(i, 0, int("commit" in t)) for i, t in train], "id long, number int, label int")
     turned = {r.doc_id: r.is_secret for r in secrets.findings(frame(spark, held), secrets.fit(frame(spark, train), labelled)).collect()}
     assert sum(turned[i] == ("commit" in t) for i, t in held) >= 0.95 * len(held)
-    nothing = secrets.fit(docs.limit(0))
+    nothing = secrets.fit(docs.limit(0), labelled)
     assert not nothing.trees and secrets.findings(docs.limit(0), nothing).count() == 0
+    assert secrets.findings(docs.limit(0), secrets.fit(docs.limit(0))).count() == 0
 
 
 PAGE = (

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_its_query():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(SQL) <= set(oracle_sql())
 

@@ -94,6 +94,36 @@ def test_secrets_without_a_name_before_them(spark, scanner):
     assert masked(spark, scanner, texts) == [before + secrets.MASK + after for before, _, after in PLANTED]
 
 
+def test_what_looks_like_a_secret_but_is_none_stays(spark, scanner):
+    """Values that the rule calls secrets, which only the forest can remove."""
+    texts = ['token = "example-token-00000"', 'api_key="your_api_key_1234567890"', f"sha256 token: {HEX}{HEX}", 'password = "changeme-12345678"']
+    found = secrets.candidates(frame(spark, texts), scanner.words).select("id", secrets.rule_labels(F.col("features")).alias("label"))
+    assert {r.id: r.label for r in found.collect()} == dict.fromkeys(range(4), 1)
+    assert masked(spark, scanner, texts) == texts
+
+
+def test_precision_and_recall_on_held_out_ways_of_writing(spark, scanner):
+    rows = secrets.packaged(spark, scanner.words, held=True).select("label", secrets.score(F.col("features"), scanner).alias("score"), "features").collect()
+    told = [(r.label, r.features is not None and r.score >= 0.5) for r in rows]
+    right = sum(label and said for label, said in told)
+    assert len(told) >= 150
+    assert right >= 0.95 * sum(label for label, _ in told)
+    assert right >= 0.95 * sum(said for _, said in told)
+
+
+def test_texts_that_hold_the_cutting_mark(spark, scanner):
+    texts = [f'a {secrets._CUT} token = "{HEX}" {secrets._CUT}', secrets._CUT, f'token = "{HEX}"{secrets._CUT}$0 token = "{HEX}"']
+    want = [t.replace(HEX, secrets.MASK) for t in texts]
+    assert masked(spark, scanner, texts) == want
+
+
+def test_no_texts_and_a_very_long_one(spark, scanner):
+    assert secrets.redact(frame(spark, []), scanner).count() == 0
+    assert secrets.findings(frame(spark, []), secrets.fit(frame(spark, []))).count() == 0
+    long = "plain words " * 200_000 + f'token = "{HEX}" ' + "more words " * 100_000
+    assert masked(spark, scanner, [long, None, ""]) == [long.replace(HEX, secrets.MASK), None, ""]
+
+
 def test_the_rule_leaves_out_what_it_is_not_sure_of(spark):
     texts = [f"value {HEX} alone", f"commit {HEX} done", "token = load_tokens(file1)", "call 1234567890123456 now", f'token = "{HEX}"']
     found = secrets.candidates(frame(spark, texts), ("word",)).select("id", secrets.rule_labels(F.col("features")).alias("label")).collect()
