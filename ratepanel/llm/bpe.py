@@ -36,7 +36,7 @@ from ratepanel.llm.words import Remember
 #: Distinct pieces whose ids a Python worker remembers; a memory bound, without effect on results.
 PIECES = 1 << 18
 #: The same for words with what stands around them, and for pairs of tokens.
-WORDS, PAIRS = 1 << 18, 1 << 17
+WORDS, PAIRS = 1 << 19, 1 << 18
 #: Lengths of beginnings whose tables are shared among pieces.
 STEMS, TABLES = (4, 6, 8), 1 << 15
 #: The pattern of the given vocabularies, a fixed value; for it the codec's short way is known to hold.
@@ -53,13 +53,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class PrefixEncoder:
     """Encodes pieces with one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], orderly: bool | None = None):
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
         self._stems: list[dict[bytes, list[int]]] = [{} for _ in STEMS]
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
         self._beside: dict[int, bool] = {}
+        #: Whether merges make every token, so that only one can end a prefix.
+        self.orderly = all(len(t) < 2 or self._halves(t) for t in ranks) if orderly is None else orderly
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """What the last merge of a token joined; None for a byte."""
@@ -110,12 +112,27 @@ class PrefixEncoder:
     def extend(self, last: list[int], piece: bytes) -> list[int]:
         """Fill the table for the prefixes of a piece that it does not hold yet."""
         get, known, beside, longest = self.ranks.get, self._beside.get, self.beside, self.longest
+        start = len(last) - len(self.token_bytes[last[-1]]) if last else 0
         for end in range(len(last) + 1, len(piece) + 1):
-            for begin in range(end - longest if end > longest else 0, end):
+            token = get(piece[:end]) if end <= longest else None
+            if token is not None:
+                start = 0
+                last.append(token)
+                continue
+            if start and self.orderly:
+                # Where one token alone can end a prefix, the likeliest is tried first: the last one and a byte more.
+                token = get(piece[start:end])
+                if token is not None:
+                    good = known(last[start - 1] << 32 | token)
+                    if good is None:
+                        good = beside(last[start - 1], token)
+                    if good:
+                        last.append(token)
+                        continue
+            places = range(end - longest if end > longest else 1, end)
+            for begin in reversed(places) if self.orderly else places:
                 token = get(piece[begin:end])
                 if token is not None:
-                    if begin == 0:
-                        break
                     good = known(last[begin - 1] << 32 | token)
                     if good is None:
                         good = beside(last[begin - 1], token)
@@ -123,6 +140,7 @@ class PrefixEncoder:
                         break
             else:
                 raise ValueError("the vocabulary lacks a byte")
+            start = begin
             last.append(token)
         return last
 
@@ -237,8 +255,8 @@ class TextCodec:
     Then the ids of a word with its space are looked up as one.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool):
-        self.encoder, self.spaced = PrefixEncoder(ranks), spaced
+    def __init__(self, ranks: dict[bytes, int], pattern: str, spaced: bool, orderly: bool | None = None):
+        self.encoder, self.spaced = PrefixEncoder(ranks, orderly), spaced
         self.find = regex.compile(pattern).findall
         self.pieces = Remember(lambda piece: self._pack(self.encoder.encode(piece.encode())), PIECES)
         self.words = Remember(lambda word: self._encode(" " + word), WORDS)
@@ -262,22 +280,21 @@ class TextCodec:
         return b"".join(map(self.tokens.__getitem__, memoryview(packed).cast("I")))
 
 
-#: Codecs of this Python worker by the broadcast they came from.
-_codecs: dict[tuple, TextCodec] = {}
+#: The codec of this Python worker with the broadcast value it was made from, which is thereby kept and told apart.
+_codecs: list[tuple[tuple, TextCodec]] = []
 
 
 def _codec(shared) -> TextCodec:
     """The worker's codec for a broadcast vocabulary."""
-    key = id(shared.value)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = TextCodec(*shared.value)
-    return _codecs[key]
+    if not _codecs or _codecs[0][0] is not shared.value:
+        _codecs[:] = [(shared.value, TextCodec(*shared.value))]
+    return _codecs[0][1]
 
 
 def _share(spark: SparkSession, path: str, pattern: str):
     # A vocabulary file is of fixed size: it doesn't grow with the data.
-    return spark.sparkContext.broadcast((read_ranks(path), pattern, pattern == SPACED_PATTERN))
+    ranks = read_ranks(path)
+    return spark.sparkContext.broadcast((ranks, pattern, pattern == SPACED_PATTERN, PrefixEncoder(ranks).orderly))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:

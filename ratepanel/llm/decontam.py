@@ -107,16 +107,18 @@ _FOUND = "n_words long, spans array<struct<first:long,after:long>>, items array<
 _SPAN = pa.struct([("first", pa.int64()), ("after", pa.int64())])
 _TYPE = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))])
 
-#: Automata of this Python worker by the broadcast they came from.
-_finders: dict[int, Finder] = {}
+#: Automata of this Python worker with the broadcast values they were made from, which are thereby kept and told apart; a memory bound.
+_finders: list[tuple[list, Finder]] = []
+KEPT = 4
 
 
 def _finder(shared) -> Finder:
-    key = id(shared.value)
-    if key not in _finders:
-        _finders.clear()
-        _finders[key] = Finder(shared.value)
-    return _finders[key]
+    for value, finder in _finders:
+        if value is shared.value:
+            return finder
+    del _finders[: max(0, len(_finders) - KEPT + 1)]
+    _finders.append((shared.value, Finder(shared.value)))
+    return _finders[-1][1]
 
 
 def _scan(shared) -> Column:

@@ -40,7 +40,7 @@ BANDS = (
     (131072, 1.80, 4.00),
 )
 CHUNK = 1024
-#: A text goes when more than this share of its whole chunks is out of the chunk's band.
+#: A text goes when more than this share of its chunks is out of the chunk's band.
 BAD_CHUNKS = 0.25
 MIN_WORDS = 50
 MAX_REPEATED = 0.50
@@ -83,11 +83,12 @@ def judge(text: bytes, squeeze: zstandard.ZstdCompressor) -> tuple:
     ratio, chunks, bad = None, 0, 0
     if text:
         ratio = len(text) / len(squeeze.compress(text))
-        low, high = band(CHUNK)
-        for at in range(0, len(text) - CHUNK + 1, CHUNK):
-            part = CHUNK / len(squeeze.compress(text[at : at + CHUNK]))
-            chunks += 1
-            bad += not low <= part <= high
+        # The last chunk takes what is left, so that all of a text is judged, by the limits of its length.
+        chunks = max(1, len(text) // CHUNK)
+        for n in range(chunks):
+            part = text[n * CHUNK : (n + 1) * CHUNK if n < chunks - 1 else None]
+            low, high = band(len(part))
+            bad += not low <= len(part) / len(squeeze.compress(part)) <= high
     low, high = band(len(text))
     kept = not failed and low <= ratio <= high and bad <= BAD_CHUNKS * chunks
     return (

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import tiktoken
+import zstandard
 from public_tokenizers import PATTERN
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
@@ -246,6 +247,35 @@ def base_counts(text):
     return len(words), len(letters), sum(c in "#*$%&|<>" for c in letters), sum(lines.values()) - len(lines), len(covered), failed
 
 
+def kept_by_compression(text):
+    """The compression verdict written out anew: whole text and chunks, the last one as long as what is left."""
+    data = (text or "").encode()
+    if not data:
+        return False
+
+    def good(part):
+        low, high = [(lo, hi) for size, lo, hi in quality.BANDS if size <= len(part)][-1]
+        return low <= len(part) / len(zstandard.compress(part, quality.LEVEL)) <= high
+
+    starts = list(range(0, len(data) - 1023, 1024)) or [0]
+    parts = [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)], strict=True)]
+    assert b"".join(parts) == data
+    return good(data) and sum(not good(p) for p in parts) <= 0.25 * len(parts)
+
+
+def test_quality_verdicts(spark):
+    rnd = random.Random(8)
+    prose = lambda n: " ".join("".join(rnd.choices("etaoinshrdlu", k=rnd.randint(2, 9))) for _ in range(n))
+    noise = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x9FFF)) for _ in range(n))
+    made = [prose(n) for n in (60, 100, 170, 171, 180, 400, 2000)]
+    # Noise and repeats in the last, incomplete chunk only, and in texts under a chunk.
+    made += [prose(175) + " " + noise(n) for n in (5, 50, 250)] + [prose(190) + " ab" * n for n in (20, 300)] + [prose(60) + " " + noise(90), noise(300)]
+    made += [prose(60) * 30, "w " * 100, "", None]
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.quality_table(frame(spark, [*enumerate(made)])).collect()}
+    assert got == {i: (base_counts(t)[5], not base_counts(t)[5] and kept_by_compression(t)) for i, t in enumerate(made)}
+    assert len({v for _, v in got.values()}) == 2
+
+
 def test_quality(spark, docs, rows):
     for r in quality.quality_table(docs).collect():
         assert tuple(r)[1:7] == base_counts(dict(rows)[r.doc_id])
