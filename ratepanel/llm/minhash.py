@@ -223,22 +223,25 @@ def _passed(family: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     """Pairs of members like their centre that the family's core doesn't rule out."""
     alike = cut(family.where("passed").select("centre", "middle", "id", "label").join(full, "id"))
     heads = alike.groupBy("centre").agg(F.count(F.lit(1)).alias("heads"))
-    often = alike.select("centre", F.explode("members").alias("shingle")).groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often"))
+    spread = alike.select("centre", "id", "label", F.explode("members").alias("shingle"))
+    seen = spread.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
+    marked = cut(seen.join(heads, "centre").select("centre", "shingle", "often", "low", "high", (F.col("often") * 2 >= F.col("heads")).alias("common")))
     # Half of the members have each of them, so there are at most twice as many as a member has on average.
-    core = often.join(heads, "centre").where("2 * often >= heads").groupBy("centre").agg(F.collect_list("shingle").alias("core"))
-    n = F.size("members").cast("long")
-    held = alike.join(core, "centre", "left").select(
-        "centre", "middle", "id", "label", n.alias("n"), F.array_except("members", F.coalesce("core", F.array().cast("array<long>"))).alias("beyond")
-    )
-    held = cut(held.withColumn("held", F.col("n") - F.size("beyond")))
+    core = marked.where("common").groupBy("centre").agg(F.collect_list("shingle").alias("core"))
+    n, within_core = F.size("members").cast("long"), F.size(F.array_intersect("members", F.coalesce("core", F.array().cast("array<long>"))))
+    held = cut(alike.join(core, "centre", "left").select("centre", "middle", "id", "label", n.alias("n"), within_core.alias("held")))
+    # What one label alone has beyond the core can't be common to two; the rest comes rarest first.
+    others = marked.where("not common and low < high").select("centre", "shingle", "often")
+    listed = F.sort_array(F.collect_list(F.struct("often", "shingle")))["shingle"].alias("beyond")
+    beyond = spread.join(others, ["centre", "shingle"]).groupBy("centre", "id").agg(listed)
     # Beyond the core a pair shares at most what the one with less has there.
     total, within = F.col("x.n") + F.col("y.n"), F.least("x.held", "y.held")
     outside = F.least(F.col("x.n") - F.col("x.held"), F.col("y.n") - F.col("y.held"))
     # A partner has PERCENT of the member's shingles, so what the core lacks of them must be common beyond it:
-    # in any order, two members then meet in the first of what they have there.
+    # in an order that both keep to, two members then meet in the first of what they have there.
     lacking = F.greatest(F.lit(1), F.ceil(F.col("n") * PERCENT / 100) - F.col("held"))
-    first = F.slice(F.array_sort("beyond"), F.lit(1), F.greatest(F.lit(0), F.size("beyond") - lacking + 1).cast("int"))
-    posts = held.select("centre", "id", "label", "n", "held", F.explode(first).alias("shingle"))
+    first = F.slice("beyond", F.lit(1), F.greatest(F.lit(0), F.size("beyond") - lacking + 1).cast("int"))
+    posts = held.join(beyond, ["centre", "id"]).select("centre", "id", "label", "n", "held", F.explode(first).alias("shingle"))
     lists = posts.groupBy("centre", "shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     told = posts.join(lists.select("centre", "shingle"), ["centre", "shingle"], "left_semi").join(sets.select("id", "signature"), "id")
     met = _met_at(cut(told), "shingle", _similar(within + outside, total))
