@@ -224,7 +224,8 @@ def _raw(docs: DataFrame, text: str, path: str | None, words: tuple[str, ...], n
     once = F.split(F.regexp_replace(plain, CANDIDATE, f"{_CUT}$0{_CUT}"), _CUT, -1)
     values, between = F.regexp_extract_all(plain, F.lit(CANDIDATE), F.lit(0)), F.split(plain, CANDIDATE, -1)
     twice = F.slice(F.flatten(F.zip_with(between, values, lambda b, v: F.array(b, v))), F.lit(1), 2 * F.size(between) - 1)
-    found = docs.withColumn(cuts, F.when(F.contains(plain, F.lit(_CUT)), twice).otherwise(once))
+    # Of use to no row, the running number keeps the optimizer from running the pattern again in filters of its own.
+    found = docs.withColumn(cuts, F.when(F.monotonically_increasing_id() >= 0, F.when(F.contains(plain, F.lit(_CUT)), twice).otherwise(once)))
     part = lambda i: F.coalesce(F.get(F.col(cuts), i), F.lit(""))
     places = F.expr(f"IF(size(`{cuts}`) > 1, sequence(1, size(`{cuts}`) - 2, 2), CAST(array() AS ARRAY<INT>))")
     judged = F.transform(
@@ -239,9 +240,10 @@ def candidates(docs: DataFrame, words: tuple[str, ...], id_column: str = "doc_id
     """`id, number, value, features` of every candidate; numbers count from 0 within a text."""
     columns = [F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text")]
     narrow = docs.select(*columns, *([F.col(f"`{path}`").alias("path")] if path else []))
-    found, cuts = _raw(narrow, "text", "path" if path else None, words, "found")
-    found = found.where(F.size(cuts) > 1)
-    return found.select("id", F.posexplode("found").alias("number", "c")).select("id", "number", "c.*")
+    found, _ = _raw(narrow, "text", "path" if path else None, words, "found")
+    # The outer form infers no filter, which would judge all candidates twice.
+    told = found.select("id", F.posexplode_outer("found").alias("number", "c")).where("c IS NOT NULL")
+    return told.select("id", "number", "c.*")
 
 
 def _parse_tree(text: str):
