@@ -30,10 +30,10 @@ _ATTRIBUTE = r"""(?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])"""
 _TAG = rf"<{_ATTRIBUTE}++>"
 
 
-def _attribute(name: str) -> str:
+def _attribute(name: str, tag: str = "[a-z][a-z0-9]*+") -> str:
     """An opening tag up to the value of one of its attributes, sought attribute by attribute; group 1 is its name."""
     other = rf"""[\s/]++(?!{name}[\s=])[^\s=<>"'/]++(?:\s*+=\s*+(?:"[^"<]*+"|'[^'<]*+'|[^\s"'<>]++))?+"""
-    return rf"(?i)<([a-z][a-z0-9]*+)(?:{other})*+[\s/]++{name}\s*+=\s*+"
+    return rf"(?i)<({tag})(?:{other})*+[\s/]++{name}\s*+=\s*+"
 
 
 _CLASS = rf"""^{_attribute("class")}("[^"<]*+"|'[^'<]*+'|[^\s"'<>]++)"""
@@ -128,7 +128,7 @@ def without_tables(html: str) -> str:
 
 
 def _holds_table(html: str) -> str:
-    return f"{html} RLIKE '(?i)<table\\\\b'"
+    return f"contains(lower({html}), '<table')"
 
 
 def elements(html: str, tag: str) -> str:
@@ -155,10 +155,16 @@ def first_table(html: str) -> str:
 
 def table_with_class(html: str, css: str) -> str:
     """Inner HTML of the first table, at any depth, whose class list is ``css``."""
+    words = r"\s++".join(map(re.escape, css.split()))
+    listed = rf"""(?:"\s*+{words}\s*+"|'\s*+{words}\s*+'|{words}(?=[\s>]))"""
+    one = rf"""{_attribute("class", "table")}{listed}{_ATTRIBUTE}*+>((?:[^<]++|<(?!/table\b))*+)"""
     value = f"regexp_extract(found.tag, {text(_CLASS)}, 2)"
     classes = f"trim(regexp_replace(trim(BOTH {text(chr(34) + chr(39))} FROM {value}), {text(chr(92) + 's+')}, ' '))"
-    tables = f"filter({_deep(visible(html), 'table')}, found -> {classes} = {text(css)})"
-    return f"coalesce(try_element_at({tables}, 1).inner, '')"
+    tables = f"filter({_deep('page', 'table')}, found -> {classes} = {text(' '.join(css.split()))})"
+    deep = f"coalesce(try_element_at({tables}, 1).inner, '')"
+    nested = text(rf"(?i)<table\b{_ATTRIBUTE}*+>(?:[^<]++|<(?!/?table\b))*+<table\b")
+    whole = f"CASE WHEN page RLIKE {nested} THEN {deep} ELSE regexp_extract(page, {text(one)}, 2) END"
+    return let(visible(html), "page", whole)
 
 
 def section(table: str, tag: str) -> str:
