@@ -16,7 +16,6 @@ time in proportion to it. A quoted attribute may hold a ">", but no "<".
 
 from __future__ import annotations
 
-import json
 import re
 import zlib
 from html.entities import html5
@@ -45,22 +44,22 @@ _SPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_OWN, _CELLS = "'own'", "'cells'"
-
 _REFERENCE = "&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);"
 
 # Names of characters, dealt out by checksum, so that a name is looked for among a few.
 _BUCKETS = 2048
+# Separators that no name or character contains.
+_PAIR, _IS, _BUCKET = "\x01", "\x02", "\x03"
 
 
 def _names() -> str:
-    """JSON: for each remainder of a name's checksum, the names with their characters."""
-    dealt: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    """Names with their characters, by the remainder of the name's checksum."""
+    dealt: list[list[str]] = [[] for _ in range(_BUCKETS)]
     for plain, letters in html5.items():
         if plain.endswith(";"):
             reference = f"&{plain}"
-            dealt[zlib.crc32(reference.encode()) % _BUCKETS][reference] = letters
-    return json.dumps(dealt, ensure_ascii=False, separators=(",", ":"))
+            dealt[zlib.crc32(reference.encode()) % _BUCKETS].append(f"{reference}{_IS}{letters}")
+    return _BUCKET.join(_PAIR.join(pairs) for pairs in dealt)
 
 
 _NAMES = _names()
@@ -202,8 +201,9 @@ def unescape(plain: str) -> str:
     character = f"translate(decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32'), {text(_C1)}, {text(_C1_MEANT)})"
     known = "code BETWEEN 1 AND 1114111 AND code NOT BETWEEN 55296 AND 57343"
     numeric = let(_code_point(), "code", f"IF({known}, {character}, {text(chr(0xFFFD))})")
-    names = f"element_at(from_json({text(_NAMES)}, 'ARRAY<MAP<STRING, STRING>>'), CAST(crc32(ref) % {_BUCKETS} AS INT) + 1)"
-    named = f"coalesce(try_element_at({names}, ref), ref)"
+    # Splitting a constant is done once, when the plan is made.
+    names = f"element_at(split({text(_NAMES)}, {text(_BUCKET)}, -1), CAST(crc32(ref) % {_BUCKETS} AS INT) + 1)"
+    named = f"coalesce(try_element_at(str_to_map({names}, {text(_PAIR)}, {text(_IS)}), ref), ref)"
     read = f"transform(regexp_extract_all({plain}, {text(_REFERENCE)}, 0), ref -> IF(startswith(ref, '&#'), {numeric}, {named}))"
     between = f"split({plain}, {text(_REFERENCE)}, -1)"
     return f"array_join(zip_with({between}, {read}, (said, letters) -> concat(said, coalesce(letters, ''))), '')"
@@ -233,11 +233,13 @@ def row_cells(part: str, tag: str = "td") -> str:
     ``cells`` are all cells inside the row, those of inner tables too; ``own``
     are the row's own. Rows of inner tables are rows as well.
     """
-    rows = f"transform({elements('part', 'tr')}, line -> {elements('line', tag)})"
-    plain = f"transform({rows}, cells -> {let(clean_texts('cells'), 'texts', 'named_struct(' + _OWN + ', texts, ' + _CELLS + ', texts)')})"
-    own, every = clean_texts(elements(without_tables("line"), tag)), clean_texts(deep_elements("line", tag))
-    deep = f"transform({deep_elements('part', 'tr')}, line -> named_struct({_OWN}, {own}, {_CELLS}, {every}))"
-    return let(part, "part", f"CASE WHEN {_holds_table('part')} THEN {deep} ELSE {plain} END")
+    plain = f"transform({elements('part', 'tr')}, line -> array({elements('line', tag)}))"
+    both = f"array({elements(without_tables('line'), tag)}, {deep_elements('line', tag)})"
+    deep = f"transform({deep_elements('part', 'tr')}, line -> {both})"
+    # Cleaned in one place: the names of characters make the expression large.
+    cleaned = f"transform(CASE WHEN {_holds_table('part')} THEN {deep} ELSE {plain} END, line -> transform(line, cells -> {clean_texts('cells')}))"
+    told = f"transform({cleaned}, line -> named_struct('own', element_at(line, 1), 'cells', element_at(line, -1)))"
+    return let(part, "part", told)
 
 
 def row_texts(part: str, tag: str = "td") -> str:
