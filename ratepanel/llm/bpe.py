@@ -34,11 +34,9 @@ from pyspark.sql import functions as F
 from ratepanel.llm.words import Remember
 
 #: Distinct pieces whose ids a Python worker remembers; a memory bound, without effect on results.
-PIECES = 1 << 18
+PIECES = 1 << 19
 #: The same for words with what stands around them, and for pairs of tokens.
 WORDS, PAIRS = 1 << 19, 1 << 18
-#: Lengths of beginnings whose tables are shared among pieces.
-STEMS, TABLES = (4, 6, 8), 1 << 15
 #: The pattern of the given vocabularies, a fixed value; for it the codec's short way is known to hold.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
@@ -57,7 +55,6 @@ class PrefixEncoder:
         self.ranks = ranks
         self.token_bytes = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._stems: list[dict[bytes, list[int]]] = [{} for _ in STEMS]
         self._edges: dict[tuple[bytes, bool], list[tuple[bytes, int]]] = {}
         self._beside: dict[int, bool] = {}
         #: Whether merges make every token, so that only one can end a prefix.
@@ -145,20 +142,8 @@ class PrefixEncoder:
         return last
 
     def table(self, piece: bytes) -> list[int]:
-        """The last tokens of all prefixes; tables of common beginnings are shared."""
-        last: list[int] = []
-        for length, stems in zip(STEMS, self._stems, strict=True):
-            if length >= len(piece):
-                break
-            stem = piece[:length]
-            found = stems.get(stem)
-            if found is None:
-                found = self.extend(last[:], stem)
-                if len(stems) >= TABLES:
-                    stems.clear()
-                stems[stem] = found
-            last = found
-        return self.extend(last[:], piece)
+        """The last tokens of all prefixes."""
+        return self.extend([], piece)
 
     def read_back(self, last: list[int]) -> list[int]:
         """The ids that a table stands for."""
