@@ -307,8 +307,8 @@ def test_many_batches_are_merged_by_month(spark, tmp_path):
     want = {}
     for n in range(50):
         days = [day("2024-01-01") + dt.timedelta(days=n), day("2024-06-30")]
-        batch(n, *[fx_page(d, f"{n},0") for d in days])
-        want.update({d: Decimal(n) for d in days})
+        batch(n, *[fx_page(d, f"{n + 1},0") for d in days])
+        want.update({d: Decimal(n + 1) for d in days})
     panel = ST.read_store(spark, store_path, FX_DIMS)
     assert {r.indice_tiempo: r.value for r in panel.where("type = 'tp_usd'").collect()} == want
     held = manifest(spark, store_path)
@@ -316,12 +316,12 @@ def test_many_batches_are_merged_by_month(spark, tmp_path):
     # Folders of the first merge are gone; those of the second stay for readers of the version before.
     assert len(list((tmp_path / "store" / "batches").iterdir())) == 30
     january = ST.read_store(spark, store_path, FX_DIMS, day("2024-01-10"), day("2024-01-12"))
-    assert {r.indice_tiempo.day: int(r.value) for r in january.where("type = 'tp_usd'").collect()} == {10: 9, 11: 10, 12: 11}
+    assert {r.indice_tiempo.day: int(r.value) for r in january.where("type = 'tp_usd'").collect()} == {10: 10, 11: 11, 12: 12}
     assert {f.split("month=")[1][:7] for f in january.inputFiles()} == {"2024-01"}
     assert len(january.inputFiles()) == 1
     # A batch that was merged and is run again changes nothing.
-    batch(39, fx_page(day("2024-06-30"), "39,0"))
+    batch(39, fx_page(day("2024-06-30"), "40,0"))
     ST.compact_store(spark, store_path, FX_DIMS)
     last = ST.read_store(spark, store_path, FX_DIMS, day("2024-06-30"), day("2024-06-30"))
-    assert [int(r.value) for r in last.where("type = 'tp_usd'").collect()] == [49]
+    assert [int(r.value) for r in last.where("type = 'tp_usd'").collect()] == [50]
     assert len(last.inputFiles()) == 1
