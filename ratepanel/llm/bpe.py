@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from ratepanel.llm.words import Remember
 
 #: Distinct pieces whose ids a Python worker remembers; a memory bound, without effect on results.
-PIECES = 1 << 19
+PIECES = 1 << 18
 #: The same for words with what stands around them, and for pairs of tokens.
-WORDS, PAIRS = 1 << 19, 1 << 18
+WORDS, PAIRS = 1 << 18, 1 << 17
 #: The pattern of the given vocabularies, a fixed value; for it the codec's short way is known to hold.
 SPACED_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _NEVER = 1 << 62
