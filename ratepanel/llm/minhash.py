@@ -246,10 +246,12 @@ def _passed(family: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     told = posts.join(lists.select("centre", "shingle"), ["centre", "shingle"], "left_semi").join(sets.select("id", "signature"), "id")
     met = _met_at(cut(told), "shingle", _similar(within + outside, total))
     # Without that, the core alone must do; the partner has at least PERCENT of the member's size.
-    near = cut(held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")).select("centre", "middle", "id", "label", "n", "held"))
+    enough = held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")).select("centre", "middle", "id", "label", "n", "held")
+    near = cut(enough.join(sets.select("id", "signature"), "id"))
     x, y = near.where(F.col("label") != F.col("middle")).alias("x"), near.alias("y")
     once = (F.col("y.label") == F.col("y.middle")) | (F.col("x.id") < F.col("y.id"))
-    alone = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.label") != F.col("y.label")) & once & _similar(within, total)
+    agree = _matches(F.col("x.signature"), F.col("y.signature")) >= MATCHES
+    alone = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.label") != F.col("y.label")) & once & _similar(within, total) & agree
     return met.union(x.join(y, alone).select(*_ordered("x.id", "y.id")))
 
 
