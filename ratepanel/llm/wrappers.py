@@ -28,6 +28,7 @@ from __future__ import annotations
 import html
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -41,9 +42,9 @@ from ratepanel.sources.shared import fresh_path
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
-    "time tt u var wbr".split()
+    "time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mspace semantics".split()
 )
-HIDDEN = frozenset("script style noscript template head title iframe svg math object canvas select textarea button input".split())
+HIDDEN = frozenset("script style noscript template head title iframe svg object canvas select textarea button input".split())
 RAW = frozenset(("script", "style", "textarea", "title", "noscript", "iframe"))
 CLOSES = {
     "p": frozenset(("p",)),
@@ -267,7 +268,7 @@ def align(a: list, b: list, pages_a: int, pages_b: int) -> list:
 
 def expression(node: list) -> str:
     """The wrapper as a regular expression over elements; # is a text slot."""
-    inner = " ".join(expression(k) for k in node[7])
+    inner = " ".join([expression(k) for k in node[7]])
     slot = "#" if node[6] is None else ""
     body = f"({inner})" if node[0].startswith("(") else f"<{node[0]}>{slot}{' ' + inner if inner else ''}</>"
     return body + ("*" if node[3] and node[2] else "+" if node[3] else "?" if node[2] else "")
@@ -283,7 +284,9 @@ def _mass(node: list, template: bool = True) -> float:
     if not node[0].startswith("(") and is_boilerplate(*_named(node[0]), False):
         return 0
     own = 0 if template and node[6] is not None and node[1] >= TEMPLATE_PAGES else max(0, node[4] - node[5])
-    return own + sum(_mass(k, template) for k in node[7])
+    for kid in node[7]:
+        own += _mass(kid, template)
+    return own
 
 
 def _marked(node: list, template: bool) -> float:
@@ -291,7 +294,12 @@ def _marked(node: list, template: bool) -> float:
     tag, names = _named(node[0])
     if not node[0].startswith("(") and is_boilerplate(tag, names, False):
         return 0
-    return _mass(node, template) if tag in ARTICLES else sum(_marked(k, template) for k in node[7])
+    if tag in ARTICLES:
+        return _mass(node, template)
+    marked = 0
+    for kid in node[7]:
+        marked += _marked(kid, template)
+    return marked
 
 
 def main_path(wrapper: list) -> list[str]:
@@ -371,8 +379,18 @@ _PARTIAL = "host string, wrapper string"
 _RULES = "host string, path string, wrapper string"
 
 
+#: Elements within elements that a page may have; the interpreter's own bound is far lower.
+DEEPEST = 100_000
+
+
+def _allow_depth() -> None:
+    """Functions here call themselves for each level of a page."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * DEEPEST))
+
+
 def _partials(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One wrapper for the pages of each host in a batch."""
+    _allow_depth()
     for batch in batches:
         hosts: dict[str, list] = {}
         for host, page in zip(batch.column("host"), batch.column("html"), strict=True):
@@ -391,6 +409,7 @@ def _times(node: list, n: int) -> list:
 
 
 def _united(table: pa.Table) -> tuple[str, list]:
+    _allow_depth()
     whole = None
     for wrapper, n in sorted(zip(table["wrapper"].to_pylist(), table["n"].to_pylist(), strict=True)):
         own = _times(json.loads(wrapper), n)
@@ -424,6 +443,7 @@ def infer(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
 
 
 def _read(pages: pa.Array, paths: pa.Array) -> pa.Array:
+    _allow_depth()
     out = []
     for page, path in zip(pages, paths.to_pylist(), strict=True):
         tree = parse(page.as_py() or "")

@@ -25,3 +25,13 @@ def test_text_beside_the_largest_element_stays(spark):
     assert texts(spark, [post.format(7, long)]) == [want[7]]
     two = "<body><div id=all><section class=main><p>{1} {0}</p></section><section class=details><p>more {1} {0}</p></section></div></body>"
     assert texts(spark, [two.format(i, long) for i in range(25)]) == [f"{long} {i}\nmore {long} {i}" for i in range(25)]
+
+
+def test_deeply_nested_pages(spark):
+    pages = ["<body>" + "<div>" * n + f"<p>deep {n} words</p>" + "</div>" * n + "</body>" for n in (300, 900, 1500)]
+    assert texts(spark, pages) == ["deep 300 words", "deep 900 words", "deep 1500 words"]
+
+
+def test_formulas_stay_in_their_sentence(spark):
+    page = "<body><div class=nav>Home</div><article><p>so <math><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn></math> holds {0}</p></article></body>"
+    assert texts(spark, [page.format(i) for i in range(3)]) == [f"so x2=4 holds {i}" for i in range(3)]
