@@ -125,6 +125,21 @@ SQL["op7_chat_format"] = f"""
     FROM m GROUP BY conv_id
 """
 
+SQL["op1_minhash_near_dedup"] = r"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    link AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+    edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+    reach AS (SELECT a AS doc_id, a AS label FROM edge UNION SELECT edge.b, reach.label FROM reach JOIN edge ON edge.a = reach.doc_id),
+    least AS (SELECT doc_id, min(label) AS label FROM reach GROUP BY 1)
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, d.doc_id) AS component_id, coalesce(label, d.doc_id) = d.doc_id AS kept
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
 SQL["op4_substring_dedup"] = r"""
     WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
     s AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20),
