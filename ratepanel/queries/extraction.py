@@ -250,7 +250,7 @@ def page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offered_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Configured coins that a page's form offers; one coin on the pages is not configured."""
     form = F.concat(
-        F.lit('<form><select name="Moneda"><option value="0">Seleccione Moneda</option>\n<option value="1"> '),
+        F.lit('<form><select name="coin"><option value="0">choose one</option>\n<option value="1"> '),
         F.initcap("coin"),
         F.lit(" (&Ntilde;)</option></select></form>"),
     )

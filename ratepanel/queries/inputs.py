@@ -83,7 +83,7 @@ def rate_html(term: Column, value: Column) -> Column:
     """Term table: an unknown term, then the asked one twice, the valid value last."""
     return _text(
         "<html><!-- <table><tbody><tr><td>t0</td><td>9,9</td></tr></tbody></table> -->",
-        '<table class="table"><thead><tr><th>Plazo</th><th>Tasa</th></tr></thead><tbody>',
+        '<table class="table"><thead><tr><th>term</th><th>rate</th></tr></thead><tbody>',
         "<tr><td>zz</td><td>1,5</td></tr><tr><td>",
         term,
         "</td><td>0,01</td></tr><tr class='r'><td>\n",
@@ -113,7 +113,7 @@ def sml_html(labels: list[str], values: list[Column]) -> Column:
     heads = [f"<th>{label}</th>" for label in labels]
     cells = [p for v in values for p in ("<td>", comma_text(v), "</td>")]
     return _text(
-        "<table><thead><tr><th>Fecha</th>",
+        "<table><thead><tr><th>day</th>",
         *heads,
         "</tr></thead><tbody><tr><td>31/12/1998</td><td>7</td></tr><tr><td>",
         day_text(),

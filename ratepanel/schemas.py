@@ -55,7 +55,7 @@ class Family:
         return T.StructType(fields + [T.StructField(self.value, VALUE)])
 
 
-# Family names, panel column names and title affixes are the
+# Family names, panel column names, title affixes and the form field are the
 # published file formats.
 LIBOR = Family(
     name="libor",
