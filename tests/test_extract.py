@@ -10,6 +10,7 @@ from ratepanel.plans.pages import pages_to_panel
 from ratepanel.schemas import FX, HOURS, LIBOR, SML, TCE
 from ratepanel.sources.config import Dims
 
+# Terms, labels, names and numbers here are goldens of the page formats.
 TERMS = {"30": "2,481750", "60": "2,558380", "90": "2,625250", "180": "2,671750", "360": "2,840500"}
 RATES = Dims(LIBOR, rates={t: f"libor_{t}_dias" for t in TERMS})
 
