@@ -247,6 +247,12 @@ class TextCodec:
         self.words = Remember(lambda word: self._encode(" " + word), WORDS)
         self.tokens = [self.encoder.token_bytes.get(i, b"") for i in range(max(self.encoder.token_bytes, default=-1) + 1)]
 
+    def forget(self) -> None:
+        """Empty the tables at once; the codec refers to itself through them."""
+        for table in (self.pieces, self.words):
+            table.clear()
+            table.old = {}
+
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return array("I", ids).tobytes()
@@ -272,6 +278,8 @@ _codecs: list[tuple[tuple, TextCodec]] = []
 def _codec(shared) -> TextCodec:
     """The worker's codec for a broadcast vocabulary."""
     if not _codecs or _codecs[0][0] is not shared.value:
+        for _, before in _codecs:
+            before.forget()
         _codecs[:] = [(shared.value, TextCodec(*shared.value))]
     return _codecs[0][1]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -16,13 +18,20 @@ class Remember(dict):
     """Values of a function by argument, of which those not asked for of late are forgotten.
 
     When the young half is full it becomes the old half; what is asked for again
-    moves back. So frequent arguments stay and memory is bounded.
+    moves back. So frequent arguments stay and memory is bounded. Tables that
+    nothing was added to since another table last turned are emptied then, so a
+    worker that goes on to the next stage doesn't hold what the one before has left.
     """
 
+    _tables: weakref.WeakSet = weakref.WeakSet()
+    __hash__ = object.__hash__
+
     def __init__(self, compute, most: int = REMEMBERED, longest: int = 64):
         super().__init__()
         self.compute, self.most, self.longest = compute, most // 2, longest
         self.old: dict = {}
+        self.busy = False
+        self._tables.add(self)
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -30,11 +39,20 @@ class Remember(dict):
             value = self.compute(key)
         if len(key) <= self.longest:
             if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
+                self._turn()
             self[key] = value
+            self.busy = True
         return value
 
+    def _turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
+        for table in [t for t in self._tables if t is not self]:
+            if not table.busy:
+                table.clear()
+                table.old = {}
+            table.busy = False
+
 
 _hashes = Remember(xxhash.xxh3_64_intdigest)
 

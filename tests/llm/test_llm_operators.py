@@ -13,7 +13,7 @@ from public_tokenizers import PATTERN
 from public_tokenizers import path as vocabulary
 from pyspark.sql import functions as F
 
-from ratepanel.llm import bpe, chat, decontam, licences, minhash, quality, secrets, sharding, substring, wrappers
+from ratepanel.llm import bpe, chat, decontam, licences, minhash, quality, secrets, sharding, substring, words, wrappers
 from ratepanel.llm.frames import ship
 
 RANKS = vocabulary("byte_bpe_50k.tiktoken")
@@ -400,3 +400,13 @@ def test_a_wrapper_has_optional_and_repeated_parts():
 def test_a_page_of_open_marks_takes_time_in_proportion():
     for mark in ("<!-- x ", "<script> ", "<a b='", "< "):
         assert wrappers.parse(mark * 40_000) is not None
+
+
+def test_tables_of_workers_forget_what_no_stage_asks_for():
+    busy, idle = (words.Remember(lambda k: k * 2, most=8) for _ in range(2))
+    assert [idle[b"%d" % i] for i in range(3)] == [b"0" * 2, b"1" * 2, b"2" * 2]
+    for i in range(40):
+        assert busy[b"%d" % i] == b"%d" % i * 2
+        assert len(busy) + len(busy.old) <= 8
+    assert not idle and not idle.old
+    assert idle[b"1"] == b"11" and busy[b"39"] == b"3939"
