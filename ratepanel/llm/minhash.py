@@ -15,11 +15,11 @@ whose values are the most frequent; what is linked gets a common label, and list
 of one label are done. In a list of up to SHORT members those of different labels
 are compared. The members of the longer lists with the same centre form a family.
 If two of them are similar enough, either both have values in common with it as
-often as similar sets do, or they agree in a posted value that it lacks. For those
-like the centre, the shingles that half of them have are the family's core: two of
-them are compared if they have a shingle beyond the core in common, or if what each
-shares with the core is enough by itself. A family of a thousand unlike relatives
-so costs as many comparisons, not their square.
+often as similar sets do, or they agree in a posted value that it lacks. Those like
+the centre are told by what they have and the family's head lacks, or the reverse: how
+many differences two of them need in common follows from their numbers, and only
+differences, rarest first, are posted and joined. A family of a thousand unlike
+relatives so costs as many comparisons, not their square.
 
 A pair of similarity 0.75 is skipped by the prefix with a chance of 2e-7 and by
 the count with 4e-7, more similar pairs with less.
@@ -50,6 +50,8 @@ POSTED, POSTED_MATCHES = 48, 20
 PERCENT = 75
 #: Longest list whose members are compared with each other.
 SHORT = 32
+#: Members of a family that meet one copy of its head's set; without effect on results.
+SLICE = 1000
 #: Words hashed at a time; a memory bound, without effect on results.
 AT_ONCE = 400_000
 
@@ -199,15 +201,6 @@ def _in_short_lists(entries: DataFrame) -> DataFrame:
     return met.select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
-def _met_at(posts: DataFrame, at: str, needed: Column) -> DataFrame:
-    """Pairs of different labels that have a value in common within a family and agree often enough."""
-    x, y = posts.alias("x"), posts.alias("y")
-    same = (F.col("x.centre") == F.col("y.centre")) & (F.col(f"x.{at}") == F.col(f"y.{at}"))
-    both = same & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & needed
-    agree = _matches(F.col("x.signature"), F.col("y.signature")) >= MATCHES
-    return x.join(y, both & agree).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-
-
 def _failed(family: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that agree where they differ from their centre, one of them unlike the centre."""
     told = F.array_compact(F.transform("posted", lambda v, i: F.when(v != F.get(F.col("c"), i), F.struct(i.alias("i"), v.alias("v")))))
@@ -216,43 +209,69 @@ def _failed(family: DataFrame, sets: DataFrame) -> DataFrame:
     open_ = F.min("label").alias("low"), F.max("label").alias("high"), F.min("passed").alias("all")
     lists = posts.groupBy("centre", "value").agg(*open_).where("low < high and not all").select("centre", "value")
     met = posts.join(lists, ["centre", "value"], "left_semi").join(sets.select("id", "signature"), "id")
-    return _met_at(cut(met), "value", ~F.col("x.passed") | ~F.col("y.passed"))
-
-
-def _passed(family: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
-    """Pairs of members like their centre that the family's core doesn't rule out."""
-    alike = cut(family.where("passed").select("centre", "middle", "id", "label").join(full, "id"))
-    heads = alike.groupBy("centre").agg(F.count(F.lit(1)).alias("heads"))
-    spread = alike.select("centre", "id", "label", F.explode("members").alias("shingle"))
-    seen = spread.groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
-    marked = cut(seen.join(heads, "centre").select("centre", "shingle", "often", "low", "high", (F.col("often") * 2 >= F.col("heads")).alias("common")))
-    # Half of the members have each of them, so there are at most twice as many as a member has on average.
-    core = marked.where("common").groupBy("centre").agg(F.collect_list("shingle").alias("core"))
-    n, within_core = F.size("members").cast("long"), F.size(F.array_intersect("members", F.coalesce("core", F.array().cast("array<long>"))))
-    held = cut(alike.join(core, "centre", "left").select("centre", "middle", "id", "label", n.alias("n"), within_core.alias("held")))
-    # What one label alone has beyond the core can't be common to two; the rest comes rarest first.
-    others = marked.where("not common and low < high").select("centre", "shingle", "often")
-    listed = F.sort_array(F.collect_list(F.struct("often", "shingle")))["shingle"].alias("beyond")
-    beyond = spread.join(others, ["centre", "shingle"]).groupBy("centre", "id").agg(listed)
-    # Beyond the core a pair shares at most what the one with less has there.
-    total, within = F.col("x.n") + F.col("y.n"), F.least("x.held", "y.held")
-    outside = F.least(F.col("x.n") - F.col("x.held"), F.col("y.n") - F.col("y.held"))
-    # A partner has PERCENT of the member's shingles, so what the core lacks of them must be common beyond it:
-    # in an order that both keep to, two members then meet in the first of what they have there.
-    lacking = F.greatest(F.lit(1), F.ceil(F.col("n") * PERCENT / 100) - F.col("held"))
-    first = F.slice("beyond", F.lit(1), F.greatest(F.lit(0), F.size("beyond") - lacking + 1).cast("int"))
-    posts = held.join(beyond, ["centre", "id"]).select("centre", "id", "label", "n", "held", F.explode(first).alias("shingle"))
-    lists = posts.groupBy("centre", "shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    told = posts.join(lists.select("centre", "shingle"), ["centre", "shingle"], "left_semi").join(sets.select("id", "signature"), "id")
-    met = _met_at(cut(told), "shingle", _similar(within + outside, total))
-    # Without that, the core alone must do; the partner has at least PERCENT of the member's size.
-    enough = held.where(F.lit(100) * F.col("held") >= F.lit(PERCENT) * F.col("n")).select("centre", "middle", "id", "label", "n", "held")
-    near = cut(enough.join(sets.select("id", "signature"), "id"))
-    x, y = near.where(F.col("label") != F.col("middle")).alias("x"), near.alias("y")
-    once = (F.col("y.label") == F.col("y.middle")) | (F.col("x.id") < F.col("y.id"))
+    posted = cut(met)
+    x, y = posted.alias("x"), posted.alias("y")
+    same = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.value") == F.col("y.value"))
+    both = same & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & (~F.col("x.passed") | ~F.col("y.passed"))
     agree = _matches(F.col("x.signature"), F.col("y.signature")) >= MATCHES
-    alone = (F.col("x.centre") == F.col("y.centre")) & (F.col("x.label") != F.col("y.label")) & once & _similar(within, total) & agree
-    return met.union(x.join(y, alone).select(*_ordered("x.id", "y.id")))
+    return x.join(y, both & agree).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _differences(family: DataFrame, full: DataFrame) -> DataFrame:
+    """`middle, head, id, known, label, weight, free, differs`: what members like their centre have and their family's head lacks, or the reverse.
+
+    Families whose centres have one label are one. Its head is the centre of the most members. Two sets that differ
+    from a head of H shingles by x and y have H - |x's lack| - |y's lack| + (differences in common) shingles in
+    common, so they are similar if (100 + PERCENT) * (differences in common) >= weight + weight - free.
+    """
+    alike = family.where("passed").select("middle", "centre", "id", "label")
+    served = alike.groupBy("middle", "centre").agg(F.count(F.lit(1)).alias("served"))
+    most = F.max(F.struct("served", (-F.col("centre")).alias("minus"))).alias("most")
+    heads = served.groupBy("middle").agg(most, F.sum("served").alias("many"))
+    # A large family meets copies of its head's set in slices.
+    slices = F.ceil(F.col("many") / SLICE).cast("int").alias("slices")
+    heads = cut(heads.select("middle", (-F.col("most.minus")).alias("head"), slices))
+    # Any set will do as a head's, if an id has several.
+    own = full.join(heads, full.id == heads["head"]).groupBy("middle", "head", "slices").agg(F.min("members").alias("own"))
+    dealt = own.select("middle", "head", "own", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+    members = alike.select("middle", "id", "label").distinct().join(heads, "middle").where("id <> head")
+    members = members.select("middle", "id", "label", F.pmod(F.hash("id"), F.col("slices")).alias("slice"))
+    met = members.join(full, "id").join(dealt, ["middle", "slice"])
+    lacks, more = F.array_except("own", "members"), F.array_except("members", "own")
+    told = met.select("middle", "head", "id", F.col("label").alias("known"), F.size("own").alias("h"), lacks.alias("lacks"), more.alias("more"))
+    weight = (F.size("lacks") * 100 + F.size("more") * PERCENT).cast("long").alias("weight")
+    free = (F.col("h") * (100 - PERCENT)).cast("long").alias("free")
+    out = told.select("middle", "head", "id", "known", weight, free, F.concat("lacks", "more").alias("differs"))
+    # By itself the weight tells whether a member is linked with the head; the head's label is the family's.
+    label = F.when(F.col("weight") <= F.col("free"), F.col("middle")).otherwise(F.col("known"))
+    return cut(out.withColumn("label", label))
+
+
+def _passed(family: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs of members like their centre that the differences from their head don't rule out."""
+    differs = _differences(family, full)
+    with_head = differs.where(F.col("known") != F.col("label")).select(*_ordered("head", "id"))
+    # Of two members with different labels one isn't linked with the head, so they have differences in common.
+    spread = differs.select("middle", "id", "label", "weight", "free", F.explode("differs").alias("value"))
+    lists = spread.groupBy("middle", "value").agg(F.count(F.lit(1)).alias("often"), F.min("label").alias("low"), F.max("label").alias("high"))
+    # What one label alone has can't be common to two; the rest comes rarest first.
+    several = lists.where("low < high").select("middle", "value", "often")
+    listed = F.sort_array(F.collect_list(F.struct("often", "value")))["value"].alias("shared")
+    shared = spread.join(several, ["middle", "value"]).groupBy("middle", "id", "label", "weight", "free").agg(listed)
+    # The least that any partner must have in common: a linked member's partner weighs more than is free,
+    # and one of a weight beyond what is free finds as much only in a partner of enough differences.
+    linked = F.floor(F.col("weight") / (100 + PERCENT)) + 1
+    least = F.when(F.col("weight") <= F.col("free"), linked).otherwise(F.ceil((F.col("weight") - F.col("free")) / 100))
+    # In an order that both keep to, two members then meet in the first of what they have.
+    first = F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.size("shared") - least + 1).cast("int"))
+    posts = shared.select("middle", "id", "label", "weight", "free", F.size("shared").alias("size"), F.posexplode(first).alias("at", "value"))
+    posts = cut(posts.select("middle", "value", "id", "label", "weight", "free", (F.col("size") - F.col("at")).cast("long").alias("rest")))
+    x, y = posts.alias("x"), posts.alias("y")
+    same = (F.col("x.middle") == F.col("y.middle")) & (F.col("x.value") == F.col("y.value"))
+    both = same & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label"))
+    # Where they first meet, all that is common is yet to come.
+    enough = F.least("x.rest", "y.rest") * (100 + PERCENT) >= F.col("x.weight") + F.col("y.weight") - F.col("x.free")
+    return with_head.union(x.join(y, both & enough).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))).distinct()
 
 
 def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
@@ -274,7 +293,7 @@ def links(sets: DataFrame, docs: DataFrame) -> DataFrame:
     middles = sets.select(F.col("id").alias("centre"), F.col("posted").alias("c"))
     signed = long.join(sets.select("id", "posted"), "id").join(middles, "centre")
     family = cut(signed.withColumn("passed", _matches(F.col("posted"), F.col("c")) >= POSTED_MATCHES))
-    met = _in_short_lists(left).union(_failed(family, sets)).union(_passed(family, sets, full)).distinct()
+    met = _in_short_lists(left).union(_failed(family, sets)).union(_passed(family, full)).distinct()
     again = _common(_counted(met, sets), full)
     more = cut(again.where(_similar(F.col("common"), F.col("total"))).select("a", "b"))
     if more.limit(1).count():

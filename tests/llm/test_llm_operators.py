@@ -105,6 +105,48 @@ def test_near_duplicates_in_a_large_family(spark):
     assert got == near_groups(made)
 
 
+def test_near_duplicates_compares_few_pairs_of_a_family(spark, monkeypatch):
+    rnd = random.Random(11)
+    base = [f"b{i}" for i in range(120)]
+    made = []
+    for i in range(240):
+        # All are like the base, hardly two are similar; the last ones share most of their edits.
+        said = base[:]
+        for at in rnd.sample(range(120), 3) if i < 200 else [7, 55, 90, i % 120]:
+            said[at] = f"e{i if i < 200 else i % 4}-{at}"
+        made.append((i, " ".join(said)))
+    compared = []
+
+    def counted(pairs, sets, plain=minhash._counted):
+        compared.append(pairs.count())
+        return plain(pairs, sets)
+
+    monkeypatch.setattr(minhash, "_counted", counted)
+    got = {r[0]: tuple(r)[1:] for r in minhash.near_duplicates(frame(spark, made)).collect()}
+    assert got == near_groups(made)
+    assert compared[-1] < minhash.SHORT * len(made)
+
+
+def test_near_duplicates_in_a_family_with_repeated_ids(spark):
+    rnd = random.Random(13)
+    base = [f"b{i}" for i in range(120)]
+    made = []
+    for i in range(150):
+        said = base[:]
+        for at in rnd.sample(range(120), rnd.choice([1, 3, 4, 5])):
+            said[at] = rnd.choice(["shared", f"e{i}-{at}"])
+        made.append((i % 130, " ".join(said)))
+    # Links between texts are links between the ids that have them.
+    texts = near_groups(list(enumerate(t for _, t in made)))
+    label = {i: i for i, _ in made}
+    for _ in made:
+        for at, (i, _) in enumerate(made):
+            same = [made[k][0] for k in range(len(made)) if texts[k][1] == texts[at][1]]
+            label[i] = min([label[i], *(label[k] for k in same)])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, made)).collect()}
+    assert got == label
+
+
 def test_near_duplicates_without_ids_and_with_repeats(spark):
     made = frame(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f")])
     got = sorted(map(tuple, minhash.near_duplicates(made).collect()), key=repr)
