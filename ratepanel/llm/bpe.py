@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratepanel.llm.words import Remember
+from ratepanel.llm.words import Remember, begin
 
 #: Distinct pieces whose ids a Python worker remembers; a memory bound, without effect on results.
 PIECES = 1 << 18
@@ -277,6 +277,7 @@ _codecs: list[tuple[tuple, TextCodec]] = []
 
 def _codec(shared) -> TextCodec:
     """The worker's codec for a broadcast vocabulary."""
+    begin()
     if not _codecs or _codecs[0][0] is not shared.value:
         for _, before in _codecs:
             before.forget()

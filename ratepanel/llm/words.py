@@ -7,6 +7,7 @@ import weakref
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 
 #: Distinct words whose hash a Python worker remembers; a memory bound, without effect on results.
 REMEMBERED = 1 << 18
@@ -21,9 +22,11 @@ class Remember(dict):
     moves back. So frequent arguments stay and memory is bounded. Tables that
     nothing was added to since another table last turned are emptied then, so a
     worker that goes on to the next stage doesn't hold what the one before has left.
+    The same holds where a stage begins whose words are too few to turn a table.
     """
 
     _tables: weakref.WeakSet = weakref.WeakSet()
+    _stage: int | None = None
     __hash__ = object.__hash__
 
     def __init__(self, compute, most: int = REMEMBERED, longest: int = 64):
@@ -47,18 +50,36 @@ class Remember(dict):
     def _turn(self) -> None:
         self.old = dict(self)
         self.clear()
-        for table in [t for t in self._tables if t is not self]:
+        self._rest(self)
+
+    @classmethod
+    def _rest(cls, but: Remember | None = None) -> None:
+        for table in [t for t in cls._tables if t is not but]:
             if not table.busy:
                 table.clear()
                 table.old = {}
             table.busy = False
 
+    @classmethod
+    def begin(cls, stage: int | None) -> None:
+        """Empty what the stage before didn't ask for, if this is another one."""
+        if stage != cls._stage:
+            cls._stage = stage
+            cls._rest()
+
+
+def begin() -> None:
+    """Called by tasks for each batch."""
+    context = TaskContext.get()
+    Remember.begin(None if context is None else context.stageId())
+
 
 _hashes = Remember(xxhash.xxh3_64_intdigest)
 
 
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
+    begin()
     return [t or b"" for t in column.cast(pa.large_binary()).to_pylist()]
 
 

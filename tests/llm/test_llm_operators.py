@@ -452,3 +452,15 @@ def test_tables_of_workers_forget_what_no_stage_asks_for():
         assert len(busy) + len(busy.old) <= 8
     assert not idle and not idle.old
     assert idle[b"1"] == b"11" and busy[b"39"] == b"3939"
+
+
+def test_tables_of_workers_forget_when_a_stage_begins():
+    used, idle = (words.Remember(lambda k: k * 2) for _ in range(2))
+    words.Remember.begin(-2)
+    assert used[b"1"] == idle[b"1"] == b"11"
+    words.Remember.begin(-3)
+    assert used[b"2"] == b"22" and len(used) == 2 and len(idle) == 1
+    words.Remember.begin(-3)
+    assert len(idle) == 1
+    words.Remember.begin(-4)
+    assert len(used) == 2 and not idle and idle[b"1"] == b"11"
