@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratepanel.llm.frames import cut, fresh
-from ratepanel.llm.words import texts
+from ratepanel.llm.words import made, texts
 
 WIDTH = 10
 #: Windows of one automaton. A window takes about 2 KB in a Python worker.
@@ -107,24 +107,10 @@ _FOUND = "n_words long, spans array<struct<first:long,after:long>>, items array<
 _SPAN = pa.struct([("first", pa.int64()), ("after", pa.int64())])
 _TYPE = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))])
 
-#: Automata of this Python worker with the broadcast values they were made from, which are thereby kept and told apart; a memory bound.
-_finders: list[tuple[list, Finder]] = []
-KEPT = 4
-
-
-def _finder(shared) -> Finder:
-    for value, finder in _finders:
-        if value is shared.value:
-            return finder
-    del _finders[: max(0, len(_finders) - KEPT + 1)]
-    _finders.append((shared.value, Finder(shared.value)))
-    return _finders[-1][1]
-
-
 def _scan(shared) -> Column:
     @F.arrow_udf(_FOUND)
     def scan(column: pa.Array) -> pa.Array:
-        finder, rows = _finder(shared), []
+        finder, rows = made(shared.value, Finder), []
         for text in texts(column):
             words = normal_words(text)
             hits = finder.hits(words)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import weakref
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +49,17 @@ class Remember(dict):
             self.busy = True
         return value
 
+    def recall(self, keys) -> dict:
+        """What is remembered of these keys."""
+        return {k: v for k in keys if (v := self.get(k)) is not None or (v := self.old.get(k)) is not None}
+
+    def keep(self, values: dict) -> None:
+        """Remember values that were computed elsewhere."""
+        if len(self) + len(values) > self.most:
+            self._turn()
+        self.update((k, v) for k, v in values.items() if len(k) <= self.longest)
+        self.busy = True
+
     def _turn(self) -> None:
         self.old = dict(self)
         self.clear()
@@ -68,10 +81,31 @@ class Remember(dict):
             cls._rest()
 
 
-def begin() -> None:
-    """Called by tasks for each batch."""
+#: Broadcast values of the stage that this Python worker works for, which are thereby kept and told apart, with what was made from them.
+_made: list[tuple] = []
+
+
+def begin(stage: int | None = None) -> None:
+    """Called by tasks for each batch: what another stage made is let go."""
     context = TaskContext.get()
-    Remember.begin(None if context is None else context.stageId())
+    if context is not None:
+        stage = context.stageId()
+    if _made and stage != Remember._stage:
+        _made.clear()
+        # What was made may refer to itself.
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    Remember.begin(stage)
+
+
+def made(value, make: Callable):
+    """What `make` makes of a broadcast value, once for each stage that a worker takes part in."""
+    begin()
+    for known, thing in _made:
+        if known is value:
+            return thing
+    _made.append((value, make(value)))
+    return _made[-1][1]
 
 
 _hashes = Remember(xxhash.xxh3_64_intdigest)

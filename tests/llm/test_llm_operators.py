@@ -464,3 +464,12 @@ def test_tables_of_workers_forget_when_a_stage_begins():
     assert len(idle) == 1
     words.Remember.begin(-4)
     assert len(used) == 2 and not idle and idle[b"1"] == b"11"
+
+
+def test_workers_let_go_of_what_another_stage_made():
+    words.begin(-5)
+    value, other = [1], [1]
+    first = words.made(value, list)
+    assert words.made(value, list) is first and words.made(other, list) is not first
+    words.begin(-6)
+    assert not words._made
