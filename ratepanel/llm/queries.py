@@ -51,7 +51,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY), PATTERN)
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary(VOCABULARY), PATTERN, at_once=1 << 22)
 
 
 @_query

@@ -473,3 +473,11 @@ def test_workers_let_go_of_what_another_stage_made():
     assert words.made(value, list) is first and words.made(other, list) is not first
     words.begin(-6)
     assert not words._made
+
+
+def test_bpe_of_many_pieces_at_once_is_that_of_each(reference):
+    encoder = bpe.PrefixEncoder(bpe.read_ranks(RANKS))
+    pieces = ["", " the", "thth", "ththereonedz", " ththereoned", "é\u00fc\u00df", "\0", "a\0", "a\0\0", " \u4e2d\u6587\U0001f600", "x" * 32, "x" * 33, "&&&%%", "zqj" * 40]
+    packed = dict(bpe.PieceTables(encoder).packed({p.encode() for p in pieces}))
+    for piece in pieces:
+        assert memoryview(packed[piece.encode()]).cast("I").tolist() == (reference._encode_single_piece(piece.encode()) if piece else [])
